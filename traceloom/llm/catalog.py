@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing a module registers its query."""
 
-from traceloom.llm import maxscore, ngram_join, secret_scan  # noqa: F401
+from traceloom.llm import language_id, maxent_lm, maxscore, ngram_join, secret_scan, toxicity  # noqa: F401
 from traceloom.llm.registry import ORACLES, QUERIES  # noqa: F401
