@@ -36,7 +36,7 @@ from traceloom.sources.tables import read_table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 32
-PASS = 1_000_000
+PASS = 3_000_000
 IDENTITY = np.arange(256, dtype=np.uint8)
 
 
@@ -108,13 +108,16 @@ class Lattice:
         width = np.where(data < 0x80, 1, np.where(data < 0xE0, 2, np.where(data < 0xF0, 3, 4)))
         covered = ~lead
         start, length, piece = [], [], []
-        for n, (table, ids, bit) in vocabulary.tables.items():
-            s = at[at + n <= stop]
-            if not len(s):
-                continue
-            h = hashes(data, s, n, value)
-            maybe = bit[h >> np.uint64(44)]
-            s, h = s[maybe], h[maybe]
+        inverse = arrays.powers(max(1, len(data)), -1)
+        open_, room, back = at, stop - at, inverse[: len(data)]
+        for n, (table, ids, bit) in vocabulary.tables.items():  # ascending: fewer places have room each time
+            fits = room >= n
+            open_, room, back = open_[fits], room[fits], back[fits]
+            if not len(open_):
+                break
+            h = arrays.mix((value[open_ + n] - value[open_]) * back)
+            maybe = np.flatnonzero(bit[h >> np.uint64(44)])
+            s, h = open_[maybe], h[maybe]
             k = np.minimum(np.searchsorted(table, h), len(table) - 1)
             ok = table[k] == h
             s, k = s[ok], k[ok]
@@ -153,6 +156,9 @@ class Lattice:
             beta[s[edge]] = np.logaddexp.reduceat(weight[group] + beta[self.end[group]], edge)
         with np.errstate(invalid="ignore"):
             self.log = np.where(np.isfinite(beta[self.start]), weight + beta[self.end] - beta[self.start], -np.inf)
+        # likelier arcs of a place first: a draw looks at few
+        order = np.lexsort((-self.log, self.start))
+        self.log, self.piece, self.end = self.log[order], self.piece[order], self.end[order]
         self.p = np.exp(self.log)
         total = np.cumsum(self.p)
         base = np.concatenate([[0.0], total])[self.first[self.start]]
@@ -161,8 +167,12 @@ class Lattice:
 
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The arc that leaves each place with its probability."""
-        arc = np.searchsorted(self.key, place + u, "right")
-        arc = np.clip(arc, self.first[place], self.first[place + 1] - 1)
+        arc, last = self.first[place], self.first[place + 1] - 1
+        aim = place + u
+        go = np.flatnonzero((self.key[arc] <= aim) & (arc < last))
+        while len(go):
+            arc[go] += 1
+            go = go[(self.key[arc[go]] <= aim[go]) & (arc[go] < last[go])]
         bad = self.p[arc] == 0  # rounding at a share's edge
         for k in np.flatnonzero(bad):
             span = slice(self.first[place[k]], self.first[place[k] + 1])
