@@ -132,7 +132,8 @@ class Lattice:
         start.append(s)
         length.append(np.ones(len(s), np.int64))
         piece.append(vocabulary.byte_id[data[s]])
-        start, length, piece = np.concatenate(start), np.concatenate(length), np.concatenate(piece)
+        # by place, long pieces first: they are likelier as a rule, so that a draw looks at few arcs
+        start, length, piece = np.concatenate(start[::-1]), np.concatenate(length[::-1]), np.concatenate(piece[::-1])
         order = np.argsort(start, kind="stable")
         start, length, self.piece = start[order], length[order], piece[order]
         self.start = start + unit[start]
@@ -148,7 +149,7 @@ class Lattice:
         beta = np.full(places, -np.inf)
         beta[ends] = 0
         left = stop[start] - start
-        order = np.lexsort((self.start, left))
+        order = np.argsort(left.astype(np.uint16) if len(data) < 65536 or left.max(initial=0) < 65536 else left, kind="stable")
         edges = np.flatnonzero(np.diff(left[order])) + 1
         for group in np.split(order, edges) if len(order) else ():
             s = self.start[group]
@@ -156,9 +157,6 @@ class Lattice:
             beta[s[edge]] = np.logaddexp.reduceat(weight[group] + beta[self.end[group]], edge)
         with np.errstate(invalid="ignore"):
             self.log = np.where(np.isfinite(beta[self.start]), weight + beta[self.end] - beta[self.start], -np.inf)
-        # likelier arcs of a place first: a draw looks at few
-        order = np.lexsort((-self.log, self.start))
-        self.log, self.piece, self.end = self.log[order], self.piece[order], self.end[order]
         self.p = np.exp(self.log)
         total = np.cumsum(self.p)
         base = np.concatenate([[0.0], total])[self.first[self.start]]
