@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing a module registers its query."""
 
-from traceloom.llm import decontaminate, language_id, maxent_lm, maxscore, ngram_join, secret_scan, sentencepiece_sample, toxicity  # noqa: F401
+from traceloom.llm import decontaminate, language_id, maxent_lm, maxscore, ngram_join, pii, secret_scan, sentencepiece_sample, toxicity, url_filter  # noqa: F401
 from traceloom.llm.registry import ORACLES, QUERIES  # noqa: F401
