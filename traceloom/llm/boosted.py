@@ -41,7 +41,7 @@ def value(tree, x):
 
 def fit(x, y, weight=None, trees=30, depth=3, rate=0.3, bins=32, least=5, ridge=1.0):
     """(start, trees) of the log odds; with one class or no rows only the smoothed start."""
-    x, y = np.asarray(x, float).reshape(len(y), -1), np.asarray(y, float)
+    x, y = np.asarray(x, float), np.asarray(y, float)
     w = np.ones(len(y)) if weight is None else np.asarray(weight, float)
     p = ((w * y).sum() + 1) / (w.sum() + 2)
     start = float(np.log(p / (1 - p)))

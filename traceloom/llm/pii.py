@@ -4,8 +4,8 @@ All work on rows is SQL expressions. A pattern's places are found by marking its
 lengths between marks, in two levels, so a text with very many matches costs little more than one with few.
 
 Candidates. Generators with high recall propose overlapping spans: digit groups with separators, a name and a number after a
-word like ``phone``, and spelled-out addresses (``name at host dot com``). Features are the candidate's format and its
-context; what decides the fixed patterns (check digits, the leading plus, the at sign) is left out. Trees learn from the
+word like ``phone``, and spelled-out addresses (``name at host dot com``). Features are the candidate's format, its check
+digit and its context. Trees learn from the
 candidates of at most ``most_docs`` documents, those that overlap a fixed pattern's valid match being positive. A
 generator's threshold is the least score at which the share of positives among held-out candidates (a third of the
 documents) is at least ``precision``, by at least MIN_HELD of them; if there is none, the generator adds nothing. Chosen
@@ -46,7 +46,7 @@ GENERATORS = {
     "labelled": r"(?i)(?<![a-z])(?:tel|phone|mobile|fax|call|card|iban|account|passport|ssn)[.:#\x20]{1,3}[0-9A-Z](?:[\x20-]?[0-9]){6,24}+(?![0-9A-Za-z])",
     "spelled": r"(?i)(?<![a-z0-9._%+-])[a-z0-9][a-z0-9._%+-]{1,40}+\x20?[(\[]?\x20?at\x20?[)\]]?\x20?[a-z0-9-]{2,40}+\x20?[(\[]\x20?dot\x20?[)\]]\x20?[a-z]{2,10}+",
 }
-FEATURES = ["len", "digits", "groups", "seps", "dashes", "spaces", "brackets", "first", "longest", "word_before", "label_before", "word_after"]
+FEATURES = ["len", "digits", "groups", "seps", "dashes", "spaces", "brackets", "first", "longest", "luhn", "word_before", "label_before", "word_after"]
 FEATURE_SQL = {
     "len": "length(v)",
     "digits": "length(regexp_replace(v, '[^0-9]', ''))",
@@ -57,6 +57,7 @@ FEATURE_SQL = {
     "brackets": "length(regexp_replace(v, '[^()]', ''))",
     "first": "coalesce(cast(regexp_extract(v, '([0-9])', 1) as int), -1)",
     "longest": "coalesce(array_max(transform(regexp_extract_all(v, '([0-9]+)', 1), x -> length(x))), 0)",
+    "luhn": "if(luhn_check(regexp_replace(v, '[^0-9]', '')), 1, 0)",
     "word_before": r"if(before rlike r'[A-Za-z],?\x20?$', 1, 0)",
     "label_before": r"if(lower(before) rlike r'(tel|phone|mobile|fax|call|card|iban|account|acct|passport|ssn|id)[^a-z0-9]*$', 1, 0)",
     "word_after": r"if(after rlike r'^\x20?[A-Za-z]', 1, 0)",
