@@ -39,7 +39,8 @@ SPANS = ((0, 4096), (4096, 4096), (8192, 2048), (10240, 2048))
 ROWS = 12288
 BLOCK = 256
 END, START = np.uint64(0x1234567890ABCDE1), np.uint64(0x0FEDCBA987654323)
-MINIBATCH = 4096
+#: Tokens of a training step, and of a scoring step.
+MINIBATCH, SCORED = 16384, 4096
 
 
 def sequences(texts: pa.Array):
@@ -125,18 +126,26 @@ def log_softmax(w: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray
 
 
 def learn(w: np.ndarray, bias: np.ndarray, rows: np.ndarray, y: np.ndarray, square: np.ndarray, met: np.ndarray, rate: float) -> None:
-    """One AdaGrad step per minibatch, in place; ``met`` counts how often each row was active."""
+    """One AdaGrad step per minibatch, in place, with one step size a row; ``met`` counts how often each row was active."""
     for s in range(0, len(y), MINIBATCH):
         part, yy = rows[:, s : s + MINIBATCH], y[s : s + MINIBATCH]
-        g = -np.exp(log_softmax(w, bias, part))
+        g = w[part[0]]
+        for r in part[1:]:
+            g += w[r]
+        g += bias
+        g -= g.max(axis=1, keepdims=True)
+        np.exp(g, out=g)
+        g *= -1 / g.sum(axis=1, keepdims=True)
         g[np.arange(len(yy)), yy] += 1
         for r in part:
-            order = np.argsort(r, kind="stable")
-            edge = np.flatnonzero(np.concatenate([[True], np.diff(r[order]) > 0]))
-            at = r[order][edge]
+            order = np.argsort(r.astype(np.uint16), kind="stable")
+            sorted_ = r[order]
+            edge = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+            at = sorted_[edge]
             total = np.add.reduceat(g[order], edge, axis=0)
-            square[at] += total * total
-            w[at] += rate * total / np.sqrt(square[at])
+            square[at] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+            total *= (rate / np.sqrt(square[at]))[:, None]
+            w[at] += total
             met[at] += np.diff(np.concatenate([edge, [len(r)]]))
 
 
@@ -171,7 +180,7 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(scan, "h long, e int, c long").groupBy("h").agg(F.min("e").alias("e"), F.sum("c").alias("c"))
 
 
-def train(texts: DataFrame, shared: Shared, rounds: int = 2, rate: float = 0.2) -> np.ndarray:
+def train(texts: DataFrame, shared: Shared, rounds: int = 1, rate: float = 0.2) -> np.ndarray:
     """Weights of the class softmax, ROWS by CLASSES."""
     spark = texts.sparkSession
     weights = np.zeros((ROWS, CLASSES), np.float32)
@@ -181,7 +190,7 @@ def train(texts: DataFrame, shared: Shared, rounds: int = 2, rate: float = 0.2)
 
         def step(batches, start=start):
             s, w0 = held.value, start.value
-            w, square, met = w0.copy(), np.full((ROWS, CLASSES), 1.0, np.float32), np.zeros(ROWS, np.int64)
+            w, square, met = w0.copy(), np.ones(ROWS, np.float32), np.zeros(ROWS, np.int64)
             for b in batches:
                 for _, h, e, _, before in sequences(b.column(0)):
                     learn(w, s.bias, feature_rows(before), s.classes(h, e), square, met, rate)
@@ -208,7 +217,7 @@ def train(texts: DataFrame, shared: Shared, rounds: int = 2, rate: float = 0.2)
     return weights
 
 
-def score(docs: DataFrame, rounds: int = 2) -> DataFrame:
+def score(docs: DataFrame, rounds: int = 1) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -234,7 +243,7 @@ def score(docs: DataFrame, rounds: int = 2) -> DataFrame:
                 own = np.where(known, np.log10(np.maximum(c, 1) + DELTA), 0)
                 k = s.classes(h, e)
                 f = feature_rows(before)
-                of_class = np.concatenate([log_softmax(w, s.bias, f[:, a : a + MINIBATCH])[np.arange(len(k[a : a + MINIBATCH])), k[a : a + MINIBATCH]] for a in range(0, len(k), MINIBATCH)]) / math.log(10)
+                of_class = np.concatenate([log_softmax(w, s.bias, f[:, a : a + SCORED])[np.arange(len(k[a : a + SCORED])), k[a : a + SCORED]] for a in range(0, len(k), SCORED)]) / math.log(10)
                 n = np.bincount(row, minlength=rows)
                 local = np.bincount(row, own, rows)
                 rest = np.bincount(row, of_class - s.log_mass[k], rows)
