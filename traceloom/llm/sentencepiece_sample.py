@@ -36,7 +36,7 @@ from traceloom.sources.tables import read_table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 32
-PASS = 3_000_000
+PASS = 1_500_000
 IDENTITY = np.arange(256, dtype=np.uint8)
 
 
@@ -61,9 +61,11 @@ class Vocabulary:
             data = np.frombuffer(b"".join(p for p, _ in found), np.uint8)
             h = hashes(data, np.arange(len(found)) * n, n)
             order = np.argsort(h)
+            h = h[order]
             bit = np.zeros(1 << 20, bool)
             bit[h >> np.uint64(44)] = True
-            self.tables[n] = (h[order], np.array([i for _, i in found])[order], bit)
+            near = np.searchsorted(h >> np.uint64(48), np.arange(1 << 16)).astype(np.int32)
+            self.tables[n] = (np.append(h, np.uint64(2**64 - 1)), np.append([i for _, i in found], -1)[np.append(order, len(h))], bit, near)
 
 
 def load(path: str) -> Vocabulary:
@@ -110,7 +112,7 @@ class Lattice:
         start, length, piece = [], [], []
         inverse = arrays.powers(max(1, len(data)), -1)
         open_, room, back = at, stop - at, inverse[: len(data)]
-        for n, (table, ids, bit) in vocabulary.tables.items():  # ascending: fewer places have room each time
+        for n, (table, ids, bit, near) in vocabulary.tables.items():  # ascending: fewer places have room each time
             fits = room >= n
             open_, room, back = open_[fits], room[fits], back[fits]
             if not len(open_):
@@ -118,7 +120,11 @@ class Lattice:
             h = arrays.mix((value[open_ + n] - value[open_]) * back)
             maybe = np.flatnonzero(bit[h >> np.uint64(44)])
             s, h = open_[maybe], h[maybe]
-            k = np.minimum(np.searchsorted(table, h), len(table) - 1)
+            k = near[(h >> np.uint64(48)).astype(np.int64)]
+            low = np.flatnonzero(table[k] < h)
+            while len(low):
+                k[low] += 1
+                low = low[table[k[low]] < h[low]]
             ok = table[k] == h
             s, k = s[ok], k[ok]
             start.append(s)
@@ -139,7 +145,7 @@ class Lattice:
         self.start = start + unit[start]
         self.end = self.start + length
         places = len(data) + units
-        self.first = np.searchsorted(self.start, np.arange(places + 1))
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.start, minlength=places))])
         ends = offsets[1:] + np.arange(units)
         self.is_end = np.zeros(places, bool)
         self.is_end[ends] = True
@@ -178,10 +184,15 @@ class Lattice:
         return arc
 
 
-def uniform(key: np.ndarray, salt: np.ndarray | int, at: np.ndarray) -> np.ndarray:
-    """Numbers in (0, 1) from a hash."""
-    h = arrays.mix(arrays.mix(key + np.uint64(0x9E3779B97F4A7C15) * np.asarray(salt).astype(np.uint64)) ^ at.astype(np.uint64))
-    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+def salted(key: np.ndarray, salt: int) -> np.ndarray:
+    """The row keys of one round."""
+    return arrays.mix(key + np.array(salt, np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def uniform(key: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) from a hash of salted keys and places."""
+    h = arrays.mix(key ^ at.astype(np.uint64))
+    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
 def truncated(key: np.ndarray, u: np.ndarray, mass: np.ndarray) -> np.ndarray:
@@ -196,10 +207,11 @@ class Walk:
     def __init__(self, lattice: Lattice, place: np.ndarray, row_key: np.ndarray, offset: np.ndarray, bound: np.ndarray, salt: int):
         steps = []
         now = place.copy()
+        choose, rest = salted(row_key, 2 * salt), salted(row_key, 2 * salt + 1)
         live = np.flatnonzero(~lattice.is_end[now])
         while len(live):
             p = now[live]
-            arc = lattice.draw(p, uniform(row_key[live], 2 * salt, p + offset[live]))
+            arc = lattice.draw(p, uniform(choose[live], p + offset[live]))
             steps.append((live, arc))
             now[live] = lattice.end[arc]
             live = live[~lattice.is_end[now[live]]]
@@ -211,10 +223,9 @@ class Walk:
         for k, (live, arc) in enumerate(steps):
             self.arcs[self.first[live] + k] = arc
         track = np.repeat(np.arange(len(place)), count)
-        mass = 1 - lattice.p[self.arcs]
-        mass[lattice.first[lattice.start[self.arcs] + 1] - lattice.first[lattice.start[self.arcs]] == 1] = 0
+        mass = 1 - lattice.p[self.arcs]  # 0 where a place has one arc: its weight and its backward sum are the same numbers
         mass[mass < 1e-14] = 0
-        self.keys = truncated(bound[track], uniform(row_key[track], 2 * salt + 1, lattice.start[self.arcs] + offset[track]), mass)
+        self.keys = truncated(bound[track], uniform(rest[track], lattice.start[self.arcs] + offset[track]), mass)
         self.track = track
 
 
@@ -238,7 +249,7 @@ def sample_pass(data: np.ndarray, offsets: np.ndarray, row_key: np.ndarray, voca
     unit_first = np.searchsorted(start, offsets)
     place = lattice.begin[which]
     shift = (start - offsets[row_of]) - place  # place + shift is the byte's place in its text
-    key = -np.log(-np.log(uniform(row_key, 1 << 20, np.zeros(rows))))
+    key = -np.log(-np.log(uniform(salted(row_key, 1 << 20), np.zeros(rows))))
     walk = Walk(lattice, place, row_key[row_of], shift, key[row_of], 0)
     # per row: paths (arcs, units), open sets (keys, path, depth of the first, excluded arcs by position)
     paths, fronts, found = [[] for _ in range(rows)], [[] for _ in range(rows)], [[] for _ in range(rows)]
@@ -267,7 +278,7 @@ def sample_pass(data: np.ndarray, offsets: np.ndarray, row_key: np.ndarray, voca
             span = np.arange(lattice.first[here], lattice.first[here + 1])
             share = np.where(np.isin(span, list(gone)), 0.0, lattice.p[span])
             spot = np.array([here + int(shift[unit[at]])])
-            u = uniform(row_key[r : r + 1], 2 * round_ + (1 << 21), spot)[0]
+            u = uniform(salted(row_key[r : r + 1], 2 * round_ + (1 << 21)), spot)[0]
             total = np.cumsum(share)
             j = int(min(np.searchsorted(total, u * total[-1], "right"), len(span) - 1))
             if share[j] == 0:
@@ -275,7 +286,7 @@ def sample_pass(data: np.ndarray, offsets: np.ndarray, row_key: np.ndarray, voca
             gone.add(int(span[j]))
             rest = total[-1] - share[j]
             left = np.array([rest if rest > 1e-14 and len(span) > len(gone) else 0.0])
-            keys[i] = truncated(np.array([top]), uniform(row_key[r : r + 1], 2 * round_ + 1 + (1 << 21), spot), left)[0]
+            keys[i] = truncated(np.array([top]), uniform(salted(row_key[r : r + 1], 2 * round_ + 1 + (1 << 21)), spot), left)[0]
             new = int(span[j])
             u0 = int(unit[at])
             places.append(np.concatenate([[lattice.end[new]], place[u0 + 1 : unit_first[r + 1]]]))
@@ -323,12 +334,12 @@ def decode_ids(ids, pieces: list[bytes]) -> str:
     return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
-RESULT = "doc_id long, rank int, ids array<int>, log_prob double, inclusion double, round_trip boolean"
+RESULT = "doc_id long, rank int, ids array<int>, log_prob double, inclusion double"
 
 
 def encode(df: DataFrame, k: int = 2, seed: int = 17, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, rank, ids, log_prob, inclusion, round_trip``: up to k distinct segmentations for every row, by key.
-    ``round_trip`` tells whether the ids decode to the text."""
+    """``doc_id, rank, ids, log_prob, inclusion``: up to k distinct segmentations for every row, by key. :func:`decode` gives
+    back the text from any of them."""
     spark = df.sparkSession
     small_batches(spark)
     held = spark.sparkContext.broadcast(load(model))
@@ -341,21 +352,19 @@ def encode(df: DataFrame, k: int = 2, seed: int = 17, model: str = MODEL, id_col
             data, offsets = arrays.text_bytes(b.column(1))
             for i, j in arrays.passes(offsets, PASS):
                 part, bounds = with_space(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                at, rank, pieces, log, inclusion, same = [], [], [], [], [], []
+                at, rank, pieces, log, inclusion = [], [], [], [], []
                 for r, (samples, nxt) in enumerate(sample_pass(part, bounds, keys[i:j], vocabulary, k)):
-                    raw = part[bounds[r] : bounds[r + 1]].tobytes()
                     for n, (p, lp, _) in enumerate(samples, 1):
                         at.append(i + r)
                         rank.append(n)
                         pieces.append(p)
                         log.append(lp)
                         inclusion.append(-math.expm1(-math.exp(min(700.0, lp - nxt))) if nxt > -math.inf else 1.0)
-                        same.append(b"".join(map(vocabulary.bytes.__getitem__, p.tolist())) == raw)
                 bounds = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
                 flat = np.concatenate(pieces).astype(np.int32) if pieces else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(at)), pa.array(rank, pa.int32()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat)), pa.array(log, pa.float64()), pa.array(inclusion, pa.float64()), pa.array(same, pa.bool_())],
-                    ["doc_id", "rank", "ids", "log_prob", "inclusion", "round_trip"],
+                    [ids.take(pa.array(at)), pa.array(rank, pa.int32()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat)), pa.array(log, pa.float64()), pa.array(inclusion, pa.float64())],
+                    ["doc_id", "rank", "ids", "log_prob", "inclusion"],
                 )
 
     return df.select(df[id_col].cast("long"), df[text_col].cast("string")).mapInArrow(scan, RESULT)
