@@ -18,4 +18,4 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-from traceloom.plans import curation  # noqa: E402, F401  registers its queries
+from traceloom.plans import curation, evaluation  # noqa: E402, F401  each registers its queries
