@@ -36,7 +36,7 @@ from traceloom.sources.tables import read_table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 32
-PASS = 1_500_000
+PASS = 500_000
 IDENTITY = np.arange(256, dtype=np.uint8)
 
 
