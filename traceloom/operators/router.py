@@ -47,7 +47,7 @@ def resolve_route(name, teachers: list[str]) -> DataFrame | Column:
 def rolling_rate(rows: DataFrame, flag, seconds: int = 300, least: int = 20, alert: float = 0.2) -> DataFrame:
     """For each row the share of ``flag`` among the rows of the last ``seconds``, and whether it is an alert. Rows are dealt by
     time bucket, each with the bucket before it, so the window isn't one task's work."""
-    t = F.unix_micros("received_at")
+    t = F.unix_micros(F.col("received_at").cast("timestamp"))
     width = seconds * 1_000_000
     own = F.floor(t / width)
     spread = rows.select("id", t.alias("t"), flag.cast("int").alias("f"), F.explode(F.array(own, own + 1)).alias("k"), own.alias("own"))

@@ -295,7 +295,7 @@ def first_divergence(spark, d):
 
 @query("turn_windows", """with m as (select conv_id, turn, case when role = 'system' then 'tool' else role end as role, row_number() over (partition by conv_id order by turn) as n from conversations),
  k as (select *, max(case when role <> 'tool' then turn end) over (partition by conv_id order by turn) as ok from m)
-select a.conv_id, a.turn, (select arg_min(ok, n) from k b where b.conv_id = a.conv_id and b.n between a.n - 2 and a.n) as start from k a where a.role = 'assistant'""")
+select a.conv_id, a.turn, (select max(ok) from k b where b.conv_id = a.conv_id and b.n = greatest(1, a.n - 2)) as start from k a where a.role = 'assistant'""")
 def turn_windows(spark, d):
     m = V.turns(spark, d).withColumn("role", F.when(F.col("role") == "system", "tool").otherwise(F.col("role")))
     return E.turn_windows(m, "conv_id", 3)
