@@ -89,7 +89,7 @@ def fit_calibrator(df: DataFrame, features: list[str], label: str = "y"):
     vec = VectorAssembler(inputCols=cols, outputCol="_x").transform(wide)
     trees = GBTClassifier(featuresCol="_x", labelCol=label, maxDepth=3, maxIter=20, stepSize=0.1, seed=0).fit(vec)
     scored = trees.transform(vec).withColumn("_s", _second(F.col("probability")))
-    curve = IsotonicRegression(featuresCol="_s", labelCol=label).fit(scored)
+    curve = IsotonicRegression(featuresCol="_s", labelCol=label).fit(scored.select(label, "_s"))
     return trees, curve, cols
 
 
