@@ -23,6 +23,11 @@ UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F
 ISO_TIME = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2})?(?:\.\d+)?(?:Z|z|[+-]\d{2}:?\d{2})?)?$"
 
 
+def let(value, use) -> Column:
+    """``use(value)`` with the value computed once: an expression that a lambda mentions would be computed for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def words(text) -> Column:
     """Lower-case word tokens in order."""
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), 1)
@@ -30,8 +35,11 @@ def words(text) -> Column:
 
 def grams(tokens, n: int) -> Column:
     """Distinct runs of n tokens joined by a space; one run of all tokens when there are fewer; none for none."""
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(tokens) - n, F.lit(0))), lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))
-    return F.when(F.size(tokens) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(runs))
+    def runs(t):
+        made = F.transform(F.sequence(F.lit(0), F.greatest(F.size(t) - n, F.lit(0))), lambda i: F.array_join(F.slice(t, i + 1, n), " "))
+        return F.when(F.size(t) == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(made))
+
+    return let(tokens, runs)
 
 
 def shingles(text, n: int = 5) -> Column:
