@@ -21,7 +21,7 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 _powers = {1: np.ones(1, np.uint64), -1: np.ones(1, np.uint64)}
 #: Bytes of text that one numpy pass holds; a longer single text makes a pass of its own.
-PASS_BYTES = 2_000_000
+PASS_BYTES = 1_000_000
 
 
 def powers(n: int, sign: int = 1) -> np.ndarray:
