@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from traceloom.llm import arrays
 from traceloom.llm.registry import query
-from traceloom.llm.store import small_batches
+from traceloom.llm.store import small_batches, smallest_by_hash
 from traceloom.sources.tables import read_table
 
 BITS = 18
@@ -65,14 +65,13 @@ def training(docs: DataFrame, most_rows: int, landmarks: int) -> tuple[dict, set
     """Training ids with their language, at most ``most_rows``, balanced over languages by hash; the ids of landmarks."""
     id_ = F.col("doc_id").cast("long")
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.crc32(id_.cast("string").cast("binary")) % 4 != 2))
-    # a first cut by hash bounds what the window sorts, without a shuffle of all ids into one task
     langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(256).collect()]
     share = max(1, most_rows // max(1, len(langs)))
-    keyed = rows.select(id_.alias("id"), "lang", F.xxhash64(id_).alias("h"))
+    keyed = rows.select(id_.alias("id"), "lang")
     chosen: dict = {}
     marks: set = set()
     for lang in sorted(langs):
-        got = keyed.where(F.col("lang") == lang).orderBy("h", "id").limit(share).select("id").collect()
+        got = smallest_by_hash(keyed.where(F.col("lang") == lang).select("id"), ["id"], share).collect()
         chosen |= {r[0]: lang for r in got}
         marks |= {r[0] for r in got[: max(1, landmarks // len(langs))]}
     return chosen, marks, sorted(langs)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from traceloom.llm import arrays
 from traceloom.llm.registry import query
-from traceloom.llm.store import materialize, small_batches
+from traceloom.llm.store import materialize, most_frequent, small_batches
 from traceloom.sources.tables import read_table
 
 DELTA = 0.1
@@ -226,7 +226,7 @@ def score(docs: DataFrame, rounds: int = 1) -> DataFrame:
     training = docs.where(~out).select(F.col("text").cast("string"))
     counts = materialize(token_counts(training), "counts")
     sums = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
-    top = [tuple(r) for r in counts.orderBy(F.col("c").desc(), "h").limit(FREQUENT).select("h", "c", "e").toArrow().to_pandas().itertuples(index=False)]
+    top = [tuple(r) for r in most_frequent(counts, "c", FREQUENT).select("h", "c", "e").toArrow().to_pandas().sort_values(["c", "h"], ascending=[False, True]).itertuples(index=False)]
     endings = [tuple(r) for r in counts.groupBy("e").agg(F.sum("c"), F.count(F.lit(1))).orderBy("e").collect()]  # 65,536 at most
     shared = Shared(top, endings, int(sums[0] or 0), int(sums[1]))
     weights = train(training, shared, rounds)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from traceloom.llm import boosted
 from traceloom.llm.registry import query
+from traceloom.llm.store import smallest_by_hash
 from traceloom.sources.tables import read_table
 
 # The patterns, in the order in which kinds are listed. They are written so that Java's engine neither
@@ -119,7 +120,7 @@ def candidates(found: DataFrame) -> DataFrame:
 
 def fit(df: DataFrame, id_col: str, text_col: str, most_docs: int, precision: float) -> dict:
     """Per generator the model and its threshold; a generator without a threshold is left out."""
-    ids = df.select(df[id_col].cast("long").alias("sample_id")).where("sample_id is not null").distinct().orderBy(F.xxhash64("sample_id"), "sample_id").limit(most_docs)
+    ids = smallest_by_hash(df.select(df[id_col].cast("long").alias("sample_id")).where("sample_id is not null"), ["sample_id"], most_docs)
     some = df.join(F.broadcast(ids), df[id_col].cast("long") == F.col("sample_id"), "left_semi")  # most_docs ids
     found = candidates(base_spans(texts(some, id_col, text_col)))
     one = [F.expr(f"transform({g}, x -> named_struct('g', '{g}', 'hit', x.hit, {', '.join(f"'{f}', x.{f}" for f in FEATURES)}))") for g in GENERATORS]

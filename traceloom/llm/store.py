@@ -30,3 +30,34 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Bound the rows of an Arrow batch, so that long texts don't add up in a Python worker."""
     if int(spark.conf.get(ARROW_ROWS, "10000")) > rows:
         spark.conf.set(ARROW_ROWS, str(rows))
+
+
+def smallest_by_hash(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The ``n`` rows with the smallest (hash of ``keys``, keys). Rows beyond a hash that about n rows stay below are left out
+    before the sort, so that no partition sends n rows of its own to the driver."""
+    from pyspark.sql import functions as F
+
+    h = F.xxhash64(*keys)
+    total = df.count()
+    want = n + 8 * n**0.5 + 50
+    if total > 2 * want:
+        some = df.where(h <= F.lit(int(-(2**63) + 2**64 * (want / total))))
+        if some.count() >= n:
+            df = some
+    return df.orderBy(h, *keys).limit(n)
+
+
+def most_frequent(df: DataFrame, count: str, most: int) -> DataFrame:
+    """Rows whose ``count`` is at least a threshold, chosen so that at most ``most`` rows have it. The threshold comes from a
+    histogram of logarithms, a few hundred rows, instead of a sort of which each partition would send ``most`` rows."""
+    from pyspark.sql import functions as F
+
+    bucket = F.floor(F.log2(F.col(count)) * 8)
+    sizes = sorted(((r[0], r[1]) for r in df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1))).collect()), reverse=True)
+    least, total = None, 0
+    for b, n in sizes:
+        total += n
+        if total > most:
+            break
+        least = b
+    return df.where(bucket >= least) if least is not None else df.limit(0)
