@@ -31,8 +31,9 @@ def jaccard_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float, n
 
     Prefix filter: a pair must share one of the first n - ceil(threshold n) + 1 shingles in hash order, so only these are
     exploded and joined; candidates are then compared on whole sets. Texts without shingles pair with nothing."""
-    sets = df.select(F.col(id_col).alias("id"), F.transform(shingles(F.col(text_col), n), lambda s: F.xxhash64(s)).alias("s")).where(F.size("s") > 0)
-    sets = written(sets.select("id", F.array_sort("s").alias("s")))
+    sets = df.select(F.col(id_col).alias("id"), F.transform(shingles(F.col(text_col), n), lambda s: F.xxhash64(s)).alias("s"))
+    # the filter comes after the write: pushed into the scan it would compute the shingles twice
+    sets = written(sets.select("id", F.array_sort("s").alias("s"))).where(F.size("s") > 0)
     size = F.size("s")
     prefix = F.slice("s", 1, (size - F.ceil(size * threshold) + 1).cast("int"))
     posts = sets.select("id", size.alias("n"), F.explode(prefix).alias("g"))
@@ -76,7 +77,7 @@ def decontaminate(df: DataFrame, tasks: DataFrame, id_col: str, text_col: str, t
     single task holds, at least ``overlap``; the task with the largest share, then the smallest id. Blank rows and blank tasks
     never match. Grams join as 64-bit hashes; the rows' side is pruned to grams that any task has."""
     hashed = lambda t: F.transform(grams(words(t), n), lambda g: F.xxhash64(g))
-    rows = df.select(F.col(id_col).alias("id"), hashed(F.col(text_col)).alias("g"), exact_key(F.col(text_col)).alias("k")).where(F.size("g") > 0)
+    rows = df.select(F.col(id_col).alias("id"), hashed(F.col(text_col)).alias("g"), exact_key(F.col(text_col)).alias("k"))
     want = tasks.select(F.col(task_id).alias("task"), F.explode(hashed(F.col(task_text))).alias("h"))
     keys = tasks.where(F.size(words(F.col(task_text))) > 0).select(F.col(task_id).alias("task"), exact_key(F.col(task_text)).alias("k"))
     hits = rows.select("id", F.size("g").alias("n"), F.explode("g").alias("h")).join(want, "h")
