@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from traceloom.functions.text import bucket
 from traceloom.operators import cost as M
 from traceloom.operators import evaluation as E
 from traceloom.operators import gate as G
