@@ -23,7 +23,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/traceloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing will read again: no result that is still lazy may come from them."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        place = jvm.org.apache.hadoop.fs.Path(t._path)
+        place.getFileSystem(conf).delete(place, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
