@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import SparkSession
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if that path exists there as well. Where it
+    doesn't, install the package or ship it with ``--py-files``."""
+    root, env = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), spark.sparkContext.environment
+    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *have])
+
+
 def build_session(app: str = "traceloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """A session with UTC time, AQE and Arrow. A cluster's own settings win where ``master`` is None."""
     builder = (
