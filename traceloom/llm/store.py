@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from traceloom.session import workers_find_package
+
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -37,7 +39,8 @@ def discard(*tables: DataFrame) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Bound the rows of an Arrow batch, so that long texts don't add up in a Python worker."""
+    """Bound the rows of an Arrow batch, so that long texts don't add up in a Python worker; workers find the package."""
+    workers_find_package(spark)
     if int(spark.conf.get(ARROW_ROWS, "10000")) > rows:
         spark.conf.set(ARROW_ROWS, str(rows))
 
