@@ -55,6 +55,20 @@ def test_random_groups(spark, monkeypatch, seed, n, groups, short):
     assert sorted(tuple(r) for r in J.classes(df).collect()) == brute(rows)
 
 
+@pytest.mark.parametrize("short", [2, 96])
+def test_frequent_passage_in_short_documents(spark, monkeypatch, short):
+    """Pairs share 85 frequent shingles, too few to link, and 5 rare ones; longer documents hold the passage after their prefix."""
+    monkeypatch.setattr(J, "SAMPLE", 1)
+    monkeypatch.setattr(J, "SHORT", short)
+    words = lambda name, n: [f"{name}x{k}" for k in range(n)]
+    rows = [words("p", 89) + words(f"long{i}", 300) for i in range(30)]
+    rows += [words("p", 89) + words(f"pair{i // 2}", 5) + words(f"own{i}", 10) for i in range(6)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(rows)]
+    want = brute(rows)
+    assert len({c for _, _, c in want}) == 33
+    assert sorted(tuple(r) for r in J.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == want
+
+
 def test_query_equals_oracle(spark):
     sf = "/root/testdata/sf0.001"
     assert_same(J.op10_ngram_join(spark, sf), ORACLES["op10_ngram_join"], sf)

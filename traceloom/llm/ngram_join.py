@@ -11,7 +11,8 @@ frequent shingles last (found on a sixteenth of the documents; which shingles th
    per salt, and with the one of fewest over all salts, and stays. Two sets whose first common shingle is frequent share frequent ones only, so pairs of a frequent
    shingle's list must have frequent shingles enough, besides fitting sizes.
    Sets that link share more than one prefix shingle: of the prefix whose last rank is lower, all but as many as its set
-   may lack. A pair's shared lists are counted, long ones bounded by how many each node is in, and pairs below go.
+   may lack. A pair's shared lists are counted, long ones bounded by how many each node is in, and pairs below go. Lists of
+   frequent shingles don't count a pair whose frequent shingles don't suffice; they are bounded by how many its prefixes hold.
 4. The pairs pass the other orders' prefix filters and then an exact comparison; links make components.
 5. In a long list that still holds several components, every node outside the largest one is paired with all nodes of
    other components, and step 4 runs on these. Pairs within one component need no test: their class is known.
@@ -46,6 +47,8 @@ MOST_FREQUENT = 500_000
 SHORT = 96
 #: Nodes of one salt of a frequent shingle, about.
 SALTED = 512
+#: Salt of the rows that give a node's frequent shingles.
+OWN = -2
 #: Partitions hold so many postings, about.
 PART_ROWS = 250_000
 #: Pairs that meet one copy of a shared set.
@@ -151,7 +154,8 @@ def frequent_of(found: DataFrame) -> Frequent:
 
 def postings(df: DataFrame, id_col: str, text_col: str, frequent: Frequent) -> DataFrame:
     """``t, salt, node, n, f`` for the first order's prefixes, salt -1 for shingles that have no salts; ``f`` is the set's
-    number of frequent shingles, or n if the shingle is rare. A task gives each of its nodes once."""
+    number of frequent shingles, or n if the shingle is rare. A task gives each of its nodes once. A node whose prefix holds
+    frequent shingles has one more row, of salt OWN, with the node for t."""
 
     held = df.sparkSession.sparkContext.broadcast(frequent)  # bounded by MOST_FREQUENT
 
@@ -182,6 +186,10 @@ def postings(df: DataFrame, id_col: str, text_col: str, frequent: Frequent) -> D
                 f = size.copy()
                 f[at] = np.repeat(often[nodes], sizes)[at]
                 salt[at] = np.where(salts[where] > 1, arrays.mix(node[at]) % salts[where], np.uint64(2**64 - 1)).view(np.int64)
+                new = np.array(nodes)
+                new = new[often[new] >= n[new] - np.array(sizes) + 1]  # more frequent ones than places after the prefix
+                t, node = np.concatenate([t, k1[new]]), np.concatenate([node, k1[new]])
+                salt, size, f = np.concatenate([salt, np.full(len(new), OWN)]), np.concatenate([size, n[new]]), np.concatenate([f, often[new]])
                 yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(node.view(np.int64)), pa.array(size, pa.int32()), pa.array(f, pa.int32())], ["t", "salt", "node", "n", "f"])
 
     return df.select(F.lit(0).alias("x"), df[text_col].cast("string").alias("text")).mapInArrow(scan, "t long, salt int, node long, n int, f int")
@@ -226,13 +234,22 @@ class Pairs:
 
 def list_partition(batches):
     """Pairs of short lists (kind 0: a < b, f the number of lists), pairs with the first two nodes of long ones (kind 0, f
-    is 0), and the long lists' postings (kind 1: a is the shingle, b the node, na its size, nb the salt, f its frequent
-    shingles)."""
+    is 0), the long lists' postings (kind 1: a is the shingle, b the node, na its size, nb the salt, f its frequent
+    shingles), and the rows of salt OWN (kind 2: b is the node, na its size, f its frequent shingles)."""
     tables = [b for b in batches if b.num_rows]
     if not tables:
         return
     t, salt, node, n, f = (np.concatenate([np.asarray(b.column(i)) for b in tables]) for i in range(5))
     del tables
+    own = salt == OWN
+    if own.any():
+        b, first = np.unique(node[own], return_index=True)  # a node that several tasks gave
+        na, often = n[own][first], f[own][first]
+        zero = np.zeros(len(b), np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(zero + 2), pa.array(zero.astype(np.int64)), pa.array(b), pa.array(na), pa.array(zero), pa.array(often)], NAMES)
+        t, salt, node, n, f = (x[~own] for x in (t, salt, node, n, f))
+        if not len(t):
+            return
     n, f = n.astype(np.int64), f.astype(np.int64)
     order = np.lexsort((node, n - f, salt, t))
     t, salt, node, n, f = t[order], salt[order], node[order], n[order], f[order]
@@ -417,11 +434,15 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     flip = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.expr("if(a < b, na, nb)").alias("na"), F.expr("if(a < b, nb, na)").alias("nb")]
     seen = lists.where("kind = 0").select("a", "b", "na", "nb", F.col("f").alias("c")).union(meet.where(near).select(*flip, F.lit(0).alias("c")))
     seen = seen.groupBy("a", "b").agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("c").alias("c"))
-    # how many long lists a node is in, and its frequent shingles
-    inside = materialize(long.groupBy("node").agg(F.count(F.lit(1)).alias("l"), F.min("f").alias("f")), "inside")
-    side = lambda c: inside.select(F.col("node").alias(c), F.col("l").alias(f"l{c}"), F.col("f").alias(f"g{c}"))
-    seen = seen.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    enough = F.col("c") + F.least(F.coalesce("la", F.lit(0)), F.coalesce("lb", F.lit(0))) >= F.expr(LEAST_SHARED)
+    # how many long lists a node is in, its frequent shingles, and those in its prefix (none if it has no row of kind 2)
+    mine = lists.where("kind = 2").select(F.col("b").alias("node"), F.lit(0).alias("l"), F.col("f").alias("g"), F.expr("f - (na - (na - (3 * na + 3) div 4 + 1))").alias("q"))
+    each = long.select("node", F.lit(1).alias("l"), F.lit(0).alias("g"), F.lit(0).alias("q")).union(mine)
+    inside = materialize(each.groupBy("node").agg(F.sum("l").alias("l"), F.max("g").alias("g"), F.max("q").alias("q")), "inside")
+    side = lambda c: inside.select(F.col("node").alias(c), *(F.col(x).alias(x + c) for x in "lgq"))
+    seen = seen.join(side("a"), "a", "left").join(side("b"), "b", "left").na.fill(0, [x + c for x in "lgq" for c in "ab"])
+    # the lists of frequent shingles count for the pairs only whose frequent shingles suffice
+    uncounted = F.expr("if(175L * least(ga, gb) >= 75L * (na + nb), 0, least(qa, qb))")
+    enough = F.col("c") + F.least("la", "lb") + uncounted >= F.expr(LEAST_SHARED)
     seen = materialize(seen.select("a", "b", enough.alias("may")), "seen")
     pairs = seen.where("may").select("a", "b")
     links = verify(df, id_col, text_col, pairs, reps, frequent)
@@ -438,9 +459,7 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         y = open_lists.select("t", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("f").alias("fb"), F.col("root").alias("rb"))
         cross = x.join(y, "t").where("ra <> rb").where(near).select("t", *flip).distinct().groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("c"))
         cross = cross.join(seen.select("a", "b"), ["a", "b"], "left_anti").join(side("a"), "a").join(side("b"), "b")
-        # the lists of a frequent shingle count for the pairs only whose frequent shingles suffice
-        all_counted = F.expr("175L * least(ga, gb) >= 75L * (na + nb)")
-        cross = cross.where(F.col("c") + F.when(all_counted, 0).otherwise(F.least("la", "lb")) >= F.expr(LEAST_SHARED))
+        cross = cross.where(F.col("c") + uncounted >= F.expr(LEAST_SHARED))
         cross = materialize(cross.select("a", "b"), "cross")
         more = verify(df, id_col, text_col, cross, reps, frequent)
         discard(label)
