@@ -51,6 +51,19 @@ def test_lexer_propagates_constants():
     assert S.spans("note: this is prose, key: value") == []
 
 
+def test_columns_and_long_concatenations():
+    import time
+
+    text = "private_key" + " " * 40 + "=" + "\t" * 20 + '"q8Zt4LmP0xVb7"\n'
+    assert [text[s:e] for s, k, e in S.spans(text)] == ["q8Zt4LmP0xVb7"]
+    parts = [f"q8Zt4LmP0xVb{i}" for i in range(40)]
+    text = "part = " + " + ".join(f'"{p}"' for p in parts) + "\nwhole = part\ndb.pwd = whole\n"
+    assert [text[s:e] for s, k, e in S.spans(text) if k == 3] == parts
+    start = time.time()
+    doubled = 'x = "q8Zt4LmP0xVb7"\n' + "x = x + x\n" * 5000 + "db.pwd = x" + " " * 100_000
+    assert [doubled[s:e] for s, k, e in S.spans(doubled)] == ["q8Zt4LmP0xVb7"] and time.time() - start < 10
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     df = spark.createDataFrame([(1, "token = abcdef99 end", "s"), (2, None, "s"), (3, "", None)], "doc_id long, text string, source string")
     got = {r.doc_id: r for r in S.redact_secrets(df).collect()}

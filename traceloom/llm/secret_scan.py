@@ -39,7 +39,7 @@ PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|none|null|true|false|changeme|example
 # a name starts where no longer one could have: a long run of letters is tried once
 TARGET = r"""(?<![A-Za-z0-9_$.>:-])([A-Za-z_$][A-Za-z0-9_$]*+(?:(?:\.|->|::|-)[A-Za-z_$][A-Za-z0-9_$]*+|\[["'][A-Za-z0-9_.-]{1,64}["']\])*+)["'`]?"""
 #: An assignment ends at its operator; what follows is read as an expression.
-ASSIGNMENT = re.compile(TARGET + r"[\x20\t]{0,8}(?::=|=>|=(?!=)|:(?![/:]))[\x20\t]{0,8}")
+ASSIGNMENT = re.compile(TARGET + r"[\x20\t]*+(?::=|=>|=(?!=)|:(?![/:]))[\x20\t]*+")
 ATOM = re.compile(
     r""""((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z_$][A-Za-z0-9_$]*(?:(?:\.|->|::)[A-Za-z_$][A-Za-z0-9_$]*)*)(?![A-Za-z0-9+/=_-])|([A-Za-z0-9+/_.=~@#-]+)"""
 )
@@ -83,21 +83,25 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
-def literals(text: str) -> list[tuple[str, int, int, str]]:
-    """(target name, start, end, value) of every literal that an assignment gives its target, constants propagated."""
-    bound: dict[str, list[tuple[int, int, str]]] = {}
-    out = []
+def literals(text: str) -> list[tuple[float, int, int, str]]:
+    """(sensitivity, start, end, value) of every literal that an assignment gives its target: the largest sensitivity of
+    all targets that it reaches, constants propagated. Assignments keep the numbers of those they use, not their parts."""
+    bound: dict[str, int] = {}
+    found: list[tuple[str, list[tuple[int, int, str]], list[int]]] = []
     at = 0
     while m := ASSIGNMENT.search(text, at):
         at = m.end()
-        parts, pos = [], at
+        parts, used, pos = [], [], at
+        start = -1  # of the first part, if it isn't a name's
         while a := ATOM.match(text, pos):
             pos = a.end()
             kind = next(k for k in range(1, 6) if a.group(k) is not None)
+            if not parts and not used and not (kind == 4 and a.group(4) in bound):
+                start = a.start(kind)
             if kind <= 3 or kind == 5:
                 parts.append((a.start(kind), a.end(kind), a.group(kind)))
             elif a.group(4) in bound:
-                parts += bound[a.group(4)][:16]
+                used.append(bound[a.group(4)])
             elif re.match(r"[\x20\t]*\(", text[pos : pos + 8]):
                 break  # a call's result isn't a constant
             else:
@@ -105,15 +109,19 @@ def literals(text: str) -> list[tuple[str, int, int, str]]:
             if not (j := JOIN.match(text, pos)):
                 break
             pos = j.end()
-        if parts:
-            name = m.group(1)
-            bound[name] = parts[:16]
-            out += [(name, s, e, v) for s, e, v in parts]
-        if not parts or pos == at:
+        if parts or used:
+            bound[m.group(1)] = len(found)
+            found.append((m.group(1), parts, used))
+        if not (parts or used) or pos == at:
             continue
         # the value may itself hold pairs, as in key: name=value; look again from its start unless it was quoted
-        at = pos if parts[0][0] != m.end() else m.end()
-    return out
+        at = pos if start != m.end() else m.end()
+    # later assignments first: what they use gets their sensitivity
+    weight = [sensitivity(name) for name, _, _ in found]
+    for k in range(len(found) - 1, -1, -1):
+        for u in found[k][2]:
+            weight[u] = max(weight[u], weight[k])
+    return [(w, s, e, v) for w, (_, parts, _) in zip(weight, found, strict=True) for s, e, v in parts]
 
 
 def spans(text: str) -> list[tuple[int, int, int]]:
@@ -122,8 +130,7 @@ def spans(text: str) -> list[tuple[int, int, int]]:
     if not LETTER_OR.search(text):
         return base
     extra = set()
-    for name, s, e, v in literals(text):
-        weight = sensitivity(name)
+    for weight, s, e, v in literals(text):
         if weight and e > s and weight * likeness(v) >= THRESHOLD and not any(b[0] < e and s < b[2] for b in base):
             extra.add((s, 3, e))
     return sorted(base + list(extra))
