@@ -45,6 +45,16 @@ def test_restores(model):
     assert restore("Nothing to do, at 12:30 on 2024-01-01.") == ("nothing to do, at 12:30 on 2024-01-01.", 0)
 
 
+def test_restores_long_spans_and_any_place_of_marks(model):
+    restore = T.Restorer(model)
+    sentence = " ".join(["the idiot was a clown and a loser"] * 3)
+    spelled = " ".join(sentence.replace(" ", ""))
+    restored, changed = restore(spelled)
+    assert len(spelled) > 64 and changed == 1 and restored.replace(" ", "") == sentence.replace(" ", "")
+    assert {"idiot", "clown"} <= set(T.WORDS.findall(restored))
+    assert [restore(x)[0] for x in ["57up1d", "l053r", "idio7", "clow+", "a 57up1d moron"]] == ["stupid", "loser", "idiot", "clow", "a stupid moron"]
+
+
 def test_long_words_take_linear_time(model):
     import time
 

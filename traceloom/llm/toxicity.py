@@ -3,7 +3,7 @@
 A text is read as a channel's output: leetspeak replaced letters, spaces or marks were put between letters, letters were
 repeated. Only suspicious spans branch; a clean character is a single arc of the lattice, so decoding it changes nothing:
 
-* ``leet``: a word with a digit or mark between or next to letters; a mark is one of its letters, or itself, or nothing;
+* ``leet``: any word of letters that holds a digit or mark; a mark is one of its letters, or itself, or nothing;
 * ``spacing``: three or more single characters apart by one space or mark each; each gap may vanish;
 * ``repeat``: a letter three or more times in a row; it is kept once or twice.
 
@@ -45,12 +45,15 @@ LEET = {
 SUBSTITUTED, ITSELF, INSERTED, REPEATED = math.log(0.1), math.log(0.02), math.log(0.03), math.log(0.2)
 _L = "a-zà-öø-ÿœß"
 MARKS = "".join(LEET)
-# repeat and leet begin at a word's start only, so that a long word isn't tried from each of its letters
+_M = re.escape(MARKS)
+#: The rest of a word; points, stars and dashes only before more of it.
+_REST = rf"[{_L}{_M}]*+(?:[*._-]++[{_L}{_M}]++)*+"
+# repeat and leet begin at a word's start only, so that a long word isn't tried from each of its letters; a word of two
+# characters holds no word that counts
 SUSPICIOUS = re.compile(
     rf"(?<![{_L}0-9])(?:[{_L}0-9@$!|+](?:[ ]|[.*_-])){{2,}}[{_L}0-9@$!|+](?![{_L}0-9])"  # spacing
-    rf"|(?<![{_L}])[{_L}]*([{_L}])\1\1[{_L}0-9@$!|+(<€£]*"  # repeat
-    rf"|(?<![{_L}])[{_L}]+[0-9@$!|+(<€£*._-]{{1,2}}[{_L}][{_L}0-9@$!|+(<€£*._-]*"  # leet inside a word
-    rf"|(?<![{_L}0-9.,:/-])[0-9@$!|+(<€£][{_L}][{_L}0-9@$!|+(<€£]+"  # leet at its start
+    rf"|(?<![{_L}])[{_L}]*([{_L}])\1\1{_REST}"  # repeat
+    rf"|(?<![{_L}{_M}])(?=[{_L}{_M}*._-]{{3}})(?:[{_L}]++(?=[*._-]*+[{_M}]|[*._-]++[{_L}])|[{_M}]++(?=[{_L}])){_REST}"  # leet
 )
 WORDS = re.compile(rf"[{_L}]{{3,}}")
 STEM = 5
@@ -102,6 +105,7 @@ def arcs(span: str) -> list[list[tuple[str, float]]]:
     out = []
     spaced = len(span) > 2 and all(not c.isalnum() for c in span[1::2]) and len(span) % 2 == 1
     run = 0
+    tripled = {c for c in set(span) if c * 3 in span}
     for i, c in enumerate(span):
         run = run + 1 if i and c == span[i - 1] else 1
         if spaced and i % 2 == 1:
@@ -110,16 +114,15 @@ def arcs(span: str) -> list[list[tuple[str, float]]]:
             out.append([(x, SUBSTITUTED) for x in LEET[c]] + [(c, ITSELF), ("", INSERTED)])
         elif c in "*._-":
             out.append([("", INSERTED), (c, ITSELF)])
-        elif run >= 2 and (span.count(c * 3) or run > 2):
+        elif run >= 2 and c in tripled:
             out.append([("", REPEATED)] if run > 2 else [("", REPEATED), (c, REPEATED)])
         else:
             out.append([(c, 0.0)])
     return out
 
 
-def viterbi(span: str, log: list, width: int = 64) -> str:
-    """The best path of the span's lattice; its state is the last two characters' codes, so ``width`` states bind only
-    where over that many are alive at once."""
+def viterbi(span: str, log: list) -> str:
+    """The best path of the span's lattice; its state is the last two characters' codes, 729 at most."""
     states = {(0, 0): (0.0, None)}
     for choices in arcs(span):
         new: dict = {}
@@ -129,7 +132,7 @@ def viterbi(span: str, log: list, width: int = 64) -> str:
                 key, s = ((x, y), score + cost) if z is None else ((y, z), score + cost + log[x][y][z])
                 if key not in new or s > new[key][0]:
                     new[key] = (s, (back, c) if c else back)
-        states = dict(sorted(new.items(), key=lambda kv: -kv[1][0])[:width]) if len(new) > width else new
+        states = new
     _, back = max(((s + log[x][y][0], b) for (x, y), (s, b) in states.items()), key=lambda v: v[0])
     out = []
     while back:
@@ -139,10 +142,11 @@ def viterbi(span: str, log: list, width: int = 64) -> str:
 
 
 class Restorer:
-    """Restores texts; one for each task, decoding each distinct span once."""
+    """Restores texts; one for each task, decoding each distinct span once, long ones each time."""
 
     def __init__(self, model: CharModel):
-        self.decode = lru_cache(50_000)(lambda span: viterbi(span, model.log))
+        self.long = lambda span: viterbi(span, model.log)
+        self.decode = lru_cache(50_000)(self.long)
 
     def __call__(self, text: str) -> tuple[str, int]:
         """The lower-cased restored text and the number of spans that changed."""
@@ -151,9 +155,7 @@ class Restorer:
         def put(m):
             nonlocal changed
             span = m[0]
-            if len(span) > 64:
-                return span if not m[1] else re.sub(r"(.)\1{2,}", r"\1", span)
-            new = self.decode(span)
+            new = self.decode(span) if len(span) <= 64 else self.long(span)
             changed += new != span
             return new
 
