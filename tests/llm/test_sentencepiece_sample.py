@@ -46,6 +46,18 @@ def draw(texts, keys, v, k):
     return S.sample_pass(data, offsets, keys, v, k)
 
 
+def test_every_segmentation_is_decoded(spark, vocabulary):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    got = S.encode(df, k=2).collect()
+    assert len(got) > len(TEXTS) and all(r.round_trip for r in got)
+    raw = np.frombuffer(b" ab ab", np.uint8)
+    flat = vocabulary.byte_id[raw]
+    assert S.round_trips(flat, np.array([0, 3, 6]), np.array([0, 1]), raw, np.array([0, 3, 6]), vocabulary).tolist() == [True, True]
+    flat[4] = vocabulary.byte_id[ord("c")]
+    assert S.round_trips(flat, np.array([0, 3, 6]), np.array([0, 1]), raw, np.array([0, 3, 6]), vocabulary).tolist() == [True, False]
+    assert S.round_trips(flat[:5], np.array([0, 3, 5]), np.array([0, 1]), raw, np.array([0, 3, 6]), vocabulary).tolist() == [True, False]
+
+
 @pytest.mark.parametrize("text", ["the", "to é", "a 漢"])
 def test_probabilities_and_exhaustive_samples(vocabulary, text):
     want = segmentations(b" " + text.encode(), vocabulary)

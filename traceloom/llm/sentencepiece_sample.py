@@ -56,6 +56,9 @@ class Vocabulary:
         for i, p in zip(ids, pieces, strict=True):
             self.bytes[i] = p
             by.setdefault(len(p), []).append((p, i))
+        self.sizes = np.array([len(b) for b in self.bytes])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.tables = {}
         for n, found in sorted(by.items()):
             data = np.frombuffer(b"".join(p for p, _ in found), np.uint8)
@@ -334,12 +337,30 @@ def decode_ids(ids, pieces: list[bytes]) -> str:
     return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
-RESULT = "doc_id long, rank int, ids array<int>, log_prob double, inclusion double"
+def decode_flat(flat: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of many rows' piece ids, and where each piece's bytes begin, with the end."""
+    size = vocabulary.sizes[flat]
+    begin = np.concatenate([[0], np.cumsum(size)])
+    return vocabulary.flat[np.arange(begin[-1]) + np.repeat(vocabulary.starts[flat] - begin[:-1], size)], begin
+
+
+def round_trips(flat: np.ndarray, first: np.ndarray, row: np.ndarray, data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
+    """Whether each segmentation ``flat[first[i]:first[i + 1]]`` decodes to the text of its row."""
+    raw, begin = decode_flat(flat, vocabulary)
+    begin = begin[first]
+    same = np.diff(begin) == np.diff(offsets)[row]
+    for i, r in enumerate(row.tolist()):
+        if same[i]:
+            same[i] = np.array_equal(raw[begin[i] : begin[i + 1]], data[offsets[r] : offsets[r + 1]])
+    return same
+
+
+RESULT = "doc_id long, rank int, ids array<int>, log_prob double, inclusion double, round_trip boolean"
 
 
 def encode(df: DataFrame, k: int = 2, seed: int = 17, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, rank, ids, log_prob, inclusion``: up to k distinct segmentations for every row, by key. :func:`decode` gives
-    back the text from any of them."""
+    """``doc_id, rank, ids, log_prob, inclusion, round_trip``: up to k distinct segmentations for every row, by key. Each is
+    decoded again; ``round_trip`` tells whether that gives the text."""
     spark = df.sparkSession
     small_batches(spark)
     held = spark.sparkContext.broadcast(load(model))
@@ -360,11 +381,12 @@ def encode(df: DataFrame, k: int = 2, seed: int = 17, model: str = MODEL, id_col
                         pieces.append(p)
                         log.append(lp)
                         inclusion.append(-math.expm1(-math.exp(min(700.0, lp - nxt))) if nxt > -math.inf else 1.0)
-                bounds = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+                first = np.concatenate([[0], np.cumsum([len(p) for p in pieces], dtype=np.int64)])
                 flat = np.concatenate(pieces).astype(np.int32) if pieces else np.zeros(0, np.int32)
+                same = round_trips(flat, first, np.array(at, np.int64) - i, part, bounds, vocabulary)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(at)), pa.array(rank, pa.int32()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat)), pa.array(log, pa.float64()), pa.array(inclusion, pa.float64())],
-                    ["doc_id", "rank", "ids", "log_prob", "inclusion"],
+                    [ids.take(pa.array(at)), pa.array(rank, pa.int32()), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat)), pa.array(log, pa.float64()), pa.array(inclusion, pa.float64()), pa.array(same)],
+                    ["doc_id", "rank", "ids", "log_prob", "inclusion", "round_trip"],
                 )
 
     return df.select(df[id_col].cast("long"), df[text_col].cast("string")).mapInArrow(scan, RESULT)
@@ -387,6 +409,6 @@ def decode(df: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col: s
 
 @query("op2_sentencepiece")
 def op2_sentencepiece(spark, sf_dir):
-    """Two sampled segmentations of every document, with their ids."""
+    """Two sampled segmentations of every document, with their ids, each decoded and compared with the text."""
     found = encode(read_table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.withColumn("n_pieces", F.size("ids"))
