@@ -64,6 +64,48 @@ def test_columns_and_long_concatenations():
     assert [doubled[s:e] for s, k, e in S.spans(doubled)] == ["q8Zt4LmP0xVb7"] and time.time() - start < 10
 
 
+def test_nested_assignments_take_linear_time():
+    import time
+
+    start = time.time()
+    for unit in ("a=b=", "key=key=", "secret_key=your_=", 'x = "a" + ', "private_key: name=value ", "password=abcdefgh "):
+        text = unit * (500_000 // len(unit)) + 'db.pwd = "q8Zt4LmP0xVb7"'
+        assert "q8Zt4LmP0xVb7" in [text[s:e] for s, k, e in S.spans(text)[-2:]] or unit in ("a=b=", "key=key=", "secret_key=your_=")
+    assert time.time() - start < 30
+    text = "private_key : conf=q8Zt4LmP0xVb7 end"
+    assert [text[s:e] for s, k, e in S.spans(text)] == ["conf=q8Zt4LmP0xVb7"]
+
+
+def test_literals_equal_a_plain_reading(spark):
+    """Random configuration lines, read by a plain rule: the value of a sensitive name, quoted or bare, copied names followed."""
+    import random
+
+    rng = random.Random(4)
+    value = lambda: "".join(rng.choice("abcdefghjkmnpqrstuvxyzABCDEFGHJKMNPQRSTUVXYZ23456789") for _ in range(16))
+    rows, want = [], []
+    for i in range(60):
+        lines, expected, at, bound = [], set(), 0, {}
+        for k in range(rng.randrange(1, 8)):
+            name = rng.choice(["db_pwd", "width", "client.credentials", "title", "v1", "v2"])
+            left = name + " " * rng.randrange(12) + rng.choice(["=", ":", ":="]) + " " * rng.randrange(1, 12)
+            if bound and rng.random() < 0.4:
+                ref = rng.choice(sorted(bound))
+                line, mine = left + ref, bound[ref]
+            else:
+                v, q = value(), rng.choice(['"', "'", ""])
+                line, mine = left + q + v + q, (at + len(left) + len(q), at + len(left) + len(q) + 16)
+            bound[name] = mine
+            if name in ("db_pwd", "client.credentials"):
+                expected.add(mine)
+            lines.append(line)
+            at += len(line) + 1
+        rows.append((i, "\n".join(lines)))
+        want.append(expected)
+    got = S.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for r in got:
+        assert {(x.start, x.end) for x in r.found if x.kind == "literal"} == want[r.doc_id], rows[r.doc_id]
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     df = spark.createDataFrame([(1, "token = abcdef99 end", "s"), (2, None, "s"), (3, "", None)], "doc_id long, text string, source string")
     got = {r.doc_id: r for r in S.redact_secrets(df).collect()}

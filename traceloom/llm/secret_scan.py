@@ -4,6 +4,8 @@ The lexer reads ``name <op> expression`` pairs as they occur in source code, she
 An expression is a chain of string literals, bare words and names joined by ``+`` or ``.``; names that an earlier
 assignment of the same text bound to a literal are replaced by that literal's place (constant propagation, in text order,
 last binding wins). A literal is scored by how sensitive the target name is, times how much the value looks like a secret.
+Work and memory are linear in a text's length: places are kept instead of values, and a bare word in which assignments nest
+is read once.
 
 Rows: a null text counts as empty and has no spans. Repeated rows give repeated results. Only the id and text columns are
 read, so other columns of any name do no harm. Very long texts are scanned whole.
@@ -13,7 +15,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,21 +39,25 @@ SENSITIVE = {
     "credentials": 0.9, "auth": 0.7, "bearer": 0.9, "private": 0.6, "key": 0.6, "access": 0.4, "api": 0.4, "client": 0.2, "signing": 0.6,
     "encryption": 0.6, "salt": 0.6, "dsn": 0.6, "conn": 0.3, "session": 0.5, "cookie": 0.5, "pin": 0.4, "license": 0.3,
 }
-PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|none|null|true|false|changeme|example|your[-_].*|<.*>|\$\{.*\}|%\(.*\)s|\.+|-+)$")
+PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|none|null|true|false|changeme|example|<.*>|\$\{.*\}|%\(.*\)s|\.+|-+)$|(?i:^your[-_])")
 # a name starts where no longer one could have: a long run of letters is tried once
-TARGET = r"""(?<![A-Za-z0-9_$.>:-])([A-Za-z_$][A-Za-z0-9_$]*+(?:(?:\.|->|::|-)[A-Za-z_$][A-Za-z0-9_$]*+|\[["'][A-Za-z0-9_.-]{1,64}["']\])*+)["'`]?"""
+TARGET = r"""(?<![A-Za-z0-9_$.>:-])([A-Za-z_$][A-Za-z0-9_$]*+(?:(?:\.|->|::|-)[A-Za-z_$][A-Za-z0-9_$]*+|\[["'][A-Za-z0-9_.-]++["']\])*+)["'`]?"""
 #: An assignment ends at its operator; what follows is read as an expression.
 ASSIGNMENT = re.compile(TARGET + r"[\x20\t]*+(?::=|=>|=(?!=)|:(?![/:]))[\x20\t]*+")
 ATOM = re.compile(
-    r""""((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z_$][A-Za-z0-9_$]*(?:(?:\.|->|::)[A-Za-z_$][A-Za-z0-9_$]*)*)(?![A-Za-z0-9+/=_-])|([A-Za-z0-9+/_.=~@#-]+)"""
+    r""""((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`|([A-Za-z_$][A-Za-z0-9_$]*+(?:(?:\.|->|::)[A-Za-z_$][A-Za-z0-9_$]*+)*+)(?![A-Za-z0-9+/=_.~@#-])"""
 )
-JOIN = re.compile(r"[\x20\t]*[+][\x20\t]*")
+#: A bare word; many assignments may lie in one, so its end is looked up once.
+BARE = re.compile(r"[A-Za-z0-9+/_.=~@#-]++")
+CALL = re.compile(r"[\x20\t]*+\(")
+JOIN = re.compile(r"[\x20\t]*+[+][\x20\t]*+")
 CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 LETTER_OR = re.compile(r"[:=]")
 #: Least score of a literal that is reported.
 THRESHOLD = 0.5
 
 
+@lru_cache(10_000)
 def sensitivity(name: str) -> float:
     """How sensitive a target name is: one minus the product of one minus its parts' weights."""
     parts = [p.lower() for p in CAMEL.findall(name)]
@@ -60,14 +68,34 @@ def sensitivity(name: str) -> float:
     return 1 - rest
 
 
-def likeness(value: str) -> float:
-    """How much a literal looks like a secret, by length, character classes and entropy."""
-    if len(value) < 6 or PLACEHOLDERS.match(value) or " " in value.strip():
+def likeness(counts: Counter, size: int) -> float:
+    """How much a value of ``size`` characters, counted, looks like a secret: by length, character classes and entropy."""
+    if size < 6:
         return 0.0
-    counts = Counter(value)
-    entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
-    classes = bool(re.search("[a-z]", value)) + bool(re.search("[A-Z]", value)) + bool(re.search("[0-9]", value)) + bool(re.search("[^A-Za-z0-9]", value))
-    return min(1.0, entropy / 3.5) * (0.5 + 0.5 * min(1.0, (classes - 1) / 2)) if classes else 0.0
+    entropy = math.log2(size) - sum(c * math.log2(c) for c in counts.values()) / size
+    kinds = {"a" if "a" <= c <= "z" else "A" if "A" <= c <= "Z" else "0" if "0" <= c <= "9" else "." for c in counts}
+    return min(1.0, entropy / 3.5) * (0.5 + 0.5 * min(1.0, (len(kinds) - 1) / 2)) if kinds else 0.0
+
+
+def scored(text: str, places: list[tuple[float, int, int]]) -> list[tuple[int, int]]:
+    """The places whose weight times likeness reaches THRESHOLD. Places that end together, as values within one bare word,
+    are counted from the shortest on, so each character is counted once."""
+    out, by_end = [], {}
+    for w, s, e in places:
+        if w >= THRESHOLD and e - s >= 6:
+            by_end.setdefault(e, {}).setdefault(s, 0.0)
+            by_end[e][s] = max(by_end[e][s], w)
+    for e, starts in by_end.items():
+        counts, done = Counter(), e
+        for s in sorted(starts, reverse=True):
+            counts.update(text[s:done])
+            done = s
+            value = text[s : s + 80] if e - s > 80 else text[s:e]
+            if counts[" "] and " " in text[s:e].strip():
+                continue
+            if starts[s] * likeness(counts, e - s) >= THRESHOLD and not PLACEHOLDERS.match(value):
+                out.append((s, e))
+    return out
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -83,45 +111,54 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
-def literals(text: str) -> list[tuple[float, int, int, str]]:
-    """(sensitivity, start, end, value) of every literal that an assignment gives its target: the largest sensitivity of
-    all targets that it reaches, constants propagated. Assignments keep the numbers of those they use, not their parts."""
+def literals(text: str) -> list[tuple[float, int, int]]:
+    """(sensitivity, start, end) of every literal that an assignment gives its target: the largest sensitivity of all
+    targets that it reaches, constants propagated. Only places are kept: assignments hold the numbers of those they use."""
     bound: dict[str, int] = {}
-    found: list[tuple[str, list[tuple[int, int, str]], list[int]]] = []
-    at = 0
+    found: list[tuple[str, list[tuple[int, int]], list[int]]] = []
+    at = bare_end = 0
     while m := ASSIGNMENT.search(text, at):
         at = m.end()
         parts, used, pos = [], [], at
-        start = -1  # of the first part, if it isn't a name's
-        while a := ATOM.match(text, pos):
-            pos = a.end()
-            kind = next(k for k in range(1, 6) if a.group(k) is not None)
-            if not parts and not used and not (kind == 4 and a.group(4) in bound):
-                start = a.start(kind)
-            if kind <= 3 or kind == 5:
-                parts.append((a.start(kind), a.end(kind), a.group(kind)))
-            elif a.group(4) in bound:
-                used.append(bound[a.group(4)])
-            elif re.match(r"[\x20\t]*\(", text[pos : pos + 8]):
+        again = at  # where to look for the next assignment, which an unquoted first value may itself hold
+        while True:
+            first = not parts and not used
+            a = ATOM.match(text, pos)
+            kind = a.lastindex if a else 5
+            if a:
+                pos = a.end()
+            else:
+                if bare_end <= pos:
+                    b = BARE.match(text, pos)
+                    if not b:
+                        break
+                    bare_end = b.end()
+                start, pos = pos, bare_end
+            if kind <= 3:
+                parts.append((a.start(kind), a.end(kind)))
+            elif kind == 5:
+                parts.append((start, pos))
+            elif a[4] in bound:
+                used.append(bound[a[4]])
+            elif CALL.match(text, pos):
                 break  # a call's result isn't a constant
             else:
-                parts.append((a.start(4), a.end(4), a.group(4)))
+                parts.append((a.start(4), pos))
+            if first and (kind <= 3 or used):
+                again = pos
             if not (j := JOIN.match(text, pos)):
                 break
             pos = j.end()
         if parts or used:
-            bound[m.group(1)] = len(found)
-            found.append((m.group(1), parts, used))
-        if not (parts or used) or pos == at:
-            continue
-        # the value may itself hold pairs, as in key: name=value; look again from its start unless it was quoted
-        at = pos if start != m.end() else m.end()
+            bound[m[1]] = len(found)
+            found.append((m[1], parts, used))
+            at = max(again, at) if again == at or len(parts) + len(used) == 1 else max(again, pos)
     # later assignments first: what they use gets their sensitivity
     weight = [sensitivity(name) for name, _, _ in found]
     for k in range(len(found) - 1, -1, -1):
         for u in found[k][2]:
             weight[u] = max(weight[u], weight[k])
-    return [(w, s, e, v) for w, (_, parts, _) in zip(weight, found, strict=True) for s, e, v in parts]
+    return [(w, s, e) for w, (_, parts, _) in zip(weight, found, strict=True) for s, e in parts]
 
 
 def spans(text: str) -> list[tuple[int, int, int]]:
@@ -129,9 +166,17 @@ def spans(text: str) -> list[tuple[int, int, int]]:
     base = base_spans(text)
     if not LETTER_OR.search(text):
         return base
+    starts, ends = [], []  # the base spans' union, in order
+    for s, _, e in base:
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
     extra = set()
-    for weight, s, e, v in literals(text):
-        if weight and e > s and weight * likeness(v) >= THRESHOLD and not any(b[0] < e and s < b[2] for b in base):
+    for s, e in scored(text, literals(text)):
+        k = bisect_right(ends, s)  # the first that ends after s
+        if k == len(starts) or starts[k] >= e:
             extra.add((s, 3, e))
     return sorted(base + list(extra))
 
