@@ -84,3 +84,11 @@ def test_edges(spark):
     texts = spark.createDataFrame([(i, "plain words " + ("1d10t idiot" if i % 3 == 0 else "good")) for i in range(300)], "doc_id long, text string")
     kept = {r.doc_id for r in T.reject_toxic(texts, labels).collect()}
     assert kept == {i for i in range(300) if i % 3}
+
+
+def test_a_repeated_labelled_id_counts_once(spark, model):
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(200)], "doc_id long, toxic int")
+    rows = [(i, "some idiot words" if i % 2 == 0 else "some plain words") for i in range(200)]
+    once = T.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels, model)
+    many = T.fit(spark.createDataFrame(rows + [(3, rows[3][1])] * 500, "doc_id long, text string"), labels, model)
+    assert once == many and once["weights"]["idiot"] > 0

@@ -8,7 +8,8 @@ products of presence rows. A text's outputs K(x, L) a are computed as (B_x (B_L'
 each presence bit, so a text of any length costs one product with its own bits.
 
 Rows: the language of a null text or one without a letter is ``und`` with score 0. With no training rows every language is
-``und``. Texts are read whole; repeated ids keep their rows. Ties go to the language that sorts first.
+``und``. Texts are read whole; repeated ids keep their rows, and rows that are equal in id, language and text are learned
+from once. Ties go to the language that sorts first. Tasks hold 1 MB for each learned language.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from traceloom.llm import arrays
 from traceloom.llm.registry import query
-from traceloom.llm.store import small_batches, smallest_by_hash
+from traceloom.llm.store import small_batches
 from traceloom.sources.tables import read_table
 
 BITS = 18
@@ -61,28 +63,35 @@ def presence(texts: pa.Array):
             yield bits[last[bits] == at]
 
 
-def training(docs: DataFrame, most_rows: int, landmarks: int) -> tuple[dict, set, list]:
-    """Training ids with their language, at most ``most_rows``, balanced over languages by hash; the ids of landmarks."""
+def with_key(docs: DataFrame) -> DataFrame:
+    """``key, lang, text, learn``: learn marks rows that may be learned from; rows equal in id, language and text share a key."""
     id_ = F.col("doc_id").cast("long")
-    rows = docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.crc32(id_.cast("string").cast("binary")) % 4 != 2))
-    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(256).collect()]
-    share = max(1, most_rows // max(1, len(langs)))
-    keyed = rows.select(id_.alias("id"), "lang")
-    chosen: dict = {}
-    marks: set = set()
-    for lang in sorted(langs):
-        got = smallest_by_hash(keyed.where(F.col("lang") == lang).select("id"), ["id"], share).collect()
-        chosen |= {r[0]: lang for r in got}
-        marks |= {r[0] for r in got[: max(1, landmarks // len(langs))]}
-    return chosen, marks, sorted(langs)
+    learn = F.coalesce(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.crc32(id_.cast("string").cast("binary")) % 4 != 2), F.lit(False))
+    return docs.select(F.xxhash64(id_, "lang", "text").alias("key"), F.col("lang").cast("string"), F.col("text").cast("string"), learn.alias("learn"))
+
+
+def training(keyed: DataFrame, most_rows: int, landmarks: int) -> tuple[dict, set, list]:
+    """Keys of training rows with their language, at most ``most_rows``: the smallest keys of each language, as many of each.
+    With more languages than ``most_rows`` only so many are learned, which that bound means. Also the keys of landmarks."""
+    rows = keyed.where("learn").select("lang", "key")
+    langs = rows.agg(F.count_distinct("lang")).first()[0]
+    share = max(1, most_rows // max(1, langs))
+    place = F.dense_rank().over(Window.partitionBy("lang").orderBy("key"))  # each task sends its own first ones only
+    first = rows.withColumn("place", place).where(F.col("place") <= share).distinct()
+    got = first.orderBy("place", "lang", "key").limit(most_rows).collect()
+    chosen = {r.key: r.lang for r in got}
+    each = max(1, landmarks // max(1, langs))
+    marks = {r.key for r in [r for r in got if r.place <= each][:landmarks]}
+    return chosen, marks, sorted(set(chosen.values()))
 
 
 def fit(docs: DataFrame, most_rows: int = 4_000, landmarks: int = 200, ridge: float = 1e-3) -> tuple[list, np.ndarray]:
     """Languages, and each presence bit's weight for each language."""
-    chosen, marks, langs = training(docs, most_rows, landmarks)
+    keyed = with_key(docs)
+    chosen, marks, langs = training(keyed, most_rows, landmarks)
     if not chosen:
         return [], np.zeros((1 << BITS, 0), np.float32)
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = keyed.where("learn").select("key", "text")
 
     def taken(batches, wanted):
         for b in batches:
@@ -95,7 +104,8 @@ def fit(docs: DataFrame, most_rows: int = 4_000, landmarks: int = 200, ridge: fl
         for ids, bits in taken(batches, marks):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([np.sort(x) for x in bits], pa.list_(pa.int32()))], ["id", "bits"])
 
-    shown = texts.where(F.col("doc_id").isin(sorted(marks))).mapInArrow(show, "id long, bits array<int>").toArrow().to_pylist()
+    # one row a key, however often it is repeated
+    shown = texts.mapInArrow(show, "id long, bits array<int>").groupBy("id").agg(F.min("bits").alias("bits")).toArrow().to_pylist()
     first = {r["id"]: np.array(r["bits"], np.int64) for r in sorted(shown, key=lambda r: r["id"])}
     sets = [first[i] for i in sorted(first) if len(first[i])]
     if not sets:
@@ -120,7 +130,7 @@ def fit(docs: DataFrame, most_rows: int = 4_000, landmarks: int = 200, ridge: fl
                 k = rows @ matrix
                 yield pa.RecordBatch.from_arrays([pa.array(ids[s : s + 64], pa.int64()), pa.array(list(k), pa.list_(pa.float32()))], ["id", "k"])
 
-    table = texts.mapInArrow(products, "id long, k array<float>").toArrow()
+    table = texts.mapInArrow(products, "id long, k array<float>").groupBy("id").agg(F.min("k").alias("k")).toArrow()
     ids = table.column("id").to_pylist()
     order = np.argsort(np.array(ids, np.int64), kind="stable")
     k_nm = np.array(table.column("k").to_pylist(), float)[order]

@@ -13,6 +13,7 @@ collected or broadcast.
 Vectors that are null, or hold a null or non-finite component, take no part, neither as query nor as candidate; components
 beyond the shorter vector's length count as 0. Ties go to the smaller id. Ids may repeat: a query is every distinct
 (id, vector) row and its own id never is its result; equal rows give equal ranks in id order. An empty table gives no rows.
+A vector with a component of 2 ** 62 or more after scaling takes no part; terms that add up to 2 ** 62 or more in size raise an error.
 """
 
 from __future__ import annotations
@@ -107,7 +108,12 @@ def search_cell(table: pa.Table, k: int) -> pa.Table:
     if len(rows) and width:
         order = np.argsort(row_ids, kind="stable")
         rows, row_ids = rows[order], row_ids[order]
-        work = rows.astype(np.float64) if np.abs(values).max(initial=0) ** 2 * width < 2**52 else rows
+        most = int(np.abs(values).max(initial=0)) ** 2 * width
+        if most >= 2**63:
+            sums = np.abs(rows.astype(object)) @ np.abs(values[is_query].astype(object)).T
+            if sums.max(initial=0) >= 2**62:
+                raise OverflowError("an inner product may leave 64 bits; use a smaller scale")
+        work = rows.astype(np.float64) if most < 2**52 else rows
         postings = {}
         for d in range(width):
             by = np.argsort(-work[:, d], kind="stable")
@@ -130,6 +136,7 @@ def top_k(
     vector = df[vector_col]
     finite = vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) != float("inf")))
     ints = F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
+    finite = finite & F.forall(vector, lambda x: F.abs(F.lit(float(scale)) * x.cast("double")) < float(2**62))
     data = df.where(finite & df[id_col].isNotNull()).select(df[id_col].cast("long").alias("vec_id"), ints.alias("v"))
     asked = data.where(F.col("vec_id") % every == 0).distinct()
     sizes = data.agg(F.count(F.lit(1)), F.count(F.when(F.col("vec_id") % every == 0, 1))).first()

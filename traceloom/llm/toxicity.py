@@ -13,7 +13,8 @@ probabilities. The language model counts the words of *all* documents; it needs
 The score is a logistic regression on restored words and word stems that occur more in toxic than in other texts. It learns
 from at most ``most_rows`` labelled rows (those with the smallest hash of the id), which is the documented bound.
 
-Rows: null and empty texts score as a text without features. Repeated ids in the labels count with their largest label.
+Rows: null and empty texts score as a text without features. Repeated ids in the labels count with their largest label,
+repeated ids of documents once in learning.
 With no labelled rows, or labels of one class, every score is the smoothed share of toxic labels, which is 0.05 without any, so
 that nothing is rejected for want of labels. Texts are scored whole.
 """
@@ -23,7 +24,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from traceloom.llm import arrays
 from traceloom.llm.registry import query
-from traceloom.llm.store import small_batches, smallest_by_hash
+from traceloom.llm.store import discard, materialize, small_batches, smallest_by_hash
 from traceloom.sources.tables import read_table
 
 # What a mark or digit may stand for.
@@ -175,7 +175,7 @@ def train_rows(labels: DataFrame, most_rows: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, model: CharModel, most_rows: int = 20_000, most_features: int = 4_000) -> dict:
-    """``bias`` and ``weights`` by word. Reads the documents twice: once to count words by label, once for features."""
+    """``bias`` and ``weights`` by word. Reads the documents once, for the labelled rows' words."""
     sample = train_rows(labels, most_rows).toArrow()  # most_rows ids
     ids = {i: y for i, y in zip(sample.column("id").to_pylist(), sample.column("y").to_pylist(), strict=True)}
     n1, n = sum(ids.values()), len(ids)
@@ -188,32 +188,29 @@ def fit(docs: DataFrame, labels: DataFrame, model: CharModel, most_rows: int = 2
     def labelled(batches):
         restore = Restorer(model)
         for b in batches:
-            for i, t in enumerate(b.column(0).to_pylist()):
-                if t in ids:
-                    yield t, ids[t], features(set(WORDS.findall(restore(b.column(1)[i].as_py() or "")[0])))
-
-    def count(batches):
-        by = (Counter(), Counter())
-        for _, y, words in labelled(batches):
-            by[y].update(words)
-        words = list(by[0].keys() | by[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([by[0][w] for w in words], pa.int64()), pa.array([by[1][w] for w in words], pa.int64())], ["w", "c0", "c1"])
+            out = [(t, ids[t], sorted(features(set(WORDS.findall(restore(b.column(1)[i].as_py() or "")[0]))))) for i, t in enumerate(b.column(0).to_pylist()) if t in ids]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int32()), pa.array([r[2] for r in out], pa.list_(pa.string()))], ["id", "y", "words"])
 
+    # a repeated id counts once, with the smallest of its word lists; most_rows rows at most
+    rows = materialize(texts.mapInArrow(labelled, "id long, y int, words array<string>").groupBy("id", "y").agg(F.min("words").alias("words")), "labelled")
     n0 = n - n1
-    counted = texts.mapInArrow(count, "w string, c0 long, c1 long").groupBy("w").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1"))
+    counted = rows.select(F.explode("words").alias("w"), "y").groupBy("w").agg(F.sum(1 - F.col("y")).alias("c0"), F.sum("y").alias("c1"))
     # z of the difference of the shares, and the ratio: both are large for words that mark a class
     share = (F.col("c0") + F.col("c1")) / n
     z = (F.col("c1") / n1 - F.col("c0") / n0) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / n0) + 1e-12)
     best = counted.where((F.col("c1") >= 2) & (z > 3)).orderBy(z.desc(), "w").limit(most_features).toArrow()
     vocabulary = {w: k for k, w in enumerate(best.column("w").to_pylist())}
     if not vocabulary:
+        discard(rows)
         return {"bias": bias, "weights": {}}
 
     def project(batches):
-        out = [(y, sorted(vocabulary[w] for w in words & vocabulary.keys())) for _, y, words in labelled(batches)]
-        yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in out], pa.int32()), pa.array([x for _, x in out], pa.list_(pa.int32()))], ["y", "x"])
+        for b in batches:
+            out = [sorted(vocabulary[w] for w in set(words) & vocabulary.keys()) for words in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.int32()))], ["y", "x"])
 
-    table = texts.mapInArrow(project, "y int, x array<int>").toArrow()
+    table = rows.orderBy("id").select("y", "words").mapInArrow(project, "y int, x array<int>").toArrow()
+    discard(rows)
     y = np.asarray(table.column("y"), dtype=float)
     x = table.column("x").combine_chunks()
     sizes, flat = np.diff(np.asarray(x.offsets)), np.asarray(x.flatten())
