@@ -2,7 +2,7 @@ import random
 import re
 
 import numpy as np
-import pyarrow as pa
+import pytest
 
 from traceloom.llm import decontaminate as D
 
@@ -53,7 +53,7 @@ def test_recall_and_exactness_against_brute_force(spark):
     for n, t in docs:
         for i, x in items:
             iw = words(x)
-            if iw and distance(iw, words(t)) <= (int(0.2 * len(iw)) if len(iw) >= 8 else 0):
+            if iw and distance(iw, words(t)) <= int(0.2 * len(iw)):
                 want.add((n, i))
     df = spark.createDataFrame([(n, t, "z") for n, t in docs], "doc_id long, text string, item_id string")
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -65,7 +65,49 @@ def test_recall_and_exactness_against_brute_force(spark):
         iw = words(dict(items)[r.item_id])
         assert r.edits == distance(iw, words(by[r.doc_id])[r.start_word : r.end_word])
     kept = {r.doc_id for r in D.drop_leaks(df, bench).collect()}
-    assert kept == {n for n, _ in docs} - {n for n, _ in {(r.doc_id, 0) for r in D.find_leaks(df, bench).collect()}}
+    assert kept == {n for n, _ in docs} - {n for n, _ in pairs}
+
+
+@pytest.mark.parametrize("length", [5, 6, 9, 12, 25, 60])
+@pytest.mark.parametrize("rate", [0.0, 0.1, 0.2])
+def test_recall_of_the_look_up(length, rate):
+    """The signatures alone propose a window that holds the edited item, for 0.9 of the items at least."""
+    rng = np.random.default_rng(length)
+    item = [rng.integers(1, 300, length).astype(np.uint64) * D.ODD for _ in range(200)]
+    block = D.Block(list(range(200)), item, D.MAX_EDIT, D.RECALL)
+    edits = int(np.floor(rate * length + 1e-9))
+    found = 0
+    for k in range(200):
+        x = item[k].tolist()
+        for _ in range(edits):
+            i, kind = rng.integers(len(x)), rng.integers(3)
+            new = (rng.integers(1, 300, 1).astype(np.uint64) * D.ODD).tolist()
+            x[i : i + 1] = [[], new, [x[i], *new]][kind]
+        noise = lambda: (rng.integers(1, 300, 40).astype(np.uint64) * D.ODD).tolist()
+        h = np.array([*noise(), *x, *noise()], np.uint64)
+        key = block.proposed(h, np.array([0, len(h)]))
+        size = len(D.padded(h, np.array([0, len(h)]))[0]) + 1
+        starts = key[key // size == k] % size
+        found += bool((np.abs(starts - 40) <= int(0.2 * length)).any())
+    print(length, rate, found / 200)
+    assert found >= 0.97 * 200
+
+
+def test_short_items_allow_their_edits_and_columns_may_clash(spark):
+    docs = spark.createDataFrame([(1, "so a b c X e f there", 5), (1, "clean text", 6), (2, "a b c X Y f", 7), (4, "b c d e f", 10), (None, "q a b c d e f", 8), (3, None, 9)], "doc_id long, text string, leak_id int")
+    bench = spark.createDataFrame([(7, "a b c d e f"), (8, "a b c d e f")], "item_id long, text string")
+    assert sorted((r.doc_id or 0, r.item_id, r.edits) for r in D.find_leaks(docs, bench).collect()) == [(0, 7, 0), (0, 8, 0), (1, 7, 1), (1, 8, 1), (4, 7, 1), (4, 8, 1)]
+    assert sorted(r.leak_id for r in D.drop_leaks(docs, bench).collect()) == [6, 7, 9]
+
+
+def test_very_long_texts(spark):
+    import time
+
+    start = time.time()
+    item = " ".join(f"w{i % 9}" for i in range(40))
+    docs = spark.createDataFrame([(1, "w1 w2 " * 200_000), (2, item.replace("w8", "x") + " " + (item + " z ") * 5_000)], "doc_id long, text string")
+    got = D.find_leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.edits) for r in got] == [(2, 0)] and time.time() - start < 90
 
 
 def test_query_finds_every_verbatim_passage(spark):

@@ -71,6 +71,35 @@ def test_trees_choose_candidates(spark):
         phone = f"{rng.randrange(100, 999)} {rng.randrange(100, 999)} {rng.randrange(1000, 9999)}"
         rows.append((i, [f"call +{phone} now", f"order {rng.randrange(10**9, 10**10)} of", f"call {phone} now"][i % 3 if i % 30 == 2 else i % 2]))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: r.extra for r in P.find_pii(df, precision=0.8).collect()}
+    got = {r.doc_id: r.extra for r in P.find_pii(df).collect()}
     assert not any(got[i] for i, t in rows if t.startswith("order"))
+    open_ = [(i, t) for i, t in rows if t.startswith("call ") and "+" not in t]
+    assert len(open_) == 20 and all([x.v.removeprefix("call ") for x in got[i]] == [t[5:17]] for i, t in open_)
     assert P.find_pii(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_spelled_addresses_are_chosen(spark):
+    rng = random.Random(2)
+    name = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    rows = [(i, f"write to {name()}@{name()}.com today") for i in range(400)] + [(i, f"write to {name()} at {name()} dot com today") for i in range(400, 420)]
+    rows += [(i, f"meet {name()} at {name()} today") for i in range(420, 500)]
+    got = {r.doc_id: r.extra for r in P.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(len(got[i]) == 1 and " dot com" in got[i][0].v for i in range(400, 420)) and not any(got[i] for i in range(420, 500))
+
+
+def test_isotonic_is_monotone_and_keeps_the_mean():
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    score = rng.random(300).round(2)
+    y = (rng.random(300) < score).astype(float)
+    at, p = P.isotonic(score, y)
+    assert (np.diff(p) >= 0).all() and np.isclose(p[np.searchsorted(at, score)].sum(), y.sum())
+
+
+def test_clashing_columns_and_long_runs(spark):
+    import time
+
+    start = time.time()
+    rows = [(i, t, 1) for i, t in enumerate(["7 " * 50_000 + "7x", "12." * 30_000, "phone " * 20_000, "a at b " * 20_000, "x@" * 30_000])]
+    assert P.find_pii(spark.createDataFrame(rows, "doc_id long, text string, sample_id int")).count() == 5 and time.time() - start < 60

@@ -4,20 +4,24 @@ Texts and items become words: runs of ASCII letters and digits in lower case and
 punctuation and marks between words don't matter. An item of L words is found in a text where some stretch of words is
 within floor(max_edit * L) word edits (insertion, deletion, substitution) of it.
 
-1. Windows. An item within d edits of a stretch leaves one of any d + 1 disjoint segments of the item untouched, so each
-   occurrence of such a segment in a text (by hash) places one item-sized window, at the segment's own offset, and no
-   matching stretch is without a window. Windows elsewhere can't match and are not built.
-2. CGK embedding. A random walk reads the window: at step t it outputs the current word and moves on if a shared random
-   bit of (t, word) says so, for three steps a word. Edit distance k becomes a Hamming distance of O(k * k) at most.
-3. Bit-sampling LSH. Each of ``tables`` repetitions has its own walk and compares ``bits`` sampled positions; a window and
-   its item are candidates if they agree in any repetition. The number of repetitions follows from ``recall`` and the
-   Hamming distance that ``max_edit`` typically gives.
-4. Verification. The exact smallest edit distance between the item and any stretch of the window, widened by d words.
-
-Items are dealt to tasks in blocks of ``block_items`` (a bounded broadcast each); texts are scanned once a block, no shuffle.
-
-Rows: null and empty texts match nothing; items without a word match nothing. Items shorter than ``least_words`` words
-match only whole and unedited. Repeated ids keep their rows; equal items are all reported. Texts are scanned whole.
+1. CGK embedding. A random walk reads a window: at step t it outputs the current word and moves on if a shared random bit of
+   (t, word) says so. Windows that are few edits apart give outputs at a small Hamming distance: walks that part meet again.
+2. Bit-sampling LSH. Each of ``tables`` repetitions has its own walk and samples a few of its outputs. Samples lie within the
+   walk's first steps, where two walks have parted least; instead the walk starts at every word of an item, and at every
+   word of a text, so each part of an item has its own signature. A text's signatures are looked up in the tables of the
+   items'; a hit at an item's word o proposes the item-sized window that starts o words before.
+3. Verification. A window with fewer than L - d of the item's words can't match. For the others, the exact smallest edit distance
+   between the item and any stretch of the window, widened by d words at both ends.
+
+Items of L >= 10 words sample 3 of 10 steps, shorter ones 2 of 4. Items of under 1 / max_edit words allow no edit, and the walk's
+first output, their first word, is their signature, which loses none. The number of repetitions follows from ``recall``: a
+walk of s steps reads about s / 2 + 1 words, all unedited with probability (1 - max_edit) ** (s / 2 + 1), and an item has at least two such parts.
+
+Items are signed in tasks and held in blocks of about ``block_items`` (a bounded broadcast each, up to MOST_STARTS signatures an
+item and table, those of the fewest items first); texts are scanned once a block, without a shuffle.
+
+Rows: null and empty texts match nothing; items without a word match nothing. Repeated ids keep their rows and each row is
+judged by its own text; equal items are all reported. Texts are scanned whole.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 
 from traceloom.llm import arrays
 from traceloom.llm.registry import query
-from traceloom.llm.store import small_batches
+from traceloom.llm.store import materialize, small_batches
 from traceloom.sources.tables import read_table
 
 # Bytes that separate words: every ASCII byte but letters and digits.
@@ -39,9 +43,15 @@ APART = np.ones(256, bool)
 APART[48:58] = APART[65:91] = APART[97:123] = APART[128:] = False
 MAX_EDIT = 0.2
 RECALL = 0.99
-BITS = 3
 SEED = 20240601
+#: No word: what lies beyond a text's or an item's end.
 END = np.uint64(0)
+#: Least length of an item, sampled outputs and steps of its walks, longest items first.
+SHAPES = ((10, 3, 10), (5, 2, 4), (1, 1, 1))
+MOST_STARTS = 64
+#: Elements that verification unpacks at once.
+PIECE = 1_000_000
+ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(texts: pa.Array):
@@ -52,188 +62,243 @@ def words_of(texts: pa.Array):
         yield i, tokens.hash, tokens.first
 
 
-def tables_for(recall: float, max_edit: float, bits: int) -> int:
-    """Repetitions for the target recall: an edit moves the walks apart by up to about four of the three-a-word positions
-    before they meet again."""
-    same = max(0.05, 1 - 4 * max_edit / 3)
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - same**bits)))
-
-
-def embed(windows: np.ndarray, table: int, steps: int) -> np.ndarray:
-    """CGK walk of every row of ``windows`` (word hashes, padded with END): ``steps`` outputs a row."""
-    n, width = windows.shape
-    out = np.empty((n, steps), np.uint64)
-    at = np.zeros(n, np.int64)
-    rows = np.arange(n)
-    for t in range(steps):
-        word = np.where(at < width, windows[rows, np.minimum(at, width - 1)], END)
-        out[:, t] = word
-        coin = arrays.mix(word ^ arrays.mix(np.full(1, SEED + table * 1_000_003 + t, np.uint64)))
-        at += (coin & np.uint64(1)).astype(np.int64)
-    return out
+def tables_for(recall: float, max_edit: float, steps: int) -> int:
+    """Repetitions for the target recall."""
+    if steps == 1:
+        return 1
+    same = max(0.02, (1 - max_edit) ** (steps / 2 + 1))
+    return max(1, math.ceil(math.log(1 - recall) / (2 * math.log(1 - same))))
+
+
+def shape_of(length: int, limit: int) -> int:
+    """Which of SHAPES an item of so many words and allowed edits has."""
+    return 2 if not limit else next(k for k, (least, _, _) in enumerate(SHAPES) if length >= least)
+
+
+def signatures(h: np.ndarray, shape: int, table: int) -> np.ndarray:
+    """The signature of one repetition for the walk that starts at each word of ``h``, which ends with END as often as a walk
+    has steps; 0 if a sample lies beyond the end."""
+    _, bits, steps = SHAPES[shape]
+    seed = np.full(1, SEED + 64 * table + shape, np.uint64)
+    sampled = sorted(np.random.default_rng([SEED, table, shape]).choice(steps, bits, replace=False).tolist())
+    coins = arrays.mix(h ^ arrays.mix(seed))
+    n = len(h) - steps
+    at, sign, whole = np.arange(n, dtype=np.int32), np.zeros(n, np.uint64), np.ones(n, bool)
+    for t in range(sampled[-1] + 1):
+        if t in sampled:
+            word = h[at]
+            whole &= word != END
+            sign = (sign ^ word) * ODD
+        if t < sampled[-1]:
+            at += ((coins[at] >> np.uint64(t)) & np.uint64(1)).astype(np.int32)
+    return np.where(whole, sign | np.uint64(1), END)
+
+
+def edit_distances(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row of ``windows`` the smallest word edit distance of ``item`` to any stretch of it, with the stretch's start and
+    end; ties go to the first end and the last start. A cell is (cost, width - start) in one number."""
+    m, width = windows.shape
+    one = np.int64(1) << np.int64(32)
+    step = np.arange(width + 1, dtype=np.int64) * one
+    row = np.broadcast_to(width - np.arange(width + 1, dtype=np.int64), (m, width + 1))
+    for i, w in enumerate(item, 1):
+        new = np.empty((m, width + 1), np.int64)
+        new[:, 0] = i * one + width
+        np.minimum(row[:, :-1] + np.where(windows != w, one, 0), row[:, 1:] + one, out=new[:, 1:])
+        new -= step
+        np.minimum.accumulate(new, axis=1, out=new)
+        new += step
+        row = new
+    cost = row >> np.int64(32)
+    end = np.argmin(cost, axis=1)
+    at = np.arange(m)
+    return cost[at, end], width - (row[at, end] & (one - 1)), end
 
 
-def sampled(steps: int, table: int, bits: int) -> np.ndarray:
-    """Positions of one repetition, over the outputs where most walks still read words."""
-    return np.random.default_rng([SEED, table]).choice(max(1, steps * 2 // 3), bits)
+def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
+    """:func:`edit_distances` for one text."""
+    return tuple(int(x[0]) for x in edit_distances(item, text[None, :]))
 
 
-def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
-    """Smallest word edit distance of ``item`` to any stretch of ``text``, with the stretch's start and end; ties go to
-    the first end and the last start."""
-    n = len(text)
-    row, start = np.zeros(n + 1, np.int64), np.arange(n + 1)
-    for i, w in enumerate(item.tolist(), 1):
-        new, begin = np.empty(n + 1, np.int64), np.empty(n + 1, np.int64)
-        new[0], begin[0] = i, 0
-        diagonal = row[:-1] + (text != w)
-        above = row[1:] + 1
-        best = np.minimum(diagonal, above)
-        from_ = np.where(diagonal <= above, start[:-1], start[1:])
-        last, last_start = i, 0
-        for j, (b, s) in enumerate(zip(best.tolist(), from_.tolist(), strict=True), 1):
-            if last + 1 < b:
-                last = last + 1
-            else:
-                last, last_start = b, s
-            new[j], begin[j] = last, last_start
-        row, start = new, begin
-    end = int(np.argmin(row))
-    return int(row[end]), int(start[end]), end
+def ragged(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of ``sizes`` elements: each element's run, and its place in the run."""
+    run = np.repeat(np.arange(len(sizes)), sizes)
+    return run, np.arange(len(run)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 class Block:
-    """Items of one block, with their segments by length."""
-
-    def __init__(self, ids: list, texts: list, max_edit: float, least_words: int, recall: float, bits: int):
-        self.ids, self.items = [], []
-        for i, h, first in words_of(pa.array(texts, pa.string())):
-            for r in range(len(first) - 1):
-                if first[r + 1] > first[r]:
-                    self.ids.append(ids[i + r])
-                    self.items.append(h[first[r] : first[r + 1]].copy())
-        self.limit = [math.floor(max_edit * len(x)) if len(x) >= least_words else 0 for x in self.items]
-        self.tables, self.bits = tables_for(recall, max_edit, bits), bits
-        by: dict[int, list] = {}
-        for k, (x, d) in enumerate(zip(self.items, self.limit, strict=True)):
-            edges = np.linspace(0, len(x), d + 2).astype(int)
-            for s, e in zip(edges[:-1], edges[1:], strict=True):
-                by.setdefault(int(e - s), []).append((run_hash(x, int(e - s))[s], k, s))
-        self.segments = {}
-        for n, found in by.items():
-            found.sort()
-            key = np.array([f[0] for f in found], np.uint64)
-            bit = np.zeros(1 << 20, bool)
-            bit[key >> np.uint64(44)] = True
-            self.segments[n] = (key, np.array([f[1] for f in found]), np.array([f[2] for f in found]), bit)
-        self.length = np.array([len(x) for x in self.items], np.int64)
-        self.signs = [self.signatures(x[None, :]) for x in self.items]
-
-    def signatures(self, windows: np.ndarray) -> np.ndarray:
-        """``tables`` hashes of the sampled positions for every window."""
-        steps = 3 * windows.shape[1]
-        out = np.empty((len(windows), self.tables), np.uint64)
-        for t in range(self.tables):
-            at = sampled(steps, t, self.bits)
-            walk = embed(windows, t, int(at.max()) + 1)
-            h = np.zeros(len(windows), np.uint64)
-            for k in at:
-                h = arrays.mix(h ^ walk[:, k])
-            out[:, t] = h
-        return out
-
-    def windows(self, h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (row, item, start) of item-sized windows that a segment's occurrence places."""
-        rows, items, starts = [], [], []
-        for n, (key, item, offset, bit) in self.segments.items():
-            g = run_hash(h, n)
-            at = np.flatnonzero(bit[g >> np.uint64(44)])
-            low, high = np.searchsorted(key, g[at], "left"), np.searchsorted(key, g[at], "right")
-            at, low, count = at[high > low], low[high > low], (high - low)[high > low]
-            if not len(at):
-                continue
-            pos = np.repeat(at, count)
-            place = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            row = np.searchsorted(first, pos, "right") - 1
-            ok = pos + n <= first[row + 1]
-            rows.append(row[ok])
-            items.append(item[place][ok])
-            starts.append((pos - offset[place])[ok])
-        if not rows:
-            return (np.zeros(0, np.int64),) * 3
-        return tuple(np.unique(np.stack([np.concatenate(x) for x in (rows, items, starts)]), axis=1))
-
-    def find(self, h: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
-        """(row, item position, start word, end word, edits), the best stretch for each row and item."""
-        best: dict = {}
-        rows, items, starts = self.windows(h, first)
-        for k in np.unique(items):
-            mine = items == k
-            row, start, n, d = rows[mine], starts[mine], int(self.length[k]), self.limit[k]
-            at = start[:, None] + np.arange(n)
-            inside = (at >= first[row][:, None]) & (at < first[row + 1][:, None])
-            view = np.where(inside, h[np.clip(at, 0, len(h) - 1)], END)
-            near = (self.signatures(view) == self.signs[k]).any(axis=1)
-            for r, s in zip(row[near].tolist(), start[near].tolist(), strict=True):
-                if best.get((r, k), (1,))[0] == 0:
-                    continue
-                lo, hi = max(int(first[r]), s - d), min(int(first[r + 1]), s + n + d)
-                edits, a, b = edit_distance(self.items[k], h[lo:hi])
-                if edits <= d and (r, k) not in best or edits < best.get((r, k), (edits,))[0]:
-                    best[r, k] = (edits, lo + a - int(first[r]), lo + b - int(first[r]))
-        return [(r, int(k), a, b, e) for (r, k), (e, a, b) in sorted(best.items())]
-
-
-def run_hash(h: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n words from each place on; runs that pass the end are cut."""
-    value = np.zeros(len(h) + 1, np.uint64)
-    np.cumsum(h * arrays.powers(max(1, len(h)))[: len(h)], out=value[1:], dtype=np.uint64)
-    end = np.minimum(np.arange(len(h)) + n, len(h))
-    return arrays.mix((value[end] - value[:-1]) * arrays.powers(max(1, len(h)), -1)[: len(h)])
-
-
-def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT, least_words: int = 8, recall: float = RECALL, bits: int = BITS, block_items: int = 20_000
-) -> DataFrame:
+    """Items of one block: words, allowed edits, and a table of signatures for each shape and repetition."""
+
+    def __init__(self, ids: list, items: list[np.ndarray], max_edit: float, recall: float):
+        self.ids, self.items = ids, items
+        self.length = np.array([len(x) for x in items], np.int64)
+        self.limit = np.floor(max_edit * self.length + 1e-9).astype(np.int64)
+        shapes = np.array([shape_of(n, d) for n, d in zip(self.length.tolist(), self.limit.tolist(), strict=True)], np.int64)
+        self.tables = []
+        for shape in np.unique(shapes).tolist():
+            mine = np.flatnonzero(shapes == shape)
+            steps = SHAPES[shape][2]
+            run, place = ragged(self.length[mine] + steps)
+            h = np.zeros(len(run), np.uint64)
+            h[place < self.length[mine][run]] = np.concatenate([items[k] for k in mine])
+            for table in range(tables_for(recall, max_edit, steps)):
+                sign = signatures(np.concatenate([h, np.zeros(steps, np.uint64)]), shape, table)
+                ok = np.flatnonzero((sign != END) & ((place == 0) | (shape != 2)))
+                self.tables.append((shape, table, *self.sorted(sign[ok], mine[run[ok]], place[ok])))
+        words = [arrays.mix(x ^ arrays.mix(np.full(1, k, np.uint64))) for k, x in enumerate(items)]
+        self.shift = np.uint64(64 - max(16, min(26, math.ceil(math.log2(16 * max(1, self.length.sum()))))))
+        self.has = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.has[np.concatenate(words) >> self.shift] = True
+
+    @staticmethod
+    def sorted(sign: np.ndarray, item: np.ndarray, place: np.ndarray) -> tuple:
+        """By signature, of each item the MOST_STARTS whose signatures the fewest items have; and a bit table."""
+        _, inverse, count = np.unique(sign, return_inverse=True, return_counts=True)
+        order = np.lexsort((place, count[inverse], item))
+        _, first = np.unique(item[order], return_index=True)
+        rank = np.arange(len(order)) - np.repeat(first, np.diff(np.concatenate([first, [len(order)]])))
+        kept = order[rank < MOST_STARTS]
+        kept = kept[np.argsort(sign[kept], kind="stable")]
+        shift = np.uint64(64 - max(16, min(26, math.ceil(math.log2(16 * max(1, len(kept)))))))
+        bit = np.zeros(1 << (64 - int(shift)), bool)
+        bit[sign[kept] >> shift] = True
+        return sign[kept], item[kept].astype(np.int32), place[kept].astype(np.int32), shift, bit
+
+    def proposed(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Ascending item * (len(padded) + 1) + start of the windows that a signature proposes; starts count in :func:`padded`."""
+        found = []
+        text, begin = padded(h, first)
+        for shape, table, sign, item, place, shift, bit in self.tables:
+            mine = signatures(text, shape, table)
+            at = np.flatnonzero(bit[mine >> shift])
+            low, high = np.searchsorted(sign, mine[at], "left"), np.searchsorted(sign, mine[at], "right")
+            run, k = ragged(high - low)
+            k += low[run]
+            own = begin[np.searchsorted(begin, at, "right") - 1]  # a text may begin within an item
+            found.append(np.unique(item[k].astype(np.int64) * (len(text) + 1) + np.maximum(at[run] - place[k], own[run])))
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+    def find(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Rows of (row, item, start word, end word, edits): the best stretch for each row and item."""
+        text, begin = padded(h, first)
+        keys = self.proposed(h, first)
+        item, start = keys // (len(text) + 1), keys % (len(text) + 1)
+        row = np.searchsorted(begin, start, "right") - 1
+        length, limit = self.length[item], self.limit[item]
+        lo = np.maximum(begin[row], start - limit)
+        hi = np.minimum(begin[row] + np.diff(first)[row], start + length + limit)
+        enough = np.zeros(len(keys), bool)
+        size = np.maximum(hi - lo, 0)
+        total = np.cumsum(size)
+        cut = 0
+        while cut < len(keys):  # pieces of about PIECE words
+            end = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + PIECE, "right")))
+            run, place = ragged(size[cut:end])
+            word = text[lo[cut:end][run] + place]
+            hit = self.has[arrays.mix(word ^ arrays.mix(item[cut:end].astype(np.uint64))[run]) >> self.shift]
+            enough[cut:end] = np.bincount(run, hit, end - cut) >= (length - limit)[cut:end]
+            cut = end
+        out = []
+        for k in np.unique(item[enough]).tolist():
+            mine = np.flatnonzero(enough & (item == k))
+            width = int(self.length[k] + 2 * self.limit[k])
+            each = max(1, PIECE // (width + 1))
+            for s in range(0, len(mine), each):
+                some = mine[s : s + each]
+                at = (start[some] - self.limit[k])[:, None] + np.arange(width)
+                inside = (at >= lo[some][:, None]) & (at < hi[some][:, None])
+                windows = np.where(inside, text[np.clip(at, 0, len(text) - 1)], END)
+                edits, a, b = edit_distances(self.items[k], windows)
+                ok = edits <= self.limit[k]
+                base = (start[some] - self.limit[k] - begin[row[some]])[ok]
+                out.append(np.stack([row[some][ok], np.full(ok.sum(), k), edits[ok], base + a[ok], base + b[ok]]))
+        if not out:
+            return np.zeros((0, 5), np.int64)
+        found = np.concatenate(out, axis=1)
+        found = found[:, np.lexsort(found[::-1])]
+        new = np.ones(found.shape[1], bool)
+        new[1:] = (found[:2, 1:] != found[:2, :-1]).any(axis=0)
+        return found[:, new].T[:, [0, 1, 3, 4, 2]]
+
+
+def padded(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts with END after each as often as the longest walk has steps, and each text's start."""
+    gap = max(s for _, _, s in SHAPES)
+    begin = first[:-1] + gap * np.arange(len(first) - 1)
+    out = np.zeros(len(h) + gap * len(first), np.uint64)
+    run, place = ragged(np.diff(first))
+    out[begin[run] + place] = h
+    return out, begin
+
+
+def blocks_of(benchmark: DataFrame, max_edit: float, recall: float, block_items: int):
+    """Broadcast blocks, one at a time; the words of items are hashed in tasks."""
+    spark = benchmark.sparkSession
+
+    def hashed(batches):
+        for b in batches:
+            for i, h, first in words_of(b.column(1)):
+                words = [h[s:e].tobytes() for s, e in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, len(words)), pa.array(words, pa.binary())], ["item_id", "words"])
+
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
+    items = materialize(items.mapInArrow(hashed, "item_id long, words binary").where(F.length("words") > 0), "items")
+    blocks = math.ceil(items.count() / block_items)
+    for k in range(blocks):
+        mine = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == k).toArrow().to_pylist()  # about block_items
+        mine.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["words"]))
+        if mine:
+            yield spark.sparkContext.broadcast(Block([r["item_id"] for r in mine], [np.frombuffer(r["words"], np.uint64) for r in mine], max_edit, recall))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT, recall: float = RECALL, block_items: int = 10_000) -> DataFrame:
     """``doc_id, item_id, start_word, end_word, edits`` for every document and item that occurs in it, its best stretch."""
-    small_batches(docs.sparkSession)
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null").orderBy("item_id", "text")
+    small_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     schema = "doc_id long, item_id long, start_word int, end_word int, edits int"
-    out = spark.createDataFrame([], schema)
-
-    def scan_with(block):
-        held = spark.sparkContext.broadcast(block)
+    out = None
 
+    def scan_with(held):
         def scan(batches):
             b = held.value
             for batch in batches:
-                found = []
                 for i, h, first in words_of(batch.column(1)):
-                    found += [(i + r, b.ids[k], s, e, d) for r, k, s, e, d in b.find(h, first)] if len(h) else []
-                ids = batch.column(0).take(pa.array([f[0] for f in found], pa.int64()))
-                yield pa.RecordBatch.from_arrays([ids, pa.array([f[1] for f in found], pa.int64()), *(pa.array([f[c] for f in found], pa.int32()) for c in (2, 3, 4))], ["doc_id", "item_id", "start_word", "end_word", "edits"])
+                    found = b.find(h, first) if len(h) else np.zeros((0, 5), np.int64)
+                    ids = batch.column(0).take(pa.array(found[:, 0] + i))
+                    items = pa.array([b.ids[k] for k in found[:, 1].tolist()], pa.int64())
+                    yield pa.RecordBatch.from_arrays([ids, items, *(pa.array(found[:, c], pa.int32()) for c in (2, 3, 4))], ["doc_id", "item_id", "start_word", "end_word", "edits"])
 
         return scan
 
-    ids, block, n = [], [], 0
-    for r in items.toLocalIterator():  # one partition of the items at a time
-        ids.append(r[0])
-        block.append(r[1])
-        if len(block) == block_items:
-            out = out.unionByName(texts.mapInArrow(scan_with(Block(ids, block, max_edit, least_words, recall, bits)), schema))
-            ids, block = [], []
-        n += 1
-    if block:
-        out = out.unionByName(texts.mapInArrow(scan_with(Block(ids, block, max_edit, least_words, recall, bits)), schema)) if n > len(block) else texts.mapInArrow(scan_with(Block(ids, block, max_edit, least_words, recall, bits)), schema)
-    return out
+    for held in blocks_of(benchmark, max_edit, recall, block_items):
+        part = texts.mapInArrow(scan_with(held), schema)
+        out = part if out is None else out.union(part)
+    return spark.createDataFrame([], schema) if out is None else out
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in which no item occurs, all columns. Rows with a null id are kept."""
-    leaks = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("leak_id")).distinct()
-    return docs.join(leaks, docs["doc_id"].cast("long") == F.col("leak_id"), "left_anti")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, max_edit: float = MAX_EDIT, recall: float = RECALL, block_items: int = 10_000) -> DataFrame:
+    """The rows of ``docs`` in which no item occurs, all columns; each row is judged by its own text in the scan's tasks, so
+    neither ids nor other columns matter."""
+    small_batches(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def scan_with(held):
+        def scan(batches):
+            b = held.value
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for i, h, first in words_of(batch.column(at).cast(pa.string())):
+                    if len(h):
+                        keep[b.find(h, first)[:, 0] + i] = False
+                yield batch.filter(pa.array(keep))
+
+        return scan
+
+    out = docs
+    for held in blocks_of(benchmark, max_edit, recall, block_items):
+        out = out.mapInArrow(scan_with(held), docs.schema)
+    return out
 
 
 @query("op7_decontamination")

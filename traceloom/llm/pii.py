@@ -3,19 +3,26 @@
 All work on rows is SQL expressions. A pattern's places are found by marking its matches in the text and adding up the
 lengths between marks, in two levels, so a text with very many matches costs little more than one with few.
 
-Candidates. Generators with high recall propose overlapping spans: digit groups with separators, a name and a number after a
-word like ``phone``, and spelled-out addresses (``name at host dot com``). Features are the candidate's format, its check
-digit and its context. Trees learn from the
-candidates of at most ``most_docs`` documents, those that overlap a fixed pattern's valid match being positive. A
-generator's threshold is the least score at which the share of positives among held-out candidates (a third of the
-documents) is at least ``precision``, by at least MIN_HELD of them; if there is none, the generator adds nothing. Chosen
-candidates that overlap a fixed span, or a candidate chosen before them, are left out.
+Candidates. Generators with high recall propose overlapping spans: digit groups with separators, a number after a word like
+``phone``, and spelled-out addresses (``name at host dot com``, brackets or not). Their lengths have no bound. Features are
+the candidate's format, its check digit and its context.
+
+Trees learn from the documents of a bounded sample. Positives are the fixed patterns' own valid spans with their format taken
+away and their context kept: a phone number without its plus sign, a card number with a wrong check digit or points for
+separators, an address number without its points, an e-mail address spelled out; and candidates that a fixed span overlaps.
+Negatives are the other candidates as they occur. Some of those are personal data that no pattern knows, so the measured
+precision is a lower bound. On a third of the sample the trees' probabilities are calibrated (isotonic regression), and a
+generator's threshold is the least score whose calibrated probability is at least ``precision``, reached by MIN_HELD
+candidates; if there is none, the generator adds nothing. All candidates are scored. Chosen ones that overlap a fixed span,
+or a candidate chosen before them, are left out: the fixed span stands for them.
 
 Rows: a null text counts as empty. Repeated rows give repeated results. Only the id and text columns are read.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +50,24 @@ VALID = {
 }
 # The generators of further candidates.
 GENERATORS = {
-    "number": r"(?<![0-9A-Za-z+.])\(?[0-9](?:[\x20()./-]{0,2}[0-9]){7,18}+(?![0-9A-Za-z])",
-    "labelled": r"(?i)(?<![a-z])(?:tel|phone|mobile|fax|call|card|iban|account|passport|ssn)[.:#\x20]{1,3}[0-9A-Z](?:[\x20-]?[0-9]){6,24}+(?![0-9A-Za-z])",
-    "spelled": r"(?i)(?<![a-z0-9._%+-])[a-z0-9][a-z0-9._%+-]{1,40}+\x20?[(\[]?\x20?at\x20?[)\]]?\x20?[a-z0-9-]{2,40}+\x20?[(\[]\x20?dot\x20?[)\]]\x20?[a-z]{2,10}+",
+    "number": r"(?<![0-9A-Za-z+.])\(?[0-9](?:[\x20()./-]{0,2}[0-9]){7,}+",
+    "labelled": r"(?i)(?<![a-z])(?:tel|phone|mobile|fax|call|card|iban|account|passport|ssn)[.:#\x20]{1,3}[0-9A-Z](?:[\x20-]?[0-9]){6,}+",
+    "spelled": r"(?i)(?<![a-z0-9._%+-])[a-z0-9][a-z0-9._%+-]*+(?:\x20|\x20?[(\[]\x20?)at(?:\x20|\x20?[)\]]\x20?)[a-z0-9-]++(?:(?:\x20|\x20?[(\[]\x20?)dot(?:\x20|\x20?[)\]]\x20?)[a-z0-9-]{2,}+)++",
 }
-FEATURES = ["len", "digits", "groups", "seps", "dashes", "spaces", "brackets", "first", "longest", "luhn", "word_before", "label_before", "word_after"]
+#: What may not follow a candidate; tested after the match, so that no generator tries a run of digits again from within.
+NOT_AFTER = {"number": "^[0-9A-Za-z]", "labelled": "^[0-9A-Za-z]", "spelled": "^[0-9A-Za-z]"}
+#: Per fixed kind: SQL of the same value v in a format that its pattern doesn't match, and the generator that proposes it.
+DISGUISES = [
+    ("phone", "number", "substr(v, 2)"),
+    ("phone", "labelled", r"concat('phone ', regexp_replace(substr(v, 2), '[().]|(?<=[ -])[ -]+', ''))"),
+    ("card", "number", "concat(left(v, length(v) - 1), cast((cast(right(v, 1) as int) + 1) % 10 as string))"),
+    ("card", "number", "regexp_replace(v, '[ -]', '.')"),
+    ("card", "labelled", "concat('card ', v)"),
+    ("ip", "number", "replace(v, '.', ' ')"),
+    ("email", "spelled", "replace(replace(v, '@', ' at '), '.', ' dot ')"),
+    ("email", "spelled", "replace(replace(v, '@', ' (at) '), '.', ' (dot) ')"),
+]
+FEATURES = ["len", "digits", "groups", "seps", "dashes", "spaces", "brackets", "first", "longest", "luhn", "alone", "word_before", "label_before", "word_after"]
 FEATURE_SQL = {
     "len": "length(v)",
     "digits": "length(regexp_replace(v, '[^0-9]', ''))",
@@ -59,6 +79,7 @@ FEATURE_SQL = {
     "first": "coalesce(cast(regexp_extract(v, '([0-9])', 1) as int), -1)",
     "longest": "coalesce(array_max(transform(regexp_extract_all(v, '([0-9]+)', 1), x -> length(x))), 0)",
     "luhn": "if(luhn_check(regexp_replace(v, '[^0-9]', '')), 1, 0)",
+    "alone": r"if(before rlike '^\\s*$' and after rlike '^\\s*$', 1, 0)",
     "word_before": r"if(before rlike r'[A-Za-z],?\x20?$', 1, 0)",
     "label_before": r"if(lower(before) rlike r'(tel|phone|mobile|fax|call|card|iban|account|acct|passport|ssn|id)[^a-z0-9]*$', 1, 0)",
     "word_after": r"if(after rlike r'^\x20?[A-Za-z]', 1, 0)",
@@ -103,29 +124,59 @@ def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(df[id_col].cast("long").alias("doc_id"), clean.alias("t"))
 
 
-def base_spans(df: DataFrame) -> DataFrame:
+def base_spans(df: DataFrame, context: bool = False) -> DataFrame:
     """``doc_id, t`` and the valid spans of each fixed kind."""
-    found = located(df, PATTERNS, context=False)
-    return found.withColumns({k: F.expr(f"filter(transform({k}, x -> named_struct('s', x.s, 'e', x.e, 'v', x.v)), x -> {VALID[k].replace('v rlike', 'x.v rlike').replace('(v,', '(x.v,')})") for k in KINDS})
+    found = located(df, PATTERNS, context)
+    return found.withColumns({k: F.expr(f"filter({k}, x -> {VALID[k].replace('v rlike', 'x.v rlike').replace('(v,', '(x.v,')})") for k in KINDS})
+
+
+def feature_sql(of: str) -> str:
+    """Fields of a struct with all features of the struct expression ``of``."""
+    put = lambda sql: re.sub(r"\b(v|before|after)\b(?=[ ,)])", lambda m: f"{of}.{m[1]}", sql)
+    return ", ".join(f"'{f}', cast({put(FEATURE_SQL[f])} as double)" for f in FEATURES)
 
 
 def candidates(found: DataFrame) -> DataFrame:
     """Adds for each generator the candidates with features, and ``hit``: whether a fixed span overlaps it."""
     made = located(found, GENERATORS, context=True)
     overlap = " or ".join(f"exists({k}, b -> b.s < x.e and x.s < b.e)" for k in KINDS)
-    sql = {f: FEATURE_SQL[f].replace("(v", "(x.v").replace("(before", "(x.before").replace("(after", "(x.after").replace("before rlike", "x.before rlike").replace("after rlike", "x.after rlike").replace("x.x.", "x.") for f in FEATURES}
-    fields = ", ".join(f"'{f}', cast({sql[f]} as double)" for f in FEATURES)
-    return made.withColumns({g: F.expr(f"transform({g}, x -> named_struct('s', x.s, 'e', x.e, 'v', x.v, 'hit', {overlap}, {fields}))") for g in GENERATORS})
+    alone = lambda g: f"filter({g}, x -> not x.after rlike '{NOT_AFTER[g]}')"
+    return made.withColumns({g: F.expr(f"transform({alone(g)}, x -> named_struct('s', x.s, 'e', x.e, 'v', x.v, 'hit', {overlap}, {feature_sql('x')}))") for g in GENERATORS})
+
+
+def disguised(found: DataFrame) -> list:
+    """Array columns of ``g, hit`` and features: the fixed spans of ``found``, with context, in other formats."""
+    out = []
+    for kind, g, sql in DISGUISES:
+        value = re.sub(r"\bv\b", "x.v", sql)
+        pattern = GENERATORS[g].replace("\\", "\\\\")
+        made = f"transform({kind}, x -> named_struct('v', {value}, 'before', x.before, 'after', x.after))"
+        whole = f"filter({made}, x -> x.v = regexp_extract(x.v, '{pattern}', 0))"
+        out.append(F.expr(f"transform({whole}, x -> named_struct('g', '{g}', 'hit', true, {feature_sql('x')}))"))
+    return out
+
+
+def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending scores and the non-decreasing probabilities that fit ``y`` best, by pooling adjacent violators."""
+    at, inverse = np.unique(score, return_inverse=True)
+    blocks = []
+    for total, n in zip(np.bincount(inverse, y).tolist(), np.bincount(inverse).tolist(), strict=True):
+        blocks.append([total, n, 1])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            total, n, k = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + total, blocks[-1][1] + n, blocks[-1][2] + k]
+    return at, np.concatenate([np.full(k, total / n) for total, n, k in blocks]) if blocks else np.zeros(0)
 
 
 def fit(df: DataFrame, id_col: str, text_col: str, most_docs: int, precision: float) -> dict:
     """Per generator the model and its threshold; a generator without a threshold is left out."""
-    ids = smallest_by_hash(df.select(df[id_col].cast("long").alias("sample_id")).where("sample_id is not null"), ["sample_id"], most_docs)
-    some = df.join(F.broadcast(ids), df[id_col].cast("long") == F.col("sample_id"), "left_semi")  # most_docs ids
-    found = candidates(base_spans(texts(some, id_col, text_col)))
-    one = [F.expr(f"transform({g}, x -> named_struct('g', '{g}', 'hit', x.hit, {', '.join(f"'{f}', x.{f}" for f in FEATURES)}))") for g in GENERATORS]
-    rows = found.select("doc_id", F.explode(F.concat(*one)).alias("c")).select("doc_id", "c.*")
-    rows = rows.orderBy(F.xxhash64("doc_id", *FEATURES)).limit(4 * most_docs).collect()
+    own = texts(df, id_col, text_col)
+    ids = smallest_by_hash(own.select(F.col("doc_id").alias("sample_id")).where("sample_id is not null"), ["sample_id"], most_docs)
+    some = own.join(F.broadcast(ids), own["doc_id"] == F.col("sample_id"), "left_semi")  # most_docs ids
+    found = candidates(base_spans(some, context=True))
+    plain = [F.expr(f"transform({g}, x -> named_struct('g', '{g}', 'hit', x.hit, {', '.join(f"'{f}', x.{f}" for f in FEATURES)}))") for g in GENERATORS]
+    rows = found.select("doc_id", F.explode(F.concat(*plain, *disguised(found))).alias("c")).select("doc_id", "c.*")
+    rows = rows.orderBy(F.xxhash64("doc_id", "g", *FEATURES), "hit").limit(8 * most_docs).collect()
     chosen = {}
     for g in GENERATORS:
         mine = [r for r in rows if r.g == g]
@@ -136,19 +187,18 @@ def fit(df: DataFrame, id_col: str, text_col: str, most_docs: int, precision: fl
             continue
         model = boosted.fit(x[~held], y[~held], trees=20)
         p = boosted.predict(model, x[held])
-        for t in np.unique(p):
-            if (p >= t).sum() >= MIN_HELD and y[held][p >= t].mean() >= precision:
-                chosen[g] = (model, float(t) - 1e-9)
-                break
+        at, calibrated = isotonic(p, y[held])
+        good = [t for t, c in zip(at.tolist(), calibrated.tolist(), strict=True) if c >= precision and (p >= t).sum() >= MIN_HELD]
+        if good:
+            chosen[g] = (model, good[0] - 1e-9)
     return chosen
 
 
-def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_docs: int = 4_000, precision: float = 0.95) -> DataFrame:
+def find_pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_docs: int = 4_000, precision: float = 0.9) -> DataFrame:
     """``doc_id``, the fixed kinds' spans as array columns ``email, ip, card, phone``, and ``extra``: chosen candidates with
     their generator's name as kind. Spans have start, end (exclusive, code points) and value."""
     chosen = fit(df, id_col, text_col, most_docs, precision)
     found = base_spans(texts(df, id_col, text_col))
-    extra = F.expr("array()")
     if chosen:
         found = candidates(found)
         extra = F.expr("cast(array() as array<struct<kind:string,s:int,e:int,v:string>>)")
