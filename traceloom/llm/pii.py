@@ -76,7 +76,7 @@ FEATURE_SQL = {
     "dashes": "length(v) - length(replace(v, '-', ''))",
     "spaces": "length(v) - length(replace(v, ' ', ''))",
     "brackets": "length(regexp_replace(v, '[^()]', ''))",
-    "first": "coalesce(cast(regexp_extract(v, '([0-9])', 1) as int), -1)",
+    "first": "coalesce(try_cast(regexp_extract(v, '([0-9])', 1) as int), -1)",
     "longest": "coalesce(array_max(transform(regexp_extract_all(v, '([0-9]+)', 1), x -> length(x))), 0)",
     "luhn": "if(luhn_check(regexp_replace(v, '[^0-9]', '')), 1, 0)",
     "alone": r"if(before rlike '^\\s*$' and after rlike '^\\s*$', 1, 0)",
