@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+from traceloom.llm import boosted
 from traceloom.llm import pii as P
 
 
@@ -93,7 +94,7 @@ def test_isotonic_is_monotone_and_keeps_the_mean():
     rng = np.random.default_rng(0)
     score = rng.random(300).round(2)
     y = (rng.random(300) < score).astype(float)
-    at, p = P.isotonic(score, y)
+    at, p = boosted.isotonic(score, y)
     assert (np.diff(p) >= 0).all() and np.isclose(p[np.searchsorted(at, score)].sum(), y.sum())
 
 

@@ -69,3 +69,32 @@ def test_trees_and_sql_agree(spark):
 
     got = {r.i: r.p for r in df.select("i", F.expr(boosted.to_sql(model, ["a", "b", "c"])).alias("p")).collect()}
     assert all(abs(got[i] - p[i]) < 1e-6 for i in got)
+
+
+def test_held_out_figures(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    _, least, auc = U.fit(U.with_suffix(U.with_features(pages, U.RULES)), 20_000, 30, 0.8)
+    print("AUC", auc, "threshold", least)
+    assert auc > 0.8 and 0 < least < 1
+
+
+def test_labelled_urls_are_a_parameter(spark):
+    """Labels that only a feature of the trees gives: many digits are bad. Every verdict of a URL without a rule is the trees'."""
+    rows = [(i, f"http://h{i % 97}.example.de/{'1234567890' * 3 if i % 4 == 0 else 'some/words/here'}{i}", 1) for i in range(2000)]
+    df = spark.createDataFrame(rows, "page_id long, url string, label int")
+    known = spark.createDataFrame([(u, int(i % 4 == 0)) for i, u, _ in rows[:1000]] + [(None, 1), (rows[3][1], None)], "url string, blocked int")
+    got = {r.page_id: r for r in U.judge(df, labelled=known).collect()}
+    assert len(got) == 2000 and sum((r.verdict == "block") == (i % 4 == 0) for i, r in got.items()) >= 0.98 * 2000
+
+
+def test_suffix_statistics_cover_all_rows_and_the_other_half(spark, monkeypatch):
+    rows = [(i, f"http://a.site{i % 300}.de/x{i}") for i in range(3000)]
+    featured = U.with_features(spark.createDataFrame(rows, "page_id long, url string"), [("block", "site7.de", "/")])
+    for most in (10**6, 0):
+        monkeypatch.setattr(U, "BROADCAST_SUFFIXES", most)
+        got = U.with_suffix(featured).select("tail", "half", "label", "weight", "suffix").collect()
+        prior = (sum(r.weight * r.label for r in got) + 1) / (sum(r.weight for r in got) + 2)
+        for r in got[:200]:
+            other = [x for x in got if x.tail == r.tail and x.half != r.half]
+            want = (sum(x.weight * x.label for x in other) + 2 * prior) / (sum(x.weight for x in other) + 2)
+            assert abs(r.suffix - want) < 1e-9

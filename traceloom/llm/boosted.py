@@ -63,6 +63,27 @@ def predict(model, x):
     return 1 / (1 + np.exp(-z)) if trees else np.full(len(x), 1 / (1 + np.exp(-start)))
 
 
+def isotonic(score: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending scores and the non-decreasing probabilities that fit ``y`` best, by pooling adjacent violators."""
+    w = np.ones(len(y)) if weight is None else np.asarray(weight, float)
+    at, inverse = np.unique(score, return_inverse=True)
+    blocks = []
+    for total, n in zip(np.bincount(inverse, w * y).tolist(), np.bincount(inverse, w).tolist(), strict=True):
+        blocks.append([total, n, 1])
+        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
+            total, n, k = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + total, blocks[-1][1] + n, blocks[-1][2] + k]
+    return at, np.concatenate([np.full(k, total / n) for total, n, k in blocks]) if blocks else np.zeros(0)
+
+
+def auc(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """Weighted area under the ROC curve, ties half; nan with one class."""
+    at, inverse = np.unique(score, return_inverse=True)
+    pos, neg = np.bincount(inverse, weight * y, len(at)), np.bincount(inverse, weight * (1 - y), len(at))
+    below = np.cumsum(neg) - neg / 2
+    return float((pos * below).sum() / (pos.sum() * neg.sum())) if pos.sum() and neg.sum() else float("nan")
+
+
 def to_sql(model, names: list[str]) -> str:
     """The probability as a SQL expression over the features' expressions ``names``."""
     start, trees = model

@@ -156,18 +156,6 @@ def disguised(found: DataFrame) -> list:
     return out
 
 
-def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending scores and the non-decreasing probabilities that fit ``y`` best, by pooling adjacent violators."""
-    at, inverse = np.unique(score, return_inverse=True)
-    blocks = []
-    for total, n in zip(np.bincount(inverse, y).tolist(), np.bincount(inverse).tolist(), strict=True):
-        blocks.append([total, n, 1])
-        while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
-            total, n, k = blocks.pop()
-            blocks[-1] = [blocks[-1][0] + total, blocks[-1][1] + n, blocks[-1][2] + k]
-    return at, np.concatenate([np.full(k, total / n) for total, n, k in blocks]) if blocks else np.zeros(0)
-
-
 def fit(df: DataFrame, id_col: str, text_col: str, most_docs: int, precision: float) -> dict:
     """Per generator the model and its threshold; a generator without a threshold is left out."""
     own = texts(df, id_col, text_col)
@@ -187,7 +175,7 @@ def fit(df: DataFrame, id_col: str, text_col: str, most_docs: int, precision: fl
             continue
         model = boosted.fit(x[~held], y[~held], trees=20)
         p = boosted.predict(model, x[held])
-        at, calibrated = isotonic(p, y[held])
+        at, calibrated = boosted.isotonic(p, y[held])
         good = [t for t, c in zip(at.tolist(), calibrated.tolist(), strict=True) if c >= precision and (p >= t).sum() >= MIN_HELD]
         if good:
             chosen[g] = (model, good[0] - 1e-9)
