@@ -1,12 +1,17 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
-P(word | history) = P(class | history) * P(word | class). A class is one of the most frequent words, or an ending: the last
-two bytes of any other word. The class softmax sums hashed feature rows: the word before, the two words before as one, and
-the words two and three places before (skips). Within a class the only feature is the word itself, where maximum entropy has
-the closed form of smoothed counts; every class keeps room for one unseen word.
+P(word | history) = P(class | history) * P(member | class, history) * P(word | member). Classes are ranges of word endings (the
+last two bytes), cut so that each holds about the same mass of training tokens, whatever the vocabulary. A class's most
+frequent words are members of their own, where the last factor is 1; its other words fall into TAILS members by hash, in
+which the word is the only feature, for which maximum entropy has the closed form of smoothed counts. Those members keep room
+for unseen words.
 
-Training mixes parameters: each task runs AdaGrad over its texts from the current weights, and a row's change is the mean of
-the tasks' changes weighted by how often each met the row. Every training text takes part in each round.
+Both softmaxes sum hashed feature rows: the word before, the two words before as one, and the words two and three places
+before (skips); for the members without the last, and hashed together with the class.
+
+Training runs ROUNDS rounds of gradient updates, each over its own part of the texts (by hash), so every training text takes part
+once. In a round each task runs AdaGrad from the current weights, and a row's change is the mean of the tasks' changes
+weighted by how often each met the row; the rows' squared gradients are carried on the same way.
 
 Counts are exact over all training tokens, by 64-bit token hash, and stay distributed. Tasks get the counts of the most
 frequent words, a bounded number; counts of all other tokens join by hash. One pass gives what a text's frequent tokens and
@@ -33,11 +38,14 @@ from traceloom.sources.tables import read_table
 DELTA = 0.1
 #: Words whose counts every task holds: 16 bytes each.
 FREQUENT = 1 << 18
-WORD_CLASSES, CLASSES = 24, 64
-#: Feature rows: the word before, the two before, skips of two and three.
+#: Classes; members of each class, the last TAILS of which hold the words that are no member of their own.
+CLASSES, MEMBERS, TAILS = 32, 32, 4
+#: Feature rows of the class softmax: the word before, the two before, skips of two and three; of the members': the first three.
 SPANS = ((0, 4096), (4096, 4096), (8192, 2048), (10240, 2048))
 ROWS = 12288
-BLOCK = 256
+MEMBER_ROWS = 1 << 15
+ROUNDS = 4
+BLOCK = 1024
 END, START = np.uint64(0x1234567890ABCDE1), np.uint64(0x0FEDCBA987654323)
 #: Tokens of a training step, and of a scoring step.
 MINIBATCH, SCORED = 16384, 4096
@@ -74,39 +82,62 @@ def feature_rows(before: list) -> np.ndarray:
     return np.stack([s + (arrays.mix(k) % np.uint64(size)).astype(np.int64) for (s, size), k in zip(SPANS, keys, strict=True)])
 
 
+def member_rows(before: list, k: np.ndarray) -> np.ndarray:
+    """Three hashed feature rows for each token, by its class."""
+    p1, p2, _ = before
+    own = (k.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    keys = (p1, p1 ^ arrays.mix(p2), arrays.mix(p2 ^ np.uint64(2)))
+    third = np.uint64(MEMBER_ROWS // 4)
+    sizes = (third, third * np.uint64(2), third)
+    first = (0, int(third), 3 * int(third))
+    return np.stack([f + (arrays.mix(x ^ own) % n).astype(np.int64) for f, n, x in zip(first, sizes, keys, strict=True)])
+
+
 class Shared:
-    """What every task holds: frequent words' hashes and counts, classes of words and endings, and class totals."""
+    """What every task holds: frequent words' hashes and counts, the class of each ending and the members of classes.
+    ``top``: hash, count, ending of frequent words; ``groups``: ending, tail, tokens, words of all."""
 
-    def __init__(self, top: list, endings: list, n: int, v: int):
+    def __init__(self, top: list, groups: list, n: int, v: int):
         order = np.argsort(np.array([h for h, _, _ in top], np.int64).view(np.uint64)) if top else np.zeros(0, np.int64)
         self.hash = np.array([top[i][0] for i in order], np.int64).view(np.uint64)
         self.count = np.array([top[i][1] for i in order], np.int64)
         self.n, self.v = n, v
-        totals = {e: [c, k] for e, c, k in endings}
-        words = top[:WORD_CLASSES]
-        for _, c, e in words:
-            totals[e][0] -= c
-            totals[e][1] -= 1
-        common = sorted(totals, key=lambda e: (-totals[e][0], e))[: CLASSES - WORD_CLASSES - 1]
-        self.of_ending = np.full(65536, CLASSES - 1, np.int64)
-        self.of_ending[common] = WORD_CLASSES + np.arange(len(common))
-        order = np.argsort(np.array([h for h, _, _ in words], np.int64).view(np.uint64))
-        self.words = np.array([words[i][0] for i in order], np.int64).view(np.uint64)
-        mass, size = np.zeros(CLASSES), np.zeros(CLASSES)
-        for k, i in enumerate(order):
-            mass[k], size[k] = words[i][1], 1
-        for e, (c, k) in totals.items():
-            mass[self.of_ending[e]] += c
-            size[self.of_ending[e]] += k
-        self.log_mass = np.log10(mass + DELTA * (size + 1))
-        self.bias = np.log((mass + 1) / (mass.sum() + CLASSES)).astype(np.float32)
-
-    def classes(self, h: np.ndarray, ending: np.ndarray) -> np.ndarray:
-        out = self.of_ending[ending]
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-            return np.where(self.words[at] == h, at, out)
-        return out
+        mass = np.zeros(65536)
+        for e, _, c, _ in groups:
+            mass[e] += c
+        # classes: the place of an ending's middle in the running mass, so that each holds about as much
+        middle = np.cumsum(mass) - mass / 2
+        self.of_ending = np.minimum((middle * (CLASSES / max(1.0, mass.sum()))).astype(np.int64), CLASSES - 1)
+        leaf_mass, size = np.zeros((CLASSES, MEMBERS)), np.zeros((CLASSES, MEMBERS))
+        for e, tail, c, words in groups:
+            leaf_mass[self.of_ending[e], MEMBERS - TAILS + tail] += c
+            size[self.of_ending[e], MEMBERS - TAILS + tail] += words
+        taken, own = np.zeros(CLASSES, np.int64), []
+        for h, c, e in sorted(top, key=lambda r: (-r[1], r[0])):
+            k = self.of_ending[e]
+            if taken[k] < MEMBERS - TAILS:
+                tail = MEMBERS - TAILS + int(np.uint64(h & (2**64 - 1)) % np.uint64(TAILS))
+                leaf_mass[k, tail] -= c
+                size[k, tail] -= 1
+                leaf_mass[k, taken[k]], size[k, taken[k]] = c, 1
+                own.append((h, int(taken[k])))
+                taken[k] += 1
+        own.sort(key=lambda r: r[0] & (2**64 - 1))
+        self.own = np.array([h for h, _ in own], np.int64).view(np.uint64)
+        self.own_member = np.array([m for _, m in own], np.int64)
+        single = np.arange(MEMBERS) < MEMBERS - TAILS
+        self.log_mass = np.where(single, np.log10(leaf_mass + DELTA), np.log10(np.maximum(leaf_mass, 0) + DELTA * (size + 1)))
+        self.bias = np.log((leaf_mass.sum(axis=1) + 1) / (leaf_mass.sum() + CLASSES)).astype(np.float32)
+        used = (size > 0) | ~single
+        self.member_bias = np.where(used, np.log((leaf_mass + 0.5) / (leaf_mass.sum(axis=1, keepdims=True) + 0.5 * MEMBERS)), -30).astype(np.float32)
+
+    def leaves(self, h: np.ndarray, ending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class and member of each token."""
+        member = MEMBERS - TAILS + (h % np.uint64(TAILS)).astype(np.int64)
+        if len(self.own):
+            at = np.minimum(np.searchsorted(self.own, h), len(self.own) - 1)
+            member = np.where(self.own[at] == h, self.own_member[at], member)
+        return self.of_ending[ending], member
 
     def counts(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each token is a frequent word, and its count."""
@@ -125,28 +156,32 @@ def log_softmax(w: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
 
 
+def log_of(w: np.ndarray, bias: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Log probability of each target, a bounded number of tokens at a time; ``bias`` is one row, or one a token."""
+    parts = [slice(a, a + SCORED) for a in range(0, len(y), SCORED)]
+    return np.concatenate([log_softmax(w, bias if bias.ndim == 1 else bias[p], rows[:, p])[np.arange(len(y[p])), y[p]] for p in parts])
+
+
 def learn(w: np.ndarray, bias: np.ndarray, rows: np.ndarray, y: np.ndarray, square: np.ndarray, met: np.ndarray, rate: float) -> None:
-    """One AdaGrad step per minibatch, in place, with one step size a row; ``met`` counts how often each row was active."""
-    for s in range(0, len(y), MINIBATCH):
-        part, yy = rows[:, s : s + MINIBATCH], y[s : s + MINIBATCH]
-        g = w[part[0]]
-        for r in part[1:]:
-            g += w[r]
-        g += bias
-        g -= g.max(axis=1, keepdims=True)
-        np.exp(g, out=g)
-        g *= -1 / g.sum(axis=1, keepdims=True)
-        g[np.arange(len(yy)), yy] += 1
-        for r in part:
-            order = np.argsort(r.astype(np.uint16), kind="stable")
-            sorted_ = r[order]
-            edge = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-            at = sorted_[edge]
-            total = np.add.reduceat(g[order], edge, axis=0)
-            square[at] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-            total *= (rate / np.sqrt(square[at]))[:, None]
-            w[at] += total
-            met[at] += np.diff(np.concatenate([edge, [len(r)]]))
+    """One AdaGrad step, in place, with one step size a row; ``met`` counts how often each row was active."""
+    g = w[rows[0]]
+    for r in rows[1:]:
+        g += w[r]
+    g += bias
+    g -= g.max(axis=1, keepdims=True)
+    np.exp(g, out=g)
+    g *= -1 / g.sum(axis=1, keepdims=True)
+    g[np.arange(len(y)), y] += 1
+    for r in rows:
+        order = np.argsort(r.astype(np.uint16), kind="stable")
+        sorted_ = r[order]
+        edge = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+        at = sorted_[edge]
+        total = np.add.reduceat(g[order], edge, axis=0)
+        square[at] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+        total *= (rate / np.sqrt(square[at]))[:, None]
+        w[at] += total
+        met[at] += np.diff(np.concatenate([edge, [len(r)]]))
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
@@ -180,55 +215,85 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(scan, "h long, e int, c long").groupBy("h").agg(F.min("e").alias("e"), F.sum("c").alias("c"))
 
 
-def train(texts: DataFrame, shared: Shared, rounds: int = 1, rate: float = 0.2) -> np.ndarray:
-    """Weights of the class softmax, ROWS by CLASSES."""
+class Weights:
+    """Both softmaxes' weights in one array of rows, the class softmax's first, and each row's squared gradients."""
+
+    def __init__(self, rows: int = ROWS + MEMBER_ROWS):
+        self.w, self.square = np.zeros((rows, CLASSES), np.float32), np.ones(rows, np.float32)
+
+    def part(self, members: bool) -> tuple[np.ndarray, np.ndarray]:
+        at = slice(ROWS, None) if members else slice(ROWS)
+        return self.w[at], self.square[at]
+
+
+def train(texts: DataFrame, shared: Shared, rounds: int = ROUNDS, rate: float = 0.2) -> Weights:
+    """Weights of both softmaxes; round i learns from the texts whose hash is i modulo ``rounds``."""
     spark = texts.sparkSession
-    weights = np.zeros((ROWS, CLASSES), np.float32)
+    state = Weights()
+    rows = len(state.w)
     held = spark.sparkContext.broadcast(shared)
-    for _ in range(rounds):
-        start = spark.sparkContext.broadcast(weights)
+    schema = "block int, met binary, change binary, square binary"
+    names = ["block", "met", "change", "square"]
+    for i in range(rounds):
+        start = spark.sparkContext.broadcast(state)
 
         def step(batches, start=start):
-            s, w0 = held.value, start.value
-            w, square, met = w0.copy(), np.ones(ROWS, np.float32), np.zeros(ROWS, np.int64)
+            s, begin = held.value, start.value
+            mine = Weights()
+            mine.w, mine.square, met = begin.w.copy(), begin.square.copy(), np.zeros(rows, np.int64)
+            (w1, q1), (w2, q2) = mine.part(False), mine.part(True)
             for b in batches:
                 for _, h, e, _, before in sequences(b.column(0)):
-                    learn(w, s.bias, feature_rows(before), s.classes(h, e), square, met, rate)
-            w -= w0
-            w *= met[:, None]
-            blocks = range(ROWS // BLOCK)
-            pack = lambda x, kind: [x[k * BLOCK : (k + 1) * BLOCK].astype(kind).tobytes() for k in blocks]
-            yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()), pa.array(pack(met, np.float64), pa.binary()), pa.array(pack(w, np.float32), pa.binary())], ["block", "met", "change"])
+                    k, m = s.leaves(h, e)
+                    f, g = feature_rows(before), member_rows(before, k)
+                    for a in range(0, len(h), MINIBATCH):
+                        p = slice(a, a + MINIBATCH)
+                        learn(w1, s.bias, f[:, p], k[p], q1, met[:ROWS], rate)
+                        learn(w2, s.member_bias[k[p]], g[:, p], m[p], q2, met[ROWS:], rate)
+            if not met.any():
+                return
+            mine.w -= begin.w
+            mine.w *= met[:, None]
+            mine.square -= begin.square
+            mine.square *= met
+            blocks = range(rows // BLOCK)
+            pack = lambda x, kind: pa.array([x[k * BLOCK : (k + 1) * BLOCK].astype(kind).tobytes() for k in blocks], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()), pack(met, np.float64), pack(mine.w, np.float32), pack(mine.square, np.float64)], names)
 
         def total(batches):
-            met, change = {}, {}
+            sums: dict = {}
             for b in batches:
-                for k, m, c in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                    met[k] = met.get(k, 0) + np.frombuffer(m)
-                    change[k] = change.get(k, 0) + np.frombuffer(c, np.float32).astype(np.float64)
-            keys = sorted(met)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array([met[k].tobytes() for k in keys], pa.binary()), pa.array([change[k].tobytes() for k in keys], pa.binary())], ["block", "met", "change"])
-
-        made = texts.mapInArrow(step, "block int, met binary, change binary")
-        table = made.repartition(ROWS // BLOCK, "block").mapInArrow(total, "block int, met binary, change binary").toArrow()  # ROWS x CLASSES numbers
-        weights = weights.copy()
-        for k, m, c in zip(*(table.column(i).to_pylist() for i in range(3)), strict=True):
-            weights[k * BLOCK : (k + 1) * BLOCK] += (np.frombuffer(c).reshape(BLOCK, CLASSES) / np.maximum(np.frombuffer(m), 1)[:, None]).astype(np.float32)
-    return weights
-
-
-def score(docs: DataFrame, rounds: int = 1) -> DataFrame:
+                for k, *parts in zip(*(b.column(c).to_pylist() for c in range(4)), strict=True):
+                    new = [np.frombuffer(x, t).astype(np.float64) for x, t in zip(parts, (np.float64, np.float32, np.float64), strict=True)]
+                    sums[k] = [a + b for a, b in zip(sums[k], new, strict=True)] if k in sums else new
+            keys = sorted(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *(pa.array([sums[k][c].tobytes() for k in keys], pa.binary()) for c in range(3))], names)
+
+        some = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == i)
+        table = some.mapInArrow(step, schema).repartition(rows // BLOCK, "block").mapInArrow(total, schema).toArrow()  # rows x CLASSES numbers
+        new = Weights()
+        new.w, new.square = state.w.copy(), state.square.copy()
+        for k, m, c, q in zip(*(table.column(c).to_pylist() for c in range(4)), strict=True):
+            at, times = slice(k * BLOCK, (k + 1) * BLOCK), np.maximum(np.frombuffer(m), 1)
+            new.w[at] += (np.frombuffer(c).reshape(BLOCK, CLASSES) / times[:, None]).astype(np.float32)
+            new.square[at] += (np.frombuffer(q) / times).astype(np.float32)
+        state = new
+    return state
+
+
+def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``."""
     spark = docs.sparkSession
     small_batches(spark)
     id_ = F.col("doc_id").cast("long")
     out = F.coalesce(F.crc32(id_.cast("string").cast("binary")) % 10 == 0, F.lit(False))
-    training = docs.where(~out).select(F.col("text").cast("string"))
+    training = docs.where(~out).select(F.col("text").cast("string").alias("text"))
     counts = materialize(token_counts(training), "counts")
     sums = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     top = [tuple(r) for r in most_frequent(counts, "c", FREQUENT).select("h", "c", "e").toArrow().to_pandas().sort_values(["c", "h"], ascending=[False, True]).itertuples(index=False)]
-    endings = [tuple(r) for r in counts.groupBy("e").agg(F.sum("c"), F.count(F.lit(1))).orderBy("e").collect()]  # 65,536 at most
-    shared = Shared(top, endings, int(sums[0] or 0), int(sums[1]))
+    # the tail of a word is its hash modulo TAILS, a power of two: 65,536 endings by TAILS rows at most
+    groups = [tuple(r) for r in counts.groupBy("e", F.pmod("h", F.lit(TAILS)).cast("int").alias("tail")).agg(F.sum("c"), F.count(F.lit(1))).orderBy("e", "tail").collect()]
+    shared = Shared(top, groups, int(sums[0] or 0), int(sums[1]))
     weights = train(training, shared, rounds)
     held = spark.sparkContext.broadcast((shared, weights))
 
@@ -241,12 +306,11 @@ def score(docs: DataFrame, rounds: int = 1) -> DataFrame:
                 rows = row[-1] + 1
                 known, c = s.counts(h)
                 own = np.where(known, np.log10(np.maximum(c, 1) + DELTA), 0)
-                k = s.classes(h, e)
-                f = feature_rows(before)
-                of_class = np.concatenate([log_softmax(w, s.bias, f[:, a : a + SCORED])[np.arange(len(k[a : a + SCORED])), k[a : a + SCORED]] for a in range(0, len(k), SCORED)]) / math.log(10)
+                k, m = s.leaves(h, e)
+                of_class = (log_of(w.part(False)[0], s.bias, feature_rows(before), k) + log_of(w.part(True)[0], s.member_bias[k], member_rows(before, k), m)) / math.log(10)
                 n = np.bincount(row, minlength=rows)
                 local = np.bincount(row, own, rows)
-                rest = np.bincount(row, of_class - s.log_mass[k], rows)
+                rest = np.bincount(row, of_class - s.log_mass[k, m], rows)
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(row[~known], minlength=rows))])
                 rare = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(h[~known].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
