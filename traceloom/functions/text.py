@@ -16,6 +16,8 @@ REDACTIONS = [
     ("<PHONE>", r"\b(?:\+?\d{1,2}[ .-]?)?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}\b"),
     ("<IP>", r"\b(?:\d{1,3}\.){3}\d{1,3}\b"),
 ]
+# How a tool result that reports a failed call begins.
+ERROR_PREFIXES = ("error:", "error ", "exception:", "traceback", "failed:", "tool error")
 # Id-like words and numbers, and how whole-string ids and times look.
 IDENTIFIER = r"\b[A-Za-z][A-Za-z0-9_]*\d[A-Za-z0-9_]*\b"
 NUMBER = r"\b\d+(?:\.\d+)?\b"
@@ -121,11 +123,15 @@ def is_error_result(text) -> Column:
     status code of 400 and more."""
     low = F.lower(F.trim(F.coalesce(text, F.lit(""))))
     prefix = F.lit(False)
-    for p in ("error:", "error ", "exception:", "traceback", "failed:", "tool error"):
+    for p in ERROR_PREFIXES:
         prefix = prefix | low.startswith(p)
-    field = lambda k: F.get_json_object(text, f"$.{k}")
-    error = field("error")
-    said = error.isNotNull() & ~error.isin("", "false", "[]", "null")
-    status = F.lower(field("status")).isin("error", "failed", "failure")
-    code = field("status_code").rlike(r"^\d+$") & (field("status_code").cast("long") >= 400)
+    whole = F.try_parse_json(text)
+    kind = lambda k: F.schema_of_variant(F.try_variant_get(whole, f"$.{k}", "variant"))
+    field = lambda k, t="string": F.try_variant_get(whole, f"$.{k}", t)
+    # an error that is null, false, 0, or an empty string or list is none; the string "false" is one
+    none = (kind("error") == "VOID") | ((kind("error") == "BOOLEAN") & (field("error") == "false")) | (field("error") == "") | (field("error") == "[]")
+    zero = (kind("error").isin("BIGINT", "DOUBLE") | kind("error").startswith("DECIMAL")) & (field("error", "double") == 0)
+    said = kind("error").isNotNull() & ~(F.coalesce(none, F.lit(False)) | F.coalesce(zero, F.lit(False)))
+    status = (kind("status") == "STRING") & F.lower(field("status")).isin("error", "failed", "failure")
+    code = (kind("status_code") == "BIGINT") & (field("status_code", "long") >= 400)
     return prefix | F.coalesce(said, F.lit(False)) | F.coalesce(status, F.lit(False)) | F.coalesce(code, F.lit(False))

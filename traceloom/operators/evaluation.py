@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from traceloom.operators.ordered import running
+from traceloom.operators.similarity import written
+
 
 def task_means(rows: DataFrame, by: list[str], value) -> DataFrame:
     """Mean of tasks' means: a task with many repeats counts once. Null counts as 0."""
@@ -37,45 +40,60 @@ def replay(wanted: DataFrame, index: DataFrame, keys: list[str], answer: str) ->
     return wanted.join(index.select(*keys, F.col(answer).alias("answer")), keys, "left").withColumn("served", F.when(F.col("answer").isNull(), "diverged").otherwise("replayed"))
 
 
-def nearest_call(wanted: DataFrame, recorded: DataFrame, tool: str, tokens: str, order: str, threshold: float = 0.92) -> DataFrame:
+def nearest_call(wanted: DataFrame, recorded: DataFrame, tool: str, tokens: str, order: str, threshold: float = 0.92, others: bool = False) -> DataFrame:
     """For each wanted call (id) the recorded call of the same tool with the most similar argument tokens: equality of token
-    sets is one join; otherwise pairs share a token, so the join is on (tool, token) and similarity follows from counts."""
+    sets is one join; otherwise pairs share a token, so the join is on (tool, token) and similarity follows from counts. With
+    ``others`` a call isn't compared with the recorded one of its own number."""
     w = wanted.select("id", tool, F.size(tokens).alias("nw"), F.explode(tokens).alias("t"))
     r = recorded.select(F.col(order).alias("ord"), tool, F.size(tokens).alias("nr"), F.explode(tokens).alias("t"))
-    both = w.join(r, [tool, "t"]).groupBy("id", "ord").agg(F.count(F.lit(1)).alias("i"), F.first("nw").alias("nw"), F.first("nr").alias("nr"))
+    met = w.join(r, [tool, "t"]).where("id <> ord") if others else w.join(r, [tool, "t"])
+    both = met.groupBy("id", "ord").agg(F.count(F.lit(1)).alias("i"), F.first("nw").alias("nw"), F.first("nr").alias("nr"))
     scored = both.select("id", "ord", (F.col("i") / (F.col("nw") + F.col("nr") - F.col("i"))).alias("score"))
     best = scored.groupBy("id").agg(F.min_by(F.struct("score", "ord"), F.struct(-F.col("score"), F.col("ord"))).alias("b"))
     return best.select("id", "b.score", "b.ord", (F.col("b.score") >= threshold).alias("served"))
 
 
-def first_divergence(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """The first turn at which two trajectories differ in role or content, if the roles there are both assistant; none if one
-    is the other's beginning."""
-    x = a.select(key, "turn", F.col("role").alias("ra"), F.col("text").alias("ta"))
-    y = b.select(key, "turn", F.col("role").alias("rb"), F.col("text").alias("tb"))
-    differs = (F.col("ra") != F.col("rb")) | (F.col("ta") != F.col("tb"))
+def first_divergence(a: DataFrame, b: DataFrame, key: str, also: list[str] | None = None) -> DataFrame:
+    """The first turn at which two trajectories differ in role, content (a null one reads as empty) or a column of ``also``, such as
+    the signature of a turn's calls, if the roles there are both assistant; none if one is the other's beginning."""
+    said = F.struct(F.coalesce("text", F.lit("")), *(also or []))
+    x = a.select(key, "turn", F.col("role").alias("ra"), said.alias("ta"))
+    y = b.select(key, "turn", F.col("role").alias("rb"), said.alias("tb"))
+    differs = ~F.col("ra").eqNullSafe(F.col("rb")) | ~F.col("ta").eqNullSafe(F.col("tb"))
     first = x.join(y, [key, "turn"]).where(differs).groupBy(key).agg(F.min_by(F.struct("turn", "ra", "rb"), "turn").alias("d"))
     return first.select(key, F.when((F.col("d.ra") == "assistant") & (F.col("d.rb") == "assistant"), F.col("d.turn")).alias("turn"))
 
 
-def success_failure_pairs(rows: DataFrame, cap: int = 4) -> DataFrame:
-    """Pairs of a success and a failure of one task, in order, at most ``cap`` a task. Only the first ``cap`` of each side can
-    be in the first ``cap`` pairs, so each side is cut before the join."""
-    def side(ok: bool, name: str) -> DataFrame:
-        w = Window.partitionBy("task_id").orderBy("id")
-        return rows.where(F.col("success") == ok).select("task_id", F.col("id").alias(name), F.row_number().over(w).alias(f"n_{name}")).where(F.col(f"n_{name}") <= cap)
-
-    w = Window.partitionBy("task_id").orderBy("n_chosen", "n_rejected")
-    pairs = side(True, "chosen").join(side(False, "rejected"), "task_id").withColumn("k", F.row_number().over(w))
-    return pairs.where(F.col("k") <= cap).select("task_id", "chosen", "rejected", "k")
+def success_failure_pairs(rows: DataFrame, cap: int = 4, valid=None) -> DataFrame:
+    """Pairs of a success and a failure of one task, in order of the success, then the failure: the first ``cap`` valid ones of a
+    task. ``valid`` takes pairs (task_id, chosen, rejected) and keeps the valid ones; without it all are.
+
+    Each round pairs twice as many successes as the one before with all failures of their task, only for tasks that still
+    lack pairs and have further successes; so a task's cross product is built only as far as its pairs need it."""
+    order = Window.partitionBy("task_id").orderBy("id")
+    good = written(rows.where("success").select("task_id", F.col("id").alias("chosen"), F.row_number().over(order).alias("g")))
+    bad = written(rows.where("not success").select("task_id", F.col("id").alias("rejected")))
+    open_ = written(good.groupBy("task_id").agg(F.max("g").alias("most")).join(bad.select("task_id").distinct(), "task_id").withColumn("have", F.lit(0).cast("long")))
+    found, done, width = None, 0, 1
+    while open_.limit(1).count():
+        some = good.where((F.col("g") > done) & (F.col("g") <= done + width)).join(open_, "task_id").join(bad, "task_id")
+        made = some.select("task_id", "chosen", "rejected")
+        new = written(made if valid is None else valid(made))
+        found = new if found is None else found.unionByName(new)
+        more = open_.join(new.groupBy("task_id").agg(F.count(F.lit(1)).alias("new")), "task_id", "left").withColumn("have", F.col("have") + F.coalesce("new", F.lit(0))).drop("new")
+        done, width = done + width, width * 2
+        open_ = written(more.where((F.col("have") < cap) & (F.col("most") > done)))
+    if found is None:
+        return good.join(bad, "task_id").select("task_id", "chosen", "rejected", F.lit(1).alias("k")).limit(0)
+    k = F.row_number().over(Window.partitionBy("task_id").orderBy("chosen", "rejected"))
+    return found.withColumn("k", k).where(F.col("k") <= cap).select("task_id", "chosen", "rejected", "k")
 
 
 def balance_kinds(pairs: DataFrame, kind: str, order: str, ratio: float) -> DataFrame:
     """Keeps the first teacher pairs, at most ``ratio`` times the rollout pairs; all of them if there is no rollout pair."""
     n = pairs.agg(F.count(F.when(F.col(kind) == "rollout", 1)).alias("n_rollout"))
-    w = Window.partitionBy(kind).orderBy(order)
-    ranked = pairs.withColumn("k", F.row_number().over(w)).join(F.broadcast(n), how="cross")  # one row
-    return ranked.where((F.col(kind) != "teacher") | (F.col("n_rollout") == 0) | (F.col("k") <= F.floor(F.col("n_rollout") * ratio))).drop("k", "n_rollout")
+    ranked = running(pairs, [kind], [order], F.lit(1), "k").join(F.broadcast(n), how="cross")  # one row
+    return ranked.where((F.col(kind) != "teacher") | (F.col("n_rollout") == 0) | (F.col("k") < F.floor(F.col("n_rollout") * ratio))).select(*pairs.columns)
 
 
 def turn_labels(failed, known, matches, corrected) -> Column:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from traceloom.operators.ordered import running
 
 
 def bin_of(p, bins: int = 10) -> Column:
@@ -26,10 +27,9 @@ def ece(df: DataFrame, bins: int = 10) -> DataFrame:
 
 def auroc_brier(df: DataFrame) -> DataFrame:
     """AUROC from rank sums with mid-ranks (null on one class), Brier score, share of positives. Ranks come from counts per
-    distinct score, so the ordered window sees distinct scores only."""
+    distinct score, summed over ranges of the score."""
     g = df.groupBy("p").agg(F.count(F.lit(1)).alias("c"), F.sum("y").alias("u"))
-    before = F.coalesce(F.sum("c").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    s = g.withColumn("r", before + (F.col("c") + 1) / 2.0).agg(F.sum(F.col("r") * F.col("u")).alias("w"), F.sum("u").alias("n1"), F.sum("c").alias("n"))
+    s = running(g, [], ["p"], F.col("c"), "before").withColumn("r", F.col("before") + (F.col("c") + 1) / 2.0).agg(F.sum(F.col("r") * F.col("u")).alias("w"), F.sum("u").alias("n1"), F.sum("c").alias("n"))
     n1, n0 = F.col("n1"), F.col("n") - F.col("n1")
     rank = s.select(F.when((n1 > 0) & (n0 > 0), (F.col("w") - n1 * (n1 + 1) / 2.0) / (n1 * n0)).alias("auroc"))
     rest = df.agg(F.avg(F.pow(F.col("p") - F.col("y"), 2)).alias("brier"), F.avg("y").alias("positive_rate"))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from traceloom.functions.text import bucket
+from traceloom.operators.ordered import carried
+
 
 class NoMatch(LookupError):
     """Nothing fits a selector."""
@@ -64,14 +67,11 @@ def lineage(df: DataFrame, id_col: str, parent_col: str, depth: int = 20) -> Dat
 
 def price_at(facts: DataFrame, prices: DataFrame, keys: list[str], at: str, since: str, value: str) -> DataFrame:
     """Each fact with the price in force at its time: the newest of the key that starts no later. Facts and prices of a key
-    merge into one ordered run, so no pair of rows is built that is not used."""
-    from pyspark.sql.window import Window
-
+    merge into one ordered run, dealt by ranges, so no pair of rows is built that is not used and no key is one task's."""
     f = facts.select("*", F.col(at).alias("_t"), F.lit(1).alias("_o"), F.lit(None).cast(prices.schema[value].dataType).alias("_v"))
     p = prices.select(*keys, F.col(since).alias("_t"), F.lit(0).alias("_o"), F.col(value).alias("_v"))
-    w = Window.partitionBy(*keys).orderBy("_t", "_o").rowsBetween(Window.unboundedPreceding, 0)
-    both = f.unionByName(p, allowMissingColumns=True).withColumn(value, F.last("_v", ignorenulls=True).over(w))
-    return both.where("_o = 1").drop("_t", "_o", "_v")
+    both = carried(f.unionByName(p, allowMissingColumns=True), keys, ["_t", "_o"], "_v", value)
+    return both.where("_o = 1").select(*facts.columns, value)
 
 
 def differing(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
@@ -82,7 +82,7 @@ def differing(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
 
 def stable_split(df: DataFrame, key, share: float, salt: str = "17") -> DataFrame:
     """Adds ``test``: a hash split that no repartitioning changes."""
-    return df.withColumn("test", F.pmod(F.xxhash64(F.lit(salt), key), F.lit(1_000_000)) < int(share * 1_000_000))
+    return df.withColumn("test", bucket(F.concat(F.lit(salt + "|"), key.cast("string")), 1_000_000) < int(share * 1_000_000))
 
 
 def set_hash(ids) -> object:

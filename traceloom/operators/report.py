@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 # The warning codes.
 CODES = (
-    "tiny_mode no_eval_set no_run_found teacher_skipped no_student paired_failed no_calibration gate_not_usable gate_degenerate cascade_unverified "
-    "quantized_unevaluated quantization_missing no_teacher_run no_teacher_config no_pricing no_prompt_tokens no_throughput cost_unbatched replay_teacher "
-    "dirty_tree eval_mode_mismatch corpus_teacher_differs"
-).split()
+    "tiny_mode", "no_eval_set", "no_run_found", "teacher_skipped", "no_student", "paired_failed", "no_calibration",
+    "gate_not_usable", "gate_degenerate", "cascade_unverified", "quantized_unevaluated", "quantization_missing",
+    "no_teacher_run", "no_teacher_config", "no_pricing", "no_prompt_tokens", "no_throughput", "cost_unbatched",
+    "replay_teacher", "dirty_tree", "eval_mode_mismatch", "corpus_teacher_differs",
+)
 BEGIN, END = "<!-- results:begin -->", "<!-- results:end -->"
 
 

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from traceloom.functions.text import bucket
+from traceloom.operators.ordered import running
 
 
 def posterior(rows: DataFrame, keys: list[str], order: list[str], decay: float = 0.995) -> DataFrame:
     """Beta parameters after all outcomes in order, each older one decayed once more: the closed form of the sequential
-    update. ``alpha, beta, n`` per key. The window needs a key's rows in order; a key's rows beyond where decay ** age
-    vanishes still count, with that weight."""
-    age = F.count(F.lit(1)).over(Window.partitionBy(*keys)) - F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    update. ``alpha, beta, n`` per key. Ages come from ranges of the order, so few keys don't mean few tasks; rows beyond where
+    decay ** age vanishes still count, with that weight."""
     s = F.col("outcome").cast("double")
-    aged = rows.withColumn("_w", F.pow(F.lit(decay), age))
+    placed = running(rows, keys, order, F.lit(1), "_place")
+    aged = placed.withColumn("_w", F.pow(F.lit(decay), F.col("_place_all") - F.col("_place") - 1))
     n = F.count(F.lit(1))
     prior = F.pow(F.lit(decay), n)
     return aged.groupBy(*keys).agg((F.sum(s * F.col("_w")) + prior).alias("alpha"), (F.sum((1 - s) * F.col("_w")) + prior).alias("beta"), n.alias("n"))

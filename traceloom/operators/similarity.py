@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from traceloom.functions.text import exact_key, grams, shingles, words
+from traceloom.functions.text import let, words
 
 
 def shared_dir(spark) -> str:
@@ -23,33 +23,132 @@ def written(df: DataFrame) -> DataFrame:
     """``df`` through Parquet in the shared folder, so that lost executors cost no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._path = path
+    return table
 
 
-def jaccard_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float, n: int = 5) -> DataFrame:
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        place = jvm.org.apache.hadoop.fs.Path(t._path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+def hashed_runs(tokens, n: int):
+    """Distinct 64-bit hashes of a token array's runs of n; of all tokens when there are fewer; none for none. Tokens are hashed once,
+    and runs from their hashes, so no run is built as text."""
+    def runs(h):
+        made = F.transform(F.sequence(F.lit(0), F.greatest(F.size(h) - n, F.lit(0))), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(n))))
+        return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).otherwise(F.array_distinct(made))
+
+    return let(F.transform(tokens, lambda t: F.xxhash64(t)), runs)
+
+
+def bloom_row(hashes: DataFrame, column: str, most_words: int = 1 << 20) -> DataFrame:
+    """One row ``bloom``: a filter over 64-bit hashes as an array of longs, 8 MB at most, whatever their number."""
+    n = hashes.count()
+    words = 1 << max(4, min(most_words.bit_length() - 1, (16 * max(1, n) // 64).bit_length()))
+    at = lambda k: F.shiftrightunsigned(F.col(column), 6 + 17 * k).bitwiseAND(F.lit(words - 1))
+    bit = lambda k: F.expr(f"shiftleft(1L, cast(shiftrightunsigned({column}, {17 * k}) & 63 as int))")
+    spots = hashes.select(F.explode(F.array(*(F.struct(at(k).alias("w"), bit(k).alias("b")) for k in (0, 1)))).alias("s")).select("s.*")
+    set_ = spots.groupBy("w").agg(F.bit_or("b").alias("b"))
+    filled = hashes.sparkSession.range(words).select(F.col("id").alias("w")).join(set_, "w", "left").select("w", F.coalesce("b", F.lit(0).cast("bigint")).alias("b"))
+    return filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "b"))), lambda x: x["b"]).alias("bloom"))
+
+
+def in_bloom(h, bloom):
+    """Whether a hash may be in the filter."""
+    mask = (F.size(bloom) - 1).cast("bigint")
+    one = lambda k: F.shiftrightunsigned(F.get(bloom, F.shiftrightunsigned(h, 6 + 17 * k).bitwiseAND(mask).cast("int")), 0)
+    bit = lambda k: F.shiftrightunsigned(h, 17 * k).bitwiseAND(F.lit(63)).cast("int")
+    has = lambda k: F.call_function("getbit", one(k), bit(k)) == 1
+    return has(0) & has(1)
+
+
+def jaccard_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float, n: int = 5, sample: int = 16, frequent: int = 4) -> DataFrame:
     """``a, b, jaccard`` for pairs of different ids (a < b) whose shingle sets are at least ``threshold`` alike.
 
-    Prefix filter: a pair must share one of the first n - ceil(threshold n) + 1 shingles in hash order, so only these are
-    exploded and joined; candidates are then compared on whole sets. Texts without shingles pair with nothing."""
-    sets = df.select(F.col(id_col).alias("id"), F.transform(shingles(F.col(text_col), n), lambda s: F.xxhash64(s)).alias("s"))
+    Equal sets are one while pairs are searched. Prefix filter: a pair must share one of the first n - ceil(threshold n) + 1
+    shingles of any global order, so only these are joined, with sizes that fit; candidates are then compared on whole sets.
+    The order puts shingles last that ``frequent`` of a ``sample``-th of the sets hold, so lists stay short: which these are changes
+    the work, never the result. Texts without shingles pair with nothing. Copies come out as pairs, as every other pair does."""
+    tokens = F.filter(F.split(F.col(text_col), r"\s+"), lambda x: x != "")
     # the filter comes after the write: pushed into the scan it would compute the shingles twice
-    sets = written(sets.select("id", F.array_sort("s").alias("s"))).where(F.size("s") > 0)
-    size = F.size("s")
-    prefix = F.slice("s", 1, (size - F.ceil(size * threshold) + 1).cast("int"))
-    posts = sets.select("id", size.alias("n"), F.explode(prefix).alias("g"))
-    b = posts.select(F.col("id").alias("b"), F.col("n").alias("nb"), "g")
-    found = posts.select(F.col("id").alias("a"), F.col("n").alias("na"), "g").join(b, "g")
-    found = found.where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))).select("a", "b").distinct()
-    left, right = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
+    rows = df.select(F.col(id_col).alias("id"), F.array_sort(hashed_runs(tokens, n)).alias("s"))
+    rows = written(rows.withColumn("key", F.sha2(F.to_json("s"), 256))).where(F.size("s") > 0)
+    members = rows.select("id", "key")
+    sets = rows.groupBy("key").agg(F.min_by("s", "id").alias("s"))
+    some = sets.where(F.pmod(F.xxhash64("key"), F.lit(sample)) == 0).select(F.explode("s").alias("h")).groupBy("h").count().where(F.col("count") >= frequent).select("h")
+    sets = sets.join(F.broadcast(bloom_row(some, "h")), how="cross")  # one row
+    order = F.concat(F.filter("s", lambda h: ~in_bloom(h, F.col("bloom"))), F.filter("s", lambda h: in_bloom(h, F.col("bloom"))))
+    sets = written(sets.select("key", "s", F.slice(order, 1, (F.size("s") - F.ceil(F.size("s") * threshold) + 1).cast("int")).alias("p")))
+    posts = sets.select("key", F.size("s").alias("n"), F.explode("p").alias("g"))
+    b = posts.select(F.col("key").alias("kb"), F.col("n").alias("nb"), "g")
+    fits = (F.col("ka") < F.col("kb")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
+    found = posts.select(F.col("key").alias("ka"), F.col("n").alias("na"), "g").join(b, "g").where(fits).select("ka", "kb").distinct()
+    left, right = sets.select(F.col("key").alias("ka"), F.col("s").alias("sa")), sets.select(F.col("key").alias("kb"), F.col("s").alias("sb"))
     inter = F.size(F.array_intersect("sa", "sb"))
     value = inter / (F.size("sa") + F.size("sb") - inter)
-    return found.join(left, "a").join(right, "b").select("a", "b", value.alias("jaccard")).where(F.col("jaccard") >= threshold)
-
-
-def keep_first(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``id, kept``: rows in order of id are kept unless a kept earlier row is among their pairs. Each round keeps every open
-    row without an open or kept smaller partner and drops the partners of kept ones; rounds are written out. ``pairs`` must
-    be symmetric-free (a < b); the smallest open row settles in each round, so it ends."""
+    alike = found.join(left, "ka").join(right, "kb").select("ka", "kb", value.alias("jaccard")).where(F.col("jaccard") >= threshold)
+    ma, mb = members.select(F.col("id").alias("x"), F.col("key").alias("ka")), members.select(F.col("id").alias("y"), F.col("key").alias("kb"))
+    between = alike.join(ma, "ka").join(mb, "kb").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
+    copies = ma.join(mb, F.col("ka") == F.col("kb")).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(1.0).alias("jaccard"))
+    return between.where("a < b").union(copies)
+
+
+def components(pairs: DataFrame) -> DataFrame:
+    """``id, root`` of every id of ``pairs(a, b)``: the smallest id of its component. Labels pass along pairs and jump to their
+    label's label, so a chain's length halves in each round."""
+    both = written(pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).union(pairs.select("b", "a")).distinct())
+    label = written(both.groupBy(F.col("x").alias("id")).agg(F.min("y").alias("m")).select("id", F.least("id", "m").alias("root")))
+    while True:
+        near = both.join(label, both.y == label.id).select(F.col("x").alias("id"), "root").union(label.select("id", "root")).groupBy("id").agg(F.min("root").alias("root"))
+        jump = label.select(F.col("id").alias("root"), F.col("root").alias("next"))
+        new = written(near.join(jump, "root").select("id", F.least("root", "next").alias("root")))
+        moved = new.join(label.withColumnRenamed("root", "was"), "id").where("root <> was").limit(1).count()
+        discard(label)
+        label = new
+        if not moved:
+            discard(both)
+            return label
+
+
+def greedy(pairs):
+    """Kept ids of one component: in order of id, each that no kept smaller one pairs with."""
+    import pandas as pd
+
+    plain = lambda x: tuple(x.values()) if isinstance(x, dict) else x  # noqa: E731  an id may be a struct
+    smaller: dict = {}
+    ids: dict = {}
+    for a, b in zip(pairs["a"], pairs["b"], strict=True):
+        ids[plain(a)], ids[plain(b)] = a, b
+        smaller.setdefault(plain(b), []).append(plain(a))
+    kept: dict = {}
+    for i in sorted(ids):
+        kept[i] = not any(kept[a] for a in smaller.get(i, []))
+    return pd.DataFrame({"id": [ids[i] for i in kept], "kept": list(kept.values())})
+
+
+def keep_first(nodes: DataFrame, pairs: DataFrame, most_pairs: int = 200_000) -> DataFrame:
+    """``id, kept``: rows in order of id are kept unless a kept earlier row is among their pairs (a < b). A component of at most
+    ``most_pairs`` pairs is settled by one task, whatever its chains' length; larger ones by :func:`by_rounds`."""
+    label = components(pairs)
+    rooted = written(pairs.join(label.withColumnRenamed("id", "a"), "a").select("root", "a", "b"))
+    sizes = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.where(F.col("n") > most_pairs).select("root")
+    kind = pairs.schema["a"].dataType.simpleString()
+    settled = rooted.join(large, "root", "left_anti").select("root", "a", "b").groupBy("root").applyInPandas(lambda t: greedy(t), f"id {kind}, kept boolean")
+    if large.limit(1).count():
+        rest = label.join(large, "root").select("id")
+        settled = settled.union(by_rounds(rest, rooted.join(large, "root").select("a", "b")))
+    return nodes.select("id").join(settled, "id", "left").select("id", F.coalesce("kept", F.lit(True)).alias("kept"))
+
+
+def by_rounds(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``id, kept`` as :func:`keep_first`. Each round keeps every open row without an open or kept smaller partner and drops the
+    partners of kept ones; rounds are written out. The smallest open row settles in each round, so it ends."""
     state = written(nodes.select("id", F.lit(None).cast("boolean").alias("kept")))
     while True:
         open_ = state.where("kept is null").select("id")
@@ -58,7 +157,19 @@ def keep_first(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         alive = state.where("kept is null or kept").select(F.col("id").alias("a"), F.col("kept").alias("ka"))
         blocked = pairs.join(alive, "a").groupBy(F.col("b").alias("id")).agg(F.bool_or(F.coalesce("ka", F.lit(False))).alias("dup"))
         new = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("dup").isNull(), True).when(F.col("dup"), False)
-        state = written(state.join(blocked, "id", "left").select("id", new.alias("kept")))
+        done = written(state.join(blocked, "id", "left").select("id", new.alias("kept")))
+        discard(state)
+        state = done
+
+
+def duplicate_groups(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``id, dropped``: each kept row that stands for others, with the ids dropped for it. A dropped row belongs to the smallest
+    kept row among its pairs."""
+    kept = written(keep_first(nodes, pairs))
+    firsts = kept.where("kept").select(F.col("id").alias("a"))
+    gone = kept.where("not kept").select(F.col("id").alias("b"))
+    owner = pairs.select("a", "b").join(firsts, "a").join(gone, "b").groupBy("b").agg(F.min("a").alias("id"))
+    return owner.groupBy("id").agg(F.array_sort(F.collect_list("b")).alias("dropped"))
 
 
 def near_dedupe(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85) -> DataFrame:
@@ -75,12 +186,15 @@ def near_dedupe(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.
 def decontaminate(df: DataFrame, tasks: DataFrame, id_col: str, text_col: str, task_id: str, task_text: str, n: int = 8, overlap: float = 0.5) -> DataFrame:
     """``id, task, share`` of each contaminated row: an equal exact key (share 1), or the share of the row's n-grams that a
     single task holds, at least ``overlap``; the task with the largest share, then the smallest id. Blank rows and blank tasks
-    never match. Grams join as 64-bit hashes; the rows' side is pruned to grams that any task has."""
-    hashed = lambda t: F.transform(grams(words(t), n), lambda g: F.xxhash64(g))
-    rows = df.select(F.col(id_col).alias("id"), hashed(F.col(text_col)).alias("g"), exact_key(F.col(text_col)).alias("k"))
-    want = tasks.select(F.col(task_id).alias("task"), F.explode(hashed(F.col(task_text))).alias("h"))
-    keys = tasks.where(F.size(words(F.col(task_text))) > 0).select(F.col(task_id).alias("task"), exact_key(F.col(task_text)).alias("k"))
-    hits = rows.select("id", F.size("g").alias("n"), F.explode("g").alias("h")).join(want, "h")
+    never match. Grams join as 64-bit hashes. A filter of the tasks' grams (8 MB at most) prunes each row's array before it is
+    exploded, so what is shuffled follows the overlap, not the corpus."""
+    rows = df.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
+    rows = rows.select("id", hashed_runs(F.col("w"), n).alias("g"), F.sha2(F.array_join("w", " "), 256).alias("k"))
+    asked = tasks.select(F.col(task_id).alias("task"), words(F.col(task_text)).alias("w")).where(F.size("w") > 0)
+    want = asked.select("task", F.explode(hashed_runs(F.col("w"), n)).alias("h"))
+    keys = asked.select("task", F.sha2(F.array_join("w", " "), 256).alias("k"))
+    pruned = rows.join(F.broadcast(bloom_row(want, "h")), how="cross")  # one row
+    hits = pruned.select("id", F.size("g").alias("n"), F.explode(F.filter("g", lambda h: in_bloom(h, F.col("bloom")))).alias("h")).join(want, "h")
     shares = hits.groupBy("id", "task").agg((F.count(F.lit(1)) / F.first("n")).alias("share"))
     exact = rows.join(keys, "k").select("id", "task", F.lit(1.0).alias("share"))
     best = shares.where(F.col("share") >= overlap).union(exact).groupBy("id")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from traceloom.operators.ordered import running
+
 # Below these no statistic may be given.
 LEAST_TASKS, LEAST_REPEATS = 20, 3
 
@@ -30,7 +32,7 @@ def power_guard(pairs: DataFrame) -> DataFrame:
 def bootstrap(pairs: DataFrame, iterations: int = 200, seed: str = "0") -> DataFrame:
     """Interval of mean(b - a): each iteration draws as many tasks as there are, by hash of (seed, iteration, slot). Draws are
     equi-joined on the slot, so no pair of rows is built but the drawn ones; fewer than two tasks give NaN."""
-    numbered = pairs.select((F.col("b") - F.col("a")).alias("d"), (F.row_number().over(Window.orderBy("task_id")) - 1).alias("slot"))
+    numbered = running(pairs.select("task_id", (F.col("b") - F.col("a")).alias("d")), [], ["task_id"], F.lit(1), "slot").select("d", "slot")
     n = pairs.count()
     if n < 2:
         return pairs.sparkSession.createDataFrame([(float("nan"),) * 3], "delta double, low double, high double")
@@ -57,8 +59,7 @@ def wilcoxon(pairs: DataFrame) -> DataFrame:
     """Signed-rank sums with mid-ranks, zeros dropped: n, w_plus, w_minus, and p by the normal approximation with ties."""
     d = pairs.select((F.col("b") - F.col("a")).alias("d")).where("d <> 0").select(F.round(F.abs("d"), 9).alias("m"), (F.col("d") > 0).alias("up"))
     groups = d.groupBy("m").agg(F.count(F.lit(1)).alias("c"), F.count(F.when(F.col("up"), 1)).alias("u"))
-    before = F.coalesce(F.sum("c").over(Window.orderBy("m").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = groups.withColumn("r", before + (F.col("c") + 1) / 2.0)
+    ranked = running(groups, [], ["m"], F.col("c"), "before").withColumn("r", F.col("before") + (F.col("c") + 1) / 2.0)
     s = ranked.agg(
         F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("r") * F.col("u")), F.lit(0.0)).alias("w_plus"),
         F.coalesce(F.sum(F.col("r") * (F.col("c") - F.col("u"))), F.lit(0.0)).alias("w_minus"), F.sum(F.col("c") * F.col("c") * F.col("c") - F.col("c")).alias("ties"),

@@ -13,7 +13,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
-from pyspark.sql.window import Window
 
 from traceloom.functions.canonical import call_hash
 from traceloom.operators.evaluation import turn_labels
@@ -50,10 +49,13 @@ def long_form(traces: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def with_prefix_key(turns: DataFrame) -> DataFrame:
-    """Adds ``prefix``: a hash of everything before the turn, equal for trajectories that are equal so far."""
-    row = F.to_json(F.struct("role", F.coalesce("content", F.lit("")).alias("content"), "signature"))
-    before = Window.partitionBy("trace").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
-    return turns.withColumn("prefix", F.sha2(F.to_json(F.collect_list(row).over(before)), 256))
+    """Adds ``prefix``: a hash of everything before the turn, equal for trajectories that are equal so far. Each message's hash
+    is chained to the prefix before it, so a trace's work is linear in its text."""
+    row = F.sha2(F.to_json(F.struct("role", F.coalesce("content", F.lit("")).alias("content"), "signature")), 256)
+    each = turns.groupBy("trace").agg(F.array_sort(F.collect_list(F.struct("turn", row.alias("h")))).alias("m"))
+    chain = F.aggregate("m", F.array(F.sha2(F.lit(""), 256)), lambda acc, m: F.concat(acc, F.array(F.sha2(F.concat(F.element_at(acc, -1), m["h"]), 256))))
+    placed = each.select("trace", F.posexplode("m").alias("i", "m"), chain.alias("c")).select("trace", F.col("m.turn").alias("turn"), F.get("c", F.col("i")).alias("prefix"))
+    return turns.join(placed, ["trace", "turn"])
 
 
 def corrected_later(turns: DataFrame) -> DataFrame:

@@ -212,9 +212,9 @@ def turn_histogram(spark, d):
     return bins.join(F.broadcast(bins.agg(F.sum("n").alias("t"))), how="cross").select("bin", "n", F.round(F.col("n") / F.col("t"), 6).alias("share"))  # one row
 
 
-@query("event_sequences", """select seq, count(*) as n from (select user_id, string_agg(event_type, '>' order by ts, event_id) as seq from events where event_id % 10 < 2 group by 1) group by 1""")
+@query("event_sequences", """select seq, count(*) as n from (select user_id, string_agg(event_type, '>' order by ts, event_id) as seq from events group by 1) group by 1""")
 def event_sequences(spark, d):
-    e = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type").where("event_id % 10 < 2")
+    e = read_table(spark, d, "events", "event_id", "ts", "user_id", "event_type")
     seq = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type"))).alias("m"))
     return seq.groupBy(F.array_join(F.transform("m", lambda x: x["event_type"]), ">").alias("seq")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -246,11 +246,29 @@ def jaccard_pairs(spark, d):
     return S.jaccard_pairs(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", 0.85).select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
-@query("near_dedupe")
+_JACCARD = r"""w as (select doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') as w from documents),
+  s as (select doc_id, case when len(w) = 0 then [] when len(w) <= 5 then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s from w),
+  e as (select doc_id, len(s) as n, unnest(s) as g from s),
+  p as (select a.doc_id as a, b.doc_id as b, count(*) as i, any_value(a.n) as na, any_value(b.n) as nb from e a join e b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+  j as (select a, b from p where i / (na + nb - i) >= 0.85)"""
+#: Greedy keep-first, a row at a time: the list of kept ids so far is the state.
+_KEPT = """o as (select doc_id, row_number() over (order by doc_id) as k, coalesce(list(j.a) filter (where j.a is not null), []) as before from documents left join j on j.b = doc_id group by doc_id),
+  f(k, kept) as (select 0::bigint, []::bigint[] union all select o.k, case when len(list_intersect(f.kept, o.before)) > 0 then f.kept else list_append(f.kept, o.doc_id) end from f join o on o.k = f.k + 1),
+  l as (select kept from f order by k desc limit 1)"""
+
+
+@query("near_dedupe", f"with recursive {_JACCARD}, {_KEPT} select doc_id as id, list_contains((select kept from l), doc_id) as kept from documents")
 def near_dedupe(spark, d):
     return S.near_dedupe(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+@query("duplicate_groups", f"with recursive {_JACCARD}, {_KEPT} select m as id, list(b order by b) as dropped from (select b, min(a) as m from j where list_contains((select kept from l), a) and not list_contains((select kept from l), b) group by b) group by m")
+def duplicate_groups(spark, d):
+    docs = read_table(spark, d, "documents", "doc_id", "text")
+    pairs = S.written(S.jaccard_pairs(docs, "doc_id", "text", 0.85).select("a", "b"))
+    return S.duplicate_groups(docs.select(F.col("doc_id").alias("id")), pairs)
+
+
 @query("cap_per_group", """select event_id, user_id, rank_in_group from (select event_id, user_id, cast(row_number() over (partition by user_id order by ts, event_id) as integer) as rank_in_group from events) where rank_in_group <= 3""")
 def cap_per_group(spark, d):
     return C.keep_per_group(read_table(spark, d, "events", "event_id", "user_id", "ts"), "user_id", ["ts", "event_id"], 3).select("event_id", "user_id", "rank_in_group")
@@ -263,9 +281,9 @@ def coverage(spark, d):
     return C.coverage(e, e.where("event_type = 'error' and value > 60"), "cluster")
 
 
-@query("topk_ties", "select event_type, n, first_seen from (select event_type, count(*) as n, min(event_id) as first_seen from events where event_id % 3 = 0 group by 1) order by n desc, first_seen limit 3")
+@query("topk_ties", "select event_type, n, first_seen from (select event_type, count(*) as n, min(event_id) as first_seen from events group by 1) order by n desc, first_seen limit 3")
 def topk_ties(spark, d):
-    return C.top_frequencies(read_table(spark, d, "events", "event_type", "event_id").where("event_id % 3 = 0"), "event_type", "event_id", 3)
+    return C.top_frequencies(read_table(spark, d, "events", "event_type", "event_id"), "event_type", "event_id", 3)
 
 
 @query("event_type_freq", "select event_type, count(*) as n, round(count(*) / (select count(*) from events), 6) as share from events group by 1")

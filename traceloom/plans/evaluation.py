@@ -9,6 +9,7 @@ from traceloom.operators import cost as M
 from traceloom.operators import evaluation as E
 from traceloom.operators import gate as G
 from traceloom.operators import statistics as S
+from traceloom.operators.ordered import running
 from traceloom.plans import views as V
 from traceloom.plans.catalog import query
 from traceloom.sources.tables import read_table
@@ -40,11 +41,11 @@ def throughput(spark, d):
     return E.throughput(V.results(spark, d), "run", F.col("tokens"), F.col("turns")).select("run", F.round("tokens_per_second", 4).alias("tokens_per_second"))
 
 
-@query("conditional_avgs", f"""with {V.REQUESTS}, n as (select * from v_request order by received_at desc, id desc limit 500)
+@query("conditional_avgs", f"""with {V.REQUESTS}, n as (select * from v_request order by received_at desc, id desc limit 5000)
 select round(avg(case when arm = 'teacher' then student_tokens end), 6) as teacher_mean, round(avg(case when arm = 'student' then student_tokens end), 6) as student_mean,
  count(*) as n, count(*) filter (where arm = 'teacher') as n_teacher from n""")
 def conditional_avgs(spark, d):
-    new = V.requests(spark, d).orderBy(F.desc("received_at"), F.desc("id")).limit(500)
+    new = V.requests(spark, d).orderBy(F.desc("received_at"), F.desc("id")).limit(5000)
     mean = lambda a: F.round(F.avg(F.when(F.col("arm") == a, F.col("student_tokens"))), 6)
     return new.agg(mean("teacher").alias("teacher_mean"), mean("student").alias("student_mean"), F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("arm") == "teacher", 1)).alias("n_teacher"))
 
@@ -248,9 +249,8 @@ def entropy_by_group(spark, d):
 select user_id, k <= greatest(1, floor(n * 0.7)) as fit from r""")
 def group_split(spark, d):
     t = read_table(spark, d, "events", "user_id").distinct()
-    k = F.row_number().over(Window.orderBy(F.sha2(F.concat(F.lit("0|"), F.col("user_id").cast("string")), 256), "user_id"))
-    n = t.agg(F.count(F.lit(1)).alias("n"))
-    return t.withColumn("k", k).join(F.broadcast(n), how="cross").select("user_id", (F.col("k") <= F.greatest(F.lit(1), F.floor(F.col("n") * 0.7))).alias("fit"))  # one row
+    hashed = t.withColumn("h", F.sha2(F.concat(F.lit("0|"), F.col("user_id").cast("string")), 256))
+    return running(hashed, [], ["h", "user_id"], F.lit(1), "k").select("user_id", (F.col("k") < F.greatest(F.lit(1), F.floor(F.col("k_all") * 0.7))).alias("fit"))
 
 
 @query("replay_lookup", f"""with {V.CALLS}, i as (select tool, args, arg_min(id, id) as answer from v_call where trace % 2 = 0 group by all)
@@ -262,17 +262,16 @@ def replay_lookup(spark, d):
 
 
 @query("fuzzy_lookup", r"""with t as (select p_partkey as id, p_brand as tool, list_distinct(string_split(p_name, ' ')) as s from part),
- w as (select * from t where id % 10 = 1), r as (select * from t where id % 10 <> 1),
- x as (select w.id, r.id as ord, len(list_intersect(w.s, r.s)) as i, len(w.s) as nw, len(r.s) as nr from w join r on r.tool = w.tool),
+ x as (select w.id, r.id as ord, len(list_intersect(w.s, r.s)) as i, len(w.s) as nw, len(r.s) as nr from t w join t r on r.tool = w.tool and r.id <> w.id),
  y as (select id, ord, i / (nw + nr - i) as score from x where i > 0)
 select id, round(max(score), 6) as score, arg_min(ord, struct_pack(a := -score, b := ord)) as ord, max(score) >= 0.92 as served from y group by id""")
 def fuzzy_lookup(spark, d):
     t = read_table(spark, d, "part", F.col("p_partkey").alias("id"), F.col("p_brand").alias("tool"), F.array_distinct(F.split("p_name", " ")).alias("s"))
-    return E.nearest_call(t.where("id % 10 = 1"), t.where("id % 10 <> 1").withColumnRenamed("id", "ord"), "tool", "s", "ord").select("id", *r6("score"), "ord", "served")
+    return E.nearest_call(t, t.withColumnRenamed("id", "ord"), "tool", "s", "ord", others=True).select("id", *r6("score"), "ord", "served")
 
 
-@query("success_failure_pairs", f"""with {R}, a as (select task_id, id as chosen, row_number() over (partition by task_id order by id) as i from v_result where success), b as (select task_id, id as rejected, row_number() over (partition by task_id order by id) as j from v_result where not success),
- p as (select a.task_id, chosen, rejected, cast(row_number() over (partition by a.task_id order by i, j) as int) as k from a join b on a.task_id = b.task_id) select * from p where k <= 4""")
+@query("success_failure_pairs", f"""with {R}, a as (select task_id, id as chosen, row_number() over (partition by task_id order by id) as i from v_result where success), b as (select task_id, id as rejected from v_result where not success),
+ p as (select a.task_id, chosen, rejected, cast(row_number() over (partition by a.task_id order by i, rejected) as int) as k from a join b on a.task_id = b.task_id) select * from p where k <= 4""")
 def success_failure_pairs(spark, d):
     return E.success_failure_pairs(V.results(spark, d))
 
@@ -341,10 +340,10 @@ def conditional_match_rates(spark, d):
     return V.results(spark, d).groupBy("run").agg(F.round(F.avg(F.when(tool, name.cast("double"))), 6).alias("full_match"), F.round(F.avg(F.when(tool & name, (F.col("tokens") > 30).cast("double"))), 6).alias("args_match"))
 
 
-@query("span_mask", "select conv_id, turn, (length(text) > 40)::int * least(length(text) // 8 - 5, 5) as n from conversations where length(text) >= 80")
+@query("span_mask", "select conv_id, turn, greatest(0, least(length(text) // 8, 10) - 5) as n from conversations")
 def span_mask(spark, d):
     """Tokens of eight characters; the span is characters 40 to 80."""
-    t = V.turns(spark, d).where(F.length("text") >= 80).withColumn("tokens", F.transform(F.sequence(F.lit(0), F.floor(F.length("text") / 8) - 1), lambda i: F.struct((i * 8).alias("s"), (i * 8 + 8).alias("e"))))
+    t = V.turns(spark, d).withColumn("tokens", F.transform(F.filter(F.sequence(F.lit(0), F.floor(F.length("text") / 8)), lambda i: i < F.floor(F.length("text") / 8)), lambda i: F.struct((i * 8).alias("s"), (i * 8 + 8).alias("e"))))
     mask = E.span_mask(F.col("tokens"), F.array(F.struct(F.lit(40).alias("a"), F.lit(80).alias("b"))))
     return t.select("conv_id", "turn", F.size(F.filter(mask, lambda x: x)).cast("long").alias("n"))
 

@@ -88,9 +88,9 @@ def insert_if_new(spark, d):
     return G.insert_new(t.where("doc_id % 2 = 0"), t.where("doc_id % 2 = 1"), "h", "doc_id")
 
 
-@query("stable_test_split", None)
+@query("stable_test_split", "select doc_id, cast('0x' || substr(sha256('17|' || doc_id), 1, 8) as bigint) % 1000000 < 50000 as test from documents")
 def stable_test_split(spark, d):
-    return G.stable_split(read_table(spark, d, "documents", "doc_id"), F.col("doc_id"), 0.05)
+    return G.stable_split(read_table(spark, d, "documents", "doc_id"), F.col("doc_id"), 0.05).select("doc_id", "test")
 
 
 @query("eval_set_hash", "select lang, count(distinct source) as n from documents group by 1")
