@@ -64,9 +64,10 @@ def first_divergence(a: DataFrame, b: DataFrame, key: str, also: list[str] | Non
     return first.select(key, F.when((F.col("d.ra") == "assistant") & (F.col("d.rb") == "assistant"), F.col("d.turn")).alias("turn"))
 
 
-def success_failure_pairs(rows: DataFrame, cap: int = 4, valid=None) -> DataFrame:
-    """Pairs of a success and a failure of one task, in order of the success, then the failure: the first ``cap`` valid ones of a
-    task. ``valid`` takes pairs (task_id, chosen, rejected) and keeps the valid ones; without it all are.
+def tried_pairs(rows: DataFrame, cap: int = 4, judge=None) -> DataFrame:
+    """Pairs of a success and a failure of one task, in order of the success, then the failure, up to the ``cap``-th valid one of a
+    task: ``task_id, chosen, rejected, why, k``; k counts the valid ones so far. ``judge`` takes pairs and adds ``why``, null for
+    a valid pair; without it all are valid.
 
     Each round pairs twice as many successes as the one before with all failures of their task, only for tasks that still
     lack pairs and have further successes; so a task's cross product is built only as far as its pairs need it."""
@@ -74,19 +75,23 @@ def success_failure_pairs(rows: DataFrame, cap: int = 4, valid=None) -> DataFram
     good = written(rows.where("success").select("task_id", F.col("id").alias("chosen"), F.row_number().over(order).alias("g")))
     bad = written(rows.where("not success").select("task_id", F.col("id").alias("rejected")))
     open_ = written(good.groupBy("task_id").agg(F.max("g").alias("most")).join(bad.select("task_id").distinct(), "task_id").withColumn("have", F.lit(0).cast("long")))
-    found, done, width = None, 0, 1
+    judge = judge or (lambda p: p.withColumn("why", F.lit(None).cast("string")))
+    found, done, width = judge(good.join(bad, "task_id").select("task_id", "chosen", "rejected").limit(0)), 0, 1
     while open_.limit(1).count():
         some = good.where((F.col("g") > done) & (F.col("g") <= done + width)).join(open_, "task_id").join(bad, "task_id")
-        made = some.select("task_id", "chosen", "rejected")
-        new = written(made if valid is None else valid(made))
-        found = new if found is None else found.unionByName(new)
-        more = open_.join(new.groupBy("task_id").agg(F.count(F.lit(1)).alias("new")), "task_id", "left").withColumn("have", F.col("have") + F.coalesce("new", F.lit(0))).drop("new")
+        new = written(judge(some.select("task_id", "chosen", "rejected")))
+        found = found.unionByName(new)
+        more = open_.join(new.where("why is null").groupBy("task_id").agg(F.count(F.lit(1)).alias("new")), "task_id", "left").withColumn("have", F.col("have") + F.coalesce("new", F.lit(0))).drop("new")
         done, width = done + width, width * 2
         open_ = written(more.where((F.col("have") < cap) & (F.col("most") > done)))
-    if found is None:
-        return good.join(bad, "task_id").select("task_id", "chosen", "rejected", F.lit(1).alias("k")).limit(0)
-    k = F.row_number().over(Window.partitionBy("task_id").orderBy("chosen", "rejected"))
-    return found.withColumn("k", k).where(F.col("k") <= cap).select("task_id", "chosen", "rejected", "k")
+    valid = F.col("why").isNull().cast("int")
+    k = F.sum(valid).over(Window.partitionBy("task_id").orderBy("chosen", "rejected"))
+    return found.withColumn("k", k.cast("int")).where(F.col("k") - valid < cap)
+
+
+def success_failure_pairs(rows: DataFrame, cap: int = 4, judge=None) -> DataFrame:
+    """The valid ones of :func:`tried_pairs`."""
+    return tried_pairs(rows, cap, judge).where("why is null").select("task_id", "chosen", "rejected", "k")
 
 
 def balance_kinds(pairs: DataFrame, kind: str, order: str, ratio: float) -> DataFrame:

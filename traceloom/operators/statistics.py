@@ -95,15 +95,20 @@ def corrected_rate(observed, sensitivity, specificity, usable) -> Column:
     return F.when(usable & (d > 1e-6), F.greatest(F.lit(0.0), F.least(F.lit(1.0), (observed + specificity - 1) / d)))
 
 
-def live_delta(rows: DataFrame, least: int = 5, clusters: int = 3) -> DataFrame:
-    """Difference of the canary's success from production's over clusters that both serve enough, weighted by the smaller
-    count; null with too few clusters. Student arm, no fallback, graded and clustered rows only."""
+def live_clusters(rows: DataFrame, least: int = 5) -> DataFrame:
+    """``cluster_id, w, d``: the smaller count and the difference of the canary's success from production's, for clusters that
+    both serve enough. Student arm, no fallback, graded and clustered rows only."""
     use = rows.where("arm = 'student' and not fallback and outcome is not null and cluster_id is not null")
     n = lambda a: F.count(F.when(F.col("adapter") == a, 1))
     rate = lambda a: F.avg(F.when(F.col("adapter") == a, F.col("outcome").cast("double")))
     per = use.groupBy("cluster_id").agg(n("prod").alias("np"), n("canary").alias("nc"), rate("prod").alias("rp"), rate("canary").alias("rc")).where((F.col("np") >= least) & (F.col("nc") >= least))
-    w = F.least("np", "nc")
-    return per.agg(F.count(F.lit(1)).alias("n_clusters"), F.when(F.count(F.lit(1)) >= clusters, F.sum(w * (F.col("rc") - F.col("rp"))) / F.sum(w)).alias("delta"))
+    return per.select("cluster_id", F.least("np", "nc").alias("w"), (F.col("rc") - F.col("rp")).alias("d"))
+
+
+def live_delta(rows: DataFrame, least: int = 5, clusters: int = 3) -> DataFrame:
+    """The clusters' differences weighted by the smaller count; null with too few clusters."""
+    n = F.count(F.lit(1))
+    return live_clusters(rows, least).agg(n.alias("n_clusters"), F.when(n >= clusters, F.sum(F.col("w") * F.col("d")) / F.sum("w")).alias("delta"))
 
 
 def round_decision(c: dict) -> Column:
