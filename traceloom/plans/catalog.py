@@ -18,4 +18,4 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-from traceloom.plans import curation, evaluation, pairs, registry, routing, runs, streams  # noqa: E402, F401  each registers its queries
+from traceloom.plans import curation, evaluation, pairs, registry, routing, runs, streams, support  # noqa: E402, F401  each registers its queries
