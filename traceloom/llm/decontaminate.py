@@ -13,9 +13,10 @@ within floor(max_edit * L) word edits (insertion, deletion, substitution) of it.
 3. Verification. A window with fewer than L - d of the item's words can't match. For the others, the exact smallest edit distance
    between the item and any stretch of the window, widened by d words at both ends.
 
-Items of L >= 10 words sample 3 of 10 steps, shorter ones 2 of 4. Items of under 1 / max_edit words allow no edit, and the walk's
-first output, their first word, is their signature, which loses none. The number of repetitions follows from ``recall``: a
-walk of s steps reads about s / 2 + 1 words, all unedited with probability (1 - max_edit) ** (s / 2 + 1), and an item has at least two such parts.
+How many outputs are sampled, and of how many steps, follows from an item's length (SHAPES). Items of under 1 / max_edit words
+allow no edit, and the walk's first output, their first word, is their signature, which loses none. The number of repetitions
+follows from ``recall``: a walk of s steps reads about w = s / 2 + 1 words, all unedited with probability (1 - max_edit) ** w, and
+starts half of w apart are taken as independent.
 
 Items are signed in tasks and held in blocks of about ``block_items`` (a bounded broadcast each, up to MOST_STARTS signatures an
 item and table, those of the fewest items first); texts are scanned once a block, without a shuffle.
@@ -46,8 +47,11 @@ RECALL = 0.99
 SEED = 20240601
 #: No word: what lies beyond a text's or an item's end.
 END = np.uint64(0)
-#: Least length of an item, sampled outputs and steps of its walks, longest items first.
-SHAPES = ((10, 3, 10), (5, 2, 4), (1, 1, 1))
+#: Least length of an item, sampled outputs and steps of its walks, longest items first; the last shape is that of items
+#: that allow no edit.
+SHAPES = ((30, 8, 18), (14, 6, 12), (10, 4, 10), (5, 3, 5), (1, 1, 1))
+EXACT = len(SHAPES) - 1
+GAP = SHAPES[0][2]
 MOST_STARTS = 64
 #: Elements that verification unpacks at once.
 PIECE = 1_000_000
@@ -62,36 +66,45 @@ def words_of(texts: pa.Array):
         yield i, tokens.hash, tokens.first
 
 
-def tables_for(recall: float, max_edit: float, steps: int) -> int:
+def tables_for(recall: float, max_edit: float, shape: int) -> int:
     """Repetitions for the target recall."""
-    if steps == 1:
+    least, _, steps = SHAPES[shape]
+    if shape == EXACT:
         return 1
-    same = max(0.02, (1 - max_edit) ** (steps / 2 + 1))
-    return max(1, math.ceil(math.log(1 - recall) / (2 * math.log(1 - same))))
+    words = steps / 2 + 1
+    same = (1 - max_edit) ** words
+    return max(1, math.ceil(math.log(1 - recall) / (least / (words / 2) * math.log(1 - same))))
 
 
 def shape_of(length: int, limit: int) -> int:
     """Which of SHAPES an item of so many words and allowed edits has."""
-    return 2 if not limit else next(k for k, (least, _, _) in enumerate(SHAPES) if length >= least)
-
-
-def signatures(h: np.ndarray, shape: int, table: int) -> np.ndarray:
-    """The signature of one repetition for the walk that starts at each word of ``h``, which ends with END as often as a walk
-    has steps; 0 if a sample lies beyond the end."""
-    _, bits, steps = SHAPES[shape]
-    seed = np.full(1, SEED + 64 * table + shape, np.uint64)
-    sampled = sorted(np.random.default_rng([SEED, table, shape]).choice(steps, bits, replace=False).tolist())
-    coins = arrays.mix(h ^ arrays.mix(seed))
-    n = len(h) - steps
-    at, sign, whole = np.arange(n, dtype=np.int32), np.zeros(n, np.uint64), np.ones(n, bool)
-    for t in range(sampled[-1] + 1):
-        if t in sampled:
-            word = h[at]
-            whole &= word != END
-            sign = (sign ^ word) * ODD
-        if t < sampled[-1]:
-            at += ((coins[at] >> np.uint64(t)) & np.uint64(1)).astype(np.int32)
-    return np.where(whole, sign | np.uint64(1), END)
+    return next(k for k, (least, _, _) in enumerate(SHAPES) if length >= least) if limit else EXACT
+
+
+def signatures(h: np.ndarray, table: int, shapes: list[int]) -> dict[int, np.ndarray]:
+    """For each shape the signature of one repetition for the walk that starts at each word of ``h``, which ends with GAP times
+    END; 0 if a sample lies beyond the end. One walk serves all shapes."""
+    sampled = {k: sorted(np.random.default_rng([SEED, table, k]).choice(SHAPES[k][2], SHAPES[k][1], replace=False).tolist()) for k in shapes}
+    coins = (arrays.mix(h ^ arrays.mix(np.full(1, SEED + table, np.uint64))) >> np.uint64(32)).astype(np.uint32)
+    n = len(h) - GAP
+    at, step = np.arange(n), np.empty(n, np.uint32)
+    sign = {k: np.zeros(n, np.uint64) for k in shapes}
+    last = max(v[-1] for v in sampled.values())
+    for t in range(last + 1):
+        mine = [k for k, v in sampled.items() if t in v]
+        if mine:
+            word = np.take(h, at, mode="clip")
+            for k in mine:
+                sign[k] ^= word
+                sign[k] *= ODD
+                if t == sampled[k][-1]:  # the walk only moves on, so earlier samples lie before this one
+                    sign[k] = np.where(word == END, END, sign[k] | np.uint64(1))
+        if t < last:
+            np.take(coins, at, out=step, mode="clip")
+            step >>= np.uint32(t)
+            step &= np.uint32(1)
+            at += step
+    return sign
 
 
 def edit_distances(item: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,17 +147,19 @@ class Block:
         self.length = np.array([len(x) for x in items], np.int64)
         self.limit = np.floor(max_edit * self.length + 1e-9).astype(np.int64)
         shapes = np.array([shape_of(n, d) for n, d in zip(self.length.tolist(), self.limit.tolist(), strict=True)], np.int64)
+        self.shapes = np.unique(shapes).tolist()
+        repeats = {k: tables_for(recall, max_edit, k) for k in self.shapes}
+        run, place = ragged(self.length + GAP)
+        h = np.zeros(len(run) + GAP, np.uint64)
+        h[np.flatnonzero(place < self.length[run])] = np.concatenate(items)
         self.tables = []
-        for shape in np.unique(shapes).tolist():
-            mine = np.flatnonzero(shapes == shape)
-            steps = SHAPES[shape][2]
-            run, place = ragged(self.length[mine] + steps)
-            h = np.zeros(len(run), np.uint64)
-            h[place < self.length[mine][run]] = np.concatenate([items[k] for k in mine])
-            for table in range(tables_for(recall, max_edit, steps)):
-                sign = signatures(np.concatenate([h, np.zeros(steps, np.uint64)]), shape, table)
-                ok = np.flatnonzero((sign != END) & ((place == 0) | (shape != 2)))
-                self.tables.append((shape, table, *self.sorted(sign[ok], mine[run[ok]], place[ok])))
+        for table in range(max(repeats.values())):
+            mine = [k for k in self.shapes if table < repeats[k]]
+            held = {}
+            for k, sign in signatures(h, table, mine).items():
+                ok = np.flatnonzero((shapes[run] == k) & (sign != END) & ((place == 0) | (k != EXACT)))
+                held[k] = self.sorted(sign[ok], run[ok], place[ok])
+            self.tables.append(held)
         words = [arrays.mix(x ^ arrays.mix(np.full(1, k, np.uint64))) for k, x in enumerate(items)]
         self.shift = np.uint64(64 - max(16, min(26, math.ceil(math.log2(16 * max(1, self.length.sum()))))))
         self.has = np.zeros(1 << (64 - int(self.shift)), bool)
@@ -168,14 +183,16 @@ class Block:
         """Ascending item * (len(padded) + 1) + start of the windows that a signature proposes; starts count in :func:`padded`."""
         found = []
         text, begin = padded(h, first)
-        for shape, table, sign, item, place, shift, bit in self.tables:
-            mine = signatures(text, shape, table)
-            at = np.flatnonzero(bit[mine >> shift])
-            low, high = np.searchsorted(sign, mine[at], "left"), np.searchsorted(sign, mine[at], "right")
-            run, k = ragged(high - low)
-            k += low[run]
-            own = begin[np.searchsorted(begin, at, "right") - 1]  # a text may begin within an item
-            found.append(np.unique(item[k].astype(np.int64) * (len(text) + 1) + np.maximum(at[run] - place[k], own[run])))
+        for table, held in enumerate(self.tables):
+            signs = signatures(text, table, list(held))
+            for k, (sign, item, place, shift, bit) in held.items():
+                at = np.flatnonzero(bit[signs[k] >> shift])
+                mine = signs[k][at]
+                low, high = np.searchsorted(sign, mine, "left"), np.searchsorted(sign, mine, "right")
+                run, i = ragged(high - low)
+                i += low[run]
+                own = begin[np.searchsorted(begin, at, "right") - 1]  # a text may begin within an item
+                found.append(np.unique(item[i].astype(np.int64) * (len(text) + 1) + np.maximum(at[run] - place[i], own[run])))
         return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
     def find(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -223,9 +240,8 @@ class Block:
 
 def padded(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The words of all texts with END after each as often as the longest walk has steps, and each text's start."""
-    gap = max(s for _, _, s in SHAPES)
-    begin = first[:-1] + gap * np.arange(len(first) - 1)
-    out = np.zeros(len(h) + gap * len(first), np.uint64)
+    begin = first[:-1] + GAP * np.arange(len(first) - 1)
+    out = np.zeros(len(h) + GAP * len(first), np.uint64)
     run, place = ragged(np.diff(first))
     out[begin[run] + place] = h
     return out, begin
