@@ -104,3 +104,25 @@ def kmeans_at_scale(df: DataFrame, vector: str, k: int, seed: int = 0) -> DataFr
 
     wide = df.withColumn("_x", array_to_vector(F.col(vector).cast("array<double>")))
     return KMeans(featuresCol="_x", predictionCol="cluster", k=k, seed=seed, maxIter=20).fit(wide).transform(wide).drop("_x")
+
+
+def write_centroids(centroids: DataFrame, path: str) -> None:
+    """Centroids (cluster, centroid) with their dimension, as Parquet."""
+    centroids.select("cluster", F.col("centroid").cast("array<double>").alias("centroid"), F.size("centroid").alias("dim")).write.mode("overwrite").parquet(path)
+
+
+def read_centroids(spark, path: str, dim: int) -> DataFrame:
+    """Stored centroids; another dimension than the embedder's raises when they are read."""
+    t = spark.read.parquet(path)
+    fits = F.when(F.col("dim") == dim, F.col("centroid")).otherwise(F.raise_error(F.concat(F.lit("centroids of dimension "), F.col("dim").cast("string"))).cast("array<double>"))
+    return t.select("cluster", fits.alias("centroid"))
+
+
+def assign(df: DataFrame, vector: str, centroids: DataFrame, most: int = 4096) -> DataFrame:
+    """Adds ``cluster`` and ``distance`` from a centroid table of at most ``most`` rows, which is checked before it is sent to all tasks."""
+    rows = centroids.orderBy("cluster").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} centroids")
+    named = nearest_centroid(df, vector, [list(r["centroid"]) for r in rows])
+    names = F.array(*(F.lit(r["cluster"]) for r in rows)) if rows else None
+    return named if names is None else named.withColumn("cluster", F.get(names, F.col("cluster")))
