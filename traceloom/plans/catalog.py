@@ -18,4 +18,4 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
-from traceloom.plans import assembly, curation, evaluation, pairs, registry, replays, routing, runs, streams, support  # noqa: E402, F401  each registers its queries
+from traceloom.plans import assembly, curation, evaluation, pairs, registry, replays, routing, runs, streams, support, tracing  # noqa: E402, F401  each registers its queries
