@@ -45,6 +45,8 @@ SPANS = ((0, 4096), (4096, 4096), (8192, 2048), (10240, 2048))
 ROWS = 12288
 MEMBER_ROWS = 1 << 15
 ROUNDS = 4
+#: Tokens that a training task reads at least, about, so that the weights it sends are few against what it reads.
+TASK_TOKENS = 400_000
 BLOCK = 1024
 END, START = np.uint64(0x1234567890ABCDE1), np.uint64(0x0FEDCBA987654323)
 #: Tokens of a training step, and of a scoring step.
@@ -256,9 +258,9 @@ def train(texts: DataFrame, shared: Shared, rounds: int = ROUNDS, rate: float =
             mine.w *= met[:, None]
             mine.square -= begin.square
             mine.square *= met
-            blocks = range(rows // BLOCK)
+            blocks = [k for k in range(rows // BLOCK) if met[k * BLOCK : (k + 1) * BLOCK].any()]
             pack = lambda x, kind: pa.array([x[k * BLOCK : (k + 1) * BLOCK].astype(kind).tobytes() for k in blocks], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()), pack(met, np.float64), pack(mine.w, np.float32), pack(mine.square, np.float64)], names)
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pack(met, np.float64), pack(mine.w, np.float32), pack(mine.square, np.float64)], names)
 
         def total(batches):
             sums: dict = {}
@@ -270,6 +272,7 @@ def train(texts: DataFrame, shared: Shared, rounds: int = ROUNDS, rate: float =
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), *(pa.array([sums[k][c].tobytes() for k in keys], pa.binary()) for c in range(3))], names)
 
         some = texts.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == i)
+        some = some.coalesce(max(1, math.ceil(shared.n / rounds / TASK_TOKENS)))  # small partitions share a task
         table = some.mapInArrow(step, schema).repartition(rows // BLOCK, "block").mapInArrow(total, schema).toArrow()  # rows x CLASSES numbers
         new = Weights()
         new.w, new.square = state.w.copy(), state.square.copy()

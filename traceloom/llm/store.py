@@ -12,10 +12,14 @@ ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's shared folder; one beside the warehouse where none is set, as in tests."""
+    """The session's shared folder. Where none is set, as in tests, one beside the warehouse of a local session; a cluster without
+    one raises, since its machines share no folder that this session could name."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        master = spark.sparkContext.master
+        if not current.isDefined() and (not master.startswith("local") or master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         named = current.get() if current.isDefined() else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return named.rstrip("/")
 
