@@ -11,10 +11,13 @@ from traceloom.functions.text import let, words
 
 
 def shared_dir(spark) -> str:
-    """The folder for intermediate tables that all machines share."""
+    """The folder for intermediate tables that all machines share; a cluster without one raises."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        master = spark.sparkContext.master
+        if not current.isDefined() and (not master.startswith("local") or master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         named = current.get() if current.isDefined() else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return named.rstrip("/")
 
