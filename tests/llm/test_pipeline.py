@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as C
 from test_ngram_join import brute as brute_classes
 from test_secret_scan import brute as brute_secrets
@@ -53,3 +55,23 @@ def test_run_and_edges(spark):
     for _, stage in C.STAGES:
         assert stage(spark, df, SF).count() >= 4
         assert stage(spark, df.limit(0), SF).count() == 0
+
+
+def test_repeated_ids_keep_other_texts_and_columns_may_clash(spark):
+    words = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    rows = [
+        (1, words("a", 30), 10, 1), (1, words("b", 30), 11, 2), (2, words("a", 30), 12, 3), (3, words("b", 30) + " extra", 13, 4), (None, words("c", 30), 14, 5), (None, words("c", 30), 15, 6),
+        (4, "", 16, 7), (4, None, 17, 8), (5, words("d", 30), 18, 9), (5, words("d", 30), 19, 10),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, copy_id int, leak_id int").withColumns({"n_chars": F.length("text").cast("long"), "id": F.lit(1), "th": F.lit(2), "root": F.lit(3), "r": F.lit(4)})
+    kept = C.near_duplicates(spark, df, SF)
+    assert kept.columns == df.columns and sorted(r.copy_id for r in kept.collect()) == [10, 11, 14, 16, 17, 18]
+    for _, stage in C.STAGES[1:4]:
+        assert stage(spark, df, SF).columns == df.columns
+
+
+def test_very_long_texts(spark):
+    rows = [(1, "word " * 200_000, 1), (2, "a=b=" * 50_000, 2), (3, "x" * 500_000, 3), (4, "i d i o t " * 20_000, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    for _, stage in C.STAGES[:4]:
+        assert stage(spark, df, SF).count() >= 3
