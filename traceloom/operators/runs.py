@@ -174,3 +174,43 @@ def holdout_error(graded: DataFrame, judged: str, truth: str, key: str = "id", s
     both = rest.join(F.broadcast(cal), how="cross")  # one row each
     corrected = S.corrected_rate(F.col("observed"), F.col("sens"), F.col("spec"), F.col("usable"))
     return both.select("n", "observed", "actual", corrected.alias("corrected"), (corrected - F.col("actual")).alias("error"))
+
+
+def cluster_table(rows: DataFrame, subjects: list[str], floor: float = 0.55) -> DataFrame:
+    """Per cluster each subject's success side by side, the tasks of the first subject (null where it has none), and where the router
+    would send it: the teacher below the floor of the second subject. ``rows``: subject, cluster (text), success, n_tasks. Unnamed
+    clusters are called none and come last."""
+    name = F.coalesce("cluster", F.lit("none"))
+    cell = lambda s, c: F.max(F.when(F.col("subject") == s, F.col(c)))
+    wide = rows.groupBy(name.alias("cluster")).agg(cell(subjects[0], "n_tasks").alias("n_tasks"), *(cell(s, "success").alias(s) for s in subjects))
+    second = F.col(subjects[min(1, len(subjects) - 1)])
+    route = F.when(second.isNull(), None).when(second < floor, "teacher").otherwise("student")
+    return wide.withColumn("routing", route).orderBy(F.col("cluster") == "none", "cluster")
+
+
+def coverage_summary(coverage: DataFrame) -> DataFrame:
+    """Of a coverage table (n_before, n_after, sparse): clusters, sparse ones, rows kept and their share."""
+    n, kept = F.sum("n_before"), F.sum("n_after")
+    return coverage.agg(F.count(F.lit(1)).alias("n_clusters"), F.count(F.when(F.col("sparse"), 1)).alias("n_sparse"), kept.alias("n_after"), F.coalesce(F.try_divide(kept, n), F.lit(0.0)).alias("share"))
+
+
+def curation_result(funnel: list[dict], coverage: DataFrame, config: dict, notes: list[str], embedder: str) -> dict:
+    """What a curation did, as one object: rows in and out, stages, coverage, the configuration and its hash."""
+    import hashlib
+    import json
+
+    text = json.dumps(config, sort_keys=True, default=str)
+    return {
+        "n_input": funnel[0]["n_in"] if funnel else 0, "n_output": funnel[-1]["n_out"] if funnel else 0, "stages": funnel, "coverage": coverage_summary(coverage).first().asDict(),
+        "filter_config": config, "config_hash": hashlib.sha256(text.encode()).hexdigest()[:12], "notes": notes, "embedder": embedder,
+    }
+
+
+def aggregate(rows: DataFrame, run: str = "run") -> DataFrame:
+    """Everything that a run's rows say: success over tasks' means, shares of valid and diverged rows, medians of turns, calls, tokens and
+    latency, rows per stop reason, and the most repeats of a task."""
+    tasks = rows.groupBy(run, "task_id").agg(F.avg(F.coalesce(F.col("success").cast("double"), F.lit(0.0))).alias("m"), F.count(F.lit(1)).alias("n"))
+    top = tasks.groupBy(run).agg(F.avg("m").alias("success"), F.count(F.lit(1)).alias("n_tasks"), F.max("n").alias("n_per_task"))
+    share = lambda c: F.avg(F.coalesce(F.col(c).cast("double"), F.lit(0.0))).alias(c)
+    rest = rows.groupBy(run).agg(share("schema_valid"), share("diverged"), *(F.median(c).alias(f"{c}_median") for c in ("n_turns", "n_tool_calls", "tokens", "latency_ms")))
+    return top.join(rest, run).join(stop_reasons(rows, [run]), run)

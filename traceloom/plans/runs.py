@@ -98,7 +98,7 @@ select n as n_shared_tasks, rate_a, rate_b, delta, only_a, only_b from c""")
 def full_compare(spark, d):
     """Run B against run A, so that the shared tasks' differences are those of the paired table."""
     runs = spark.createDataFrame([("A", "s", None), ("B", "s", "replay")], "id string, eval_set_id string, mode string")
-    got = U.compare(runs, V.results(spark, d), "B", "A")
+    got = U.compare(runs, V.results(spark, d), "B", "A", iterations=20)
     if "refusal" in got:
         raise RuntimeError(got["refusal"])
     row = (got["n_shared_tasks"], round(got["observed"]["rate_a"], 6), round(got["observed"]["rate_b"], 6), round(got["success"]["delta"], 6), got["mcnemar"]["only_a"], got["mcnemar"]["only_b"])
@@ -125,3 +125,33 @@ select n, round(observed, 6) as observed, round(actual, 6) as actual, round(case
 def holdout_error(spark, d):
     rows = V.scores(spark, d).select(F.col("doc_id").alias("id"), (F.col("p") > 0.4).alias("j"), (F.col("y") == 1).alias("t"))
     return U.holdout_error(rows, "j", "t").select("n", *r6("observed", "actual", "corrected"))
+
+
+@query("cluster_table", f"""with {R}, t as (select kind, cluster, task_id, avg(success::int) as m from v_result group by all), x as (select kind as subject, case when cluster = 6 then 'none' else cluster::varchar end as cluster, avg(m) as success, count(*) as n from t group by all)
+select cluster, max(n) filter (where subject = 'click') as n_tasks, round(max(success) filter (where subject = 'click'), 6) as click, round(max(success) filter (where subject = 'error'), 6) as error, case when max(success) filter (where subject = 'error') < 0.55 then 'teacher' when max(success) filter (where subject = 'error') is not null then 'student' end as routing from x group by 1""")
+def cluster_table(spark, d):
+    from traceloom.operators.evaluation import task_means
+
+    per = task_means(V.results(spark, d), ["kind", "cluster"], F.col("success"))
+    rows = per.select(F.col("kind").alias("subject"), F.when(F.col("cluster") != 6, F.col("cluster").cast("string")).alias("cluster"), F.col("mean").alias("success"), "n_tasks")
+    return U.cluster_table(rows, ["click", "error"]).select("cluster", "n_tasks", *r6("click", "error"), "routing")
+
+
+@query("coverage_summary", """with a as (select user_id % 7 as k, count(*) as n from events group by 1), b as (select user_id % 7 as k, count(*) as n from events where event_type = 'error' and value > 60 group by 1), c as (select coalesce(a.n, 0) as n, coalesce(b.n, 0) as m from a full join b on a.k = b.k)
+select count(*) as n_clusters, count(*) filter (where m < 10) as n_sparse, sum(m)::bigint as n_after, round(sum(m) / sum(n), 6) as share from c""")
+def coverage_summary(spark, d):
+    from traceloom.operators.curation import coverage
+
+    e = read_table(spark, d, "events", "user_id", "event_type", "value").withColumn("cluster", F.col("user_id") % 7)
+    return U.coverage_summary(coverage(e, e.where("event_type = 'error' and value > 60"), "cluster")).select("n_clusters", "n_sparse", "n_after", *r6("share"))
+
+
+@query("run_aggregate_full", f"""with {R}, t as (select run, task_id, avg(success::int) as m, count(*) as n from v_result group by all), s as (select run, kind, count(*) as n from v_result group by all),
+ a as (select run, avg(m) as success, count(*) as n_tasks, max(n) as n_per_task from t group by 1), b as (select run, avg((kind <> 'view')::int) as sv, avg((kind = 'click')::int) as dv, median(turns) as mt, median(cluster) as mc, median(tokens) as mk, median(tokens * 10) as ml from v_result group by 1),
+ r as (select run, string_agg(kind || '=' || n, ',' order by kind) as reasons from s group by 1)
+select a.run, round(success, 6) as success, n_tasks, n_per_task, round(sv, 6) as schema_valid, round(dv, 6) as diverged, round(mt, 6) as n_turns_median, round(mc, 6) as n_tool_calls_median, round(mk, 6) as tokens_median, round(ml, 6) as latency_ms_median, reasons from a join b on b.run = a.run join r on r.run = a.run""")
+def run_aggregate_full(spark, d):
+    rows = V.results(spark, d).withColumns({"schema_valid": F.col("kind") != "view", "diverged": F.col("kind") == "click", "n_turns": F.col("turns"), "n_tool_calls": F.col("cluster"), "latency_ms": F.col("tokens") * 10, "stop_reason": F.col("kind")})
+    out = U.aggregate(rows)
+    reasons = F.array_join(F.transform(F.map_entries("stop_reasons"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias("reasons")
+    return out.select("run", *r6("success"), "n_tasks", "n_per_task", *r6("schema_valid", "diverged", "n_turns_median", "n_tool_calls_median", "tokens_median", "latency_ms_median"), reasons)
