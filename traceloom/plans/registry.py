@@ -198,7 +198,7 @@ def cosine_topk(spark, d):
     return e.select("vec_id", s.alias("s")).orderBy(F.desc("s"), "vec_id").limit(5).select("vec_id", F.round("s", 5).alias("score"))
 
 
-@query("hash_embed_norms", None)
+@query("hash_embed_norms", r"select conv_id, turn, case when regexp_matches(text, '[\p{L}\p{N}_]') then 1.0 else 0.0 end::double as norm from conversations")
 def hash_embed_norms(spark, d):
     t = read_table(spark, d, "conversations", "conv_id", "turn", "text")
-    return t.select("conv_id", "turn", F.sqrt(K.dot(K.hash_embedder()("text"), K.hash_embedder()("text"))).alias("norm"))
+    return t.select("conv_id", "turn", F.round(F.sqrt(K.dot(K.hash_embedder()("text"), K.hash_embedder()("text"))), 6).alias("norm"))
