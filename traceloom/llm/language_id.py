@@ -22,7 +22,7 @@ from pyspark.sql.window import Window
 
 from traceloom.llm import arrays
 from traceloom.llm.registry import query
-from traceloom.llm.store import small_batches
+from traceloom.llm.store import materialize, small_batches
 from traceloom.sources.tables import read_table
 
 BITS = 18
@@ -73,11 +73,15 @@ def with_key(docs: DataFrame) -> DataFrame:
 def training(keyed: DataFrame, most_rows: int, landmarks: int) -> tuple[dict, set, list]:
     """Keys of training rows with their language, at most ``most_rows``: the smallest keys of each language, as many of each.
     With more languages than ``most_rows`` only so many are learned, which that bound means. Also the keys of landmarks."""
-    rows = keyed.where("learn").select("lang", "key")
-    langs = rows.agg(F.count_distinct("lang")).first()[0]
+    # one row a key, dealt by key; of each language only keys below a hash that about twice the share stays below are ranked
+    keys = materialize(keyed.where("learn").groupBy("lang", "key").agg(F.count(F.lit(1)).alias("n")).select("lang", "key"), "keys")
+    sizes = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    langs = sizes.count()
     share = max(1, most_rows // max(1, langs))
-    place = F.dense_rank().over(Window.partitionBy("lang").orderBy("key"))  # each task sends its own first ones only
-    first = rows.withColumn("place", place).where(F.col("place") <= share).distinct()
+    unit = (F.col("key").cast("double") + 2.0**63) / 2.0**64
+    few = keys.join(F.broadcast(sizes) if langs <= 100_000 else sizes, "lang").where(unit * F.col("n") <= share + 8 * share**0.5 + 50).select("lang", "key")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    first = few.withColumn("place", place).where(F.col("place") <= share)
     got = first.orderBy("place", "lang", "key").limit(most_rows).collect()
     chosen = {r.key: r.lang for r in got}
     each = max(1, landmarks // max(1, langs))
