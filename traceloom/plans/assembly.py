@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from traceloom.operators import assembly as A
 from traceloom.operators import clustering as K
 from traceloom.plans import views as V
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.plans.evaluation import r6
 from traceloom.plans.routing import _RUN, runs
 from traceloom.sources.tables import read_table

@@ -1,21 +1,4 @@
-"""Query catalogue: name -> callable, and name -> DuckDB oracle."""
+"""Query catalogue: name -> callable, and name -> DuckDB oracle. Importing a plan module registers its queries."""
 
-from __future__ import annotations
-
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def query(name: str, oracle: str | None = None):
-    """Register a query function under ``name`` with its oracle SQL."""
-
-    def add(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-
-    return add
-
-
-from traceloom.plans import assembly, curation, evaluation, pairs, registry, replays, routing, runs, streams, support, tracing  # noqa: E402, F401  each registers its queries
+from traceloom.plans import assembly, curation, evaluation, pairs, registry, replays, routing, runs, streams, support, tracing  # noqa: F401
+from traceloom.plans.registered import ORACLES, QUERIES  # noqa: F401

@@ -9,7 +9,7 @@ from traceloom.functions import text as T
 from traceloom.operators import curation as C
 from traceloom.operators import similarity as S
 from traceloom.plans import views as V
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.sources.tables import read_table
 
 TRACES = """v_trace as (

@@ -11,7 +11,7 @@ from traceloom.operators import gate as G
 from traceloom.operators import statistics as S
 from traceloom.operators.ordered import running
 from traceloom.plans import views as V
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.sources.tables import read_table
 
 R = V.RESULTS

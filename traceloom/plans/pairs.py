@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from traceloom.operators import pairs as P
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.sources.tables import read_table
 
 MESSAGE = "array<struct<role:string,content:string,tool_calls:array<struct<id:string,function:struct<name:string,arguments:string>>>>>"

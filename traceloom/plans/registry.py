@@ -8,7 +8,7 @@ from traceloom.operators import clustering as K
 from traceloom.operators import registry as G
 from traceloom.operators import router as R
 from traceloom.plans import views as V
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.sources.tables import read_table
 
 Q = V.REQUESTS

@@ -12,25 +12,11 @@ from pyspark.sql import functions as F
 from traceloom.operators import replay as E
 from traceloom.operators import samples as M
 from traceloom.plans import views as V
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.plans.evaluation import r6
 from traceloom.sources.tables import read_table
 
 
-def call_traces(spark, d):
-    """A trace a user: each event is a call, with its number as the result; then an answer."""
-    c = V.calls(spark, d)
-    call = F.struct(F.col("id").cast("string").alias("id"), F.lit("function").alias("type"), F.struct(F.col("tool").alias("name"), F.col("args").alias("arguments")).alias("function"))
-    turn = F.array(
-        F.struct(F.lit("assistant").alias("role"), F.lit(None).cast("string").alias("content"), F.array(call).alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id")),
-        F.struct(F.lit("tool").alias("role"), F.col("id").cast("string").alias("content"), F.array().cast("array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>").alias("tool_calls"), F.col("id").cast("string").alias("tool_call_id")),
-    )
-    per = c.groupBy("trace").agg(F.array_sort(F.collect_list(F.struct("turn", turn.alias("m")))).alias("t"))
-    ends = lambda role, text: F.array(F.struct(F.lit(role).alias("role"), F.lit(text).alias("content"), F.lit(None).cast("array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>").alias("tool_calls"), F.lit(None).cast("string").alias("tool_call_id")))
-    messages = F.concat(ends("user", "go"), F.flatten(F.transform("t", lambda x: x["m"])), ends("assistant", "all done"))
-    return per.select(F.col("trace"), messages.alias("messages"))
-
-
 def as_json(traces):
     return traces.select("trace", F.to_json(F.struct(F.col("trace").cast("string").alias("id"), F.col("trace").cast("string").alias("task_id"), "messages")).alias("json"))
 
@@ -47,7 +33,7 @@ _RUN = f"""{V.CALLS}, w as (select a.trace, b.turn, b.tool, b.args from (select
 @query("replay_run", f"""with {_RUN} select trace::varchar as task_id, coalesce(miss, least(12, calls + 1))::integer as n_turns, coalesce(miss, least(12, calls))::integer as n_tool_calls, miss is not null as diverged, case when miss is not null then 'diverged' when calls < 12 then 'answered' else 'max_turns' end as stop_reason from x""")
 def replay_run(spark, d):
     """Each user's recording, run by the policy of the next user."""
-    t = call_traces(spark, d)
+    t = V.call_traces(spark, d)
     policy = t.select((F.col("trace") - 1).alias("trace"), F.col("messages").alias("policy"))
     both = t.join(policy, "trace").select(F.to_json(F.struct(F.col("trace").cast("string").alias("id"), F.col("trace").cast("string").alias("task_id"), "messages", "policy")).alias("json"))
     return E.run_eval(both, neighbour, trace_col="json", grader=E.no_divergence_grader).select("task_id", "n_turns", "n_tool_calls", "diverged", "stop_reason")
@@ -56,13 +42,13 @@ def replay_run(spark, d):
 @query("replay_own", f"with {V.CALLS}, n as (select trace, count(*) as c from v_call group by 1) select trace::varchar as task_id, r.range::integer as repeat_idx, c < 12 as success, least(c, 12)::integer as replayed, 0::integer as fuzzy from n, range(2) r")
 def replay_own(spark, d):
     """Every recording run by itself, twice: what is recorded comes back."""
-    out = E.run_eval(as_json(call_traces(spark, d)), lambda t: E.RecordedClient(t["messages"]), trace_col="json", repeats=2)
+    out = E.run_eval(as_json(V.call_traces(spark, d)), lambda t: E.RecordedClient(t["messages"]), trace_col="json", repeats=2)
     return out.select("task_id", "repeat_idx", "success", "replayed", "fuzzy")
 
 
 @query("calls_made", f"with {V.CALLS} select trace, count(*)::integer as n, md5(string_agg(tool, '>' order by turn)) as h from v_call group by 1")
 def calls_made(spark, d):
-    made = call_traces(spark, d).select("trace", E.calls_made(F.col("messages")).alias("c"))
+    made = V.call_traces(spark, d).select("trace", E.calls_made(F.col("messages")).alias("c"))
     return made.select("trace", F.size("c").alias("n"), F.md5(F.array_join(F.transform("c", lambda x: x["tool"]), ">")).alias("h"))
 
 

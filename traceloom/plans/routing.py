@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from traceloom.operators import selectors as L
 from traceloom.operators import thompson as T
 from traceloom.plans import views as V
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.plans.evaluation import r6
 from traceloom.plans.registry import POST, posterior
 from traceloom.sources.tables import read_table

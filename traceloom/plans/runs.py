@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from traceloom.operators import runs as U
 from traceloom.operators import statistics as S
 from traceloom.plans import views as V
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.plans.evaluation import P, pairs, r6
 from traceloom.sources.tables import read_table
 

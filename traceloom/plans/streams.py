@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from traceloom.operators.similarity import shared_dir
 from traceloom.plans import views as V
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.streaming import router as R
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from traceloom.operators import support as C
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.sources.tables import read_table
 
 

@@ -13,9 +13,8 @@ from traceloom.operators import lifecycle as L
 from traceloom.operators import registry as K
 from traceloom.operators import turns as T
 from traceloom.plans import views as V
-from traceloom.plans.catalog import query
+from traceloom.plans.registered import query
 from traceloom.plans.evaluation import r6
-from traceloom.plans.replays import call_traces
 from traceloom.sources import jsonl as J
 from traceloom.sources import stores as S
 from traceloom.sources.tables import read_table
@@ -172,7 +171,7 @@ def error_run_lengths(spark, d):
 
 @query("call_signatures", f"""with {V.CALLS} select trace, sha256('{{"args":' || replace(args, ' ', '') || ',"tool":"' || tool || '"}}') as s, count(*) as n from v_call group by 1, 2""")
 def call_signatures(spark, d):
-    t = call_traces(spark, d).withColumnRenamed("trace", "id")
+    t = V.call_traces(spark, d).withColumnRenamed("trace", "id")
     m = t.select("id", F.explode("messages").alias("m")).where("m.role = 'assistant' and size(m.tool_calls) > 0")
     s = m.select(F.col("id").alias("trace"), T.signature_udf()(F.to_json("m.tool_calls")).alias("s"))
     return s.select("trace", F.explode("s").alias("s")).groupBy("trace", "s").agg(F.count(F.lit(1)).alias("n"))
