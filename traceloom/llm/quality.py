@@ -218,11 +218,14 @@ def starts(rows: DataFrame) -> DataFrame:
     wide = materialize(wide, "medians")
     y = {f"y{i}": F.tanh((F.col(f) - F.col(f"m{i}")) / F.col(f"d{i}")) for i, f in enumerate(FEATURES)}
     told = _beside(rows.select("grp", "salt", *FEATURES), wide, ["grp"]).select("grp", *(c.alias(k) for k, c in y.items()))
-    corr = told.groupBy("grp").agg(*(F.corr(f"y{i}", f"y{j}").alias(f"r{i}_{j}") for i, j in CELLS if i != j))
-    usual = lambda c: F.round(F.coalesce(F.nanvl(c, F.lit(0.0)), F.lit(0.0)), 9)
+    sums = told.groupBy("grp").agg(F.count(F.lit(1)).alias("k"), *(F.sum(f"y{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"y{i}") * F.col(f"y{j}")).alias(f"q{i}_{j}") for i, j in CELLS))
+    moment = lambda i, j: F.col("k") * F.col(f"q{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}")
+    # a statistic that doesn't vary correlates with none
+    related = lambda i, j: F.coalesce(F.try_divide(moment(i, j), F.sqrt(F.greatest(moment(i, i) * moment(j, j), F.lit(0.0)))), F.lit(0.0))
+    corr = sums.select("grp", *(F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), related(i, j))), 9).alias(f"r{i}_{j}") for i, j in CELLS if i != j))
     both = wide.join(corr, "grp").withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     # shrunk towards the diagonal, so that the matrix is positive definite
-    cov = lambda i, j: F.pow(f"d{i}", F.lit(2)) if i == j else F.when(F.col("start") == 1, 0.9 * usual(F.col(f"r{i}_{j}")) * F.col(f"d{i}") * F.col(f"d{j}")).otherwise(0.0)
+    cov = lambda i, j: F.pow(f"d{i}", F.lit(2)) if i == j else F.when(F.col("start") == 1, 0.9 * F.col(f"r{i}_{j}") * F.col(f"d{i}") * F.col(f"d{j}")).otherwise(0.0)
     table = both.select("grp", "start", F.lit(0).cast("long").alias("n"), *(f"m{i}" for i in range(P)), *(cov(i, j).alias(f"c{i}_{j}") for i, j in CELLS))
     out = materialize(_whitened(table, ["grp", "start"]), "estimates")
     discard(binned, wide)
@@ -265,7 +268,7 @@ def estimates(rows: DataFrame, share: float = 0.75, most_rounds: int = 12) -> Da
     return out
 
 
-def judge(docs: DataFrame, share: float = 0.75, tail: float = 1e-6, least: int = 100) -> DataFrame:
+def judge(docs: DataFrame, share: float = 0.75, tail: float = 1e-6, least: int = 50) -> DataFrame:
     """``doc_id, lang, source``, all counts, ``base_failed, kept, distance`` (null where the fixed rules fail, or no estimate is to be had)."""
     rows = grouped(with_features(counts(docs)), least)
     fine = rows.where(~F.col("base_failed"))
