@@ -47,32 +47,63 @@ def test_running_and_carried_equal_windows(spark):
         assert r["last"] == (max(past, key=lambda x: (x[1], x[2]))[4] if past else None)
 
 
-def test_stepper_replays_diverges_and_stops():
-    t = trace([("f", '{"a":1}', "one"), ("f", '{"a":2}', "two")])
-    out = R.run_task(t, R.RecordedClient(t["messages"]), R.Recording(t["messages"]))
-    assert (out["stop_reason"], out["replayed"], out["n_turns"], out["n_tool_calls"], out["final_text"]) == ("answered", 2, 3, 2, "bye")
-    other = trace([("f", '{"a":1}', ""), ("f", '{"a":9}', "")])
-    out = R.run_task(t, R.RecordedClient(other["messages"]), R.Recording(t["messages"]))
-    assert out["diverged"] and out["stop_reason"] == "diverged" and out["divergence"]["tool"] == "f" and out["divergence"]["nearest_score"] == 0
-    broken = trace([("f", "{no", "")])
-    out = R.run_task(t, R.RecordedClient(broken["messages"]), R.Recording(t["messages"]))
-    assert out["stop_reason"] == "answered" and not out["schema_valid"] and R.NOT_JSON in [m["content"] for m in out["messages"]]
-    assert R.run_task(t, R.RecordedClient(t["messages"]), R.Recording(t["messages"]), max_turns=1)["stop_reason"] == "max_turns"
+MESSAGES = "id string, task_id string, messages array<struct<role:string,content:string,tool_calls:array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>,tool_call_id:string>>"
+
+
+def as_rows(*traces):
+    full = lambda m: (m["role"], m.get("content"), m.get("tool_calls"), m.get("tool_call_id"))
+    return [(str(i), "k", [full(m) for m in t["messages"]]) for i, t in enumerate(traces)]
 
 
-def test_fuzzy_recording_and_live_tools():
+def test_recordings_replay_diverge_and_stop(spark):
+    own = trace([("f", '{"a":1}', "one"), ("f", '{"a":2}', "two")])
+    other = trace([("f", '{"a": 1}', ""), ("f", '{"a":9}', "")])
+    broken = trace([("f", "{no", "")])
+    many = trace([("f", '{"a":1}', "one")] * 20)
+    recorded = R.recorded_calls(spark.createDataFrame(as_rows(own), MESSAGES), "task_id")
+    policies = R.recorded_turns(spark.createDataFrame(as_rows(own, other, broken, many), MESSAGES).withColumn("task", F.lit("k")), "id")
+    turns = policies.select(F.lit("k").alias("task"), F.col("task").cast("int").alias("repeat"), "turn", "content", "calls")
+    got = {r.repeat: r for r in R.play(turns, recorded).collect()}
+    assert (got[0].stop_reason, got[0].replayed, got[0].n_turns, got[0].n_tool_calls, got[0].final_text) == ("answered", 2, 3, 2, "bye")
+    assert got[1].diverged and (got[1].n_turns, got[1].n_tool_calls, got[1].divergence.tool, got[1].divergence.score) == (2, 2, "f", 0) and got[1].divergence.args == '{"a":9}'
+    assert (got[2].stop_reason, got[2].replayed, got[2].n_tool_calls) == ("answered", 0, 1)
+    assert (got[3].stop_reason, got[3].n_turns, got[3].replayed) == ("max_turns", 12, 12)
+    short = R.play(turns, recorded, max_turns=1).where("repeat = 0").first()
+    assert (short.stop_reason, short.n_turns) == ("max_turns", 1)
+    graded = spark.createDataFrame([("bye ", "bye"), (None, ""), ("x", "y")], "a string, b string").select(R.label_grade(F.col("a"), F.col("b")).alias("ok")).collect()
+    assert [r.ok for r in graded] == [True, True, False]
+    # rounds that ask for each reply give the same as one plan over all turns
+    tasks = turns.select("task", "repeat").distinct().withColumn("prompt", F.lit("task"))
+    reply = lambda open_, n: turns.where(F.col("turn") == n).join(open_.select("task", "repeat"), ["task", "repeat"])
+    rounds = R.play_rounds(tasks, reply, lambda calls: R.serve(calls, recorded))
+    key = lambda r: (r.repeat, r.n_turns, r.n_tool_calls, r.stop_reason, r.replayed, r.final_text, r.completion_tokens_est)
+    assert sorted(map(key, rounds.collect())) == sorted(map(key, got.values()))
+
+
+def test_rounds_show_the_policy_what_was_said_and_live_tools_answer(spark):
+    """A policy that doubles the last answer until it is large; the tool is a column expression."""
+    tasks = spark.createDataFrame([(str(i), 0, str(i)) for i in (1, 3, 50)], "task string, repeat int, prompt string")
+
+    def reply(open_, turn):
+        last = F.element_at("said", -1)["content"]
+        call = F.array(F.struct(F.lit("c").alias("id"), F.lit("double").alias("tool"), F.format_string('{"x":%s}', last).alias("args")))
+        return open_.select("task", "repeat", F.concat(F.lit("at "), last).alias("content"), F.when(last.cast("int") < 20, call).otherwise(F.array().cast(R.CALLS)).alias("calls"))
+
+    live = lambda calls: calls.withColumns({"served": F.lit("live"), "answer": (2 * F.get_json_object("args", "$.x").cast("int")).cast("string"), "h": F.lit(""), "nearest": F.lit(""), "score": F.lit(0.0)})
+    got = {r.task: (r.final_text, r.n_turns, r.stop_reason) for r in R.play_rounds(tasks, reply, live).collect()}
+    assert got == {"1": ("at 32", 6, "answered"), "3": ("at 24", 4, "answered"), "50": ("at 50", 1, "answered")}
+
+
+def test_similar_calls_are_served_from_a_threshold_on(spark):
     args = {f"k{i}": i for i in range(30)}
-    t = trace([("f", json.dumps(args), "near")])
+    known = spark.createDataFrame([("t", 2, "f", json.dumps(args), "near"), ("t", 1, "f", '{"z":1}', "far"), ("u", 1, "f", json.dumps(args), "other task"), ("t", 0, "f", '{"z":1}', "first")], "task string, ord int, tool string, args string, result string")
     near = json.dumps(args | {"k0": 99})
-    assert R.Recording(t["messages"], fuzzy=True).lookup("f", json.loads(near)) == "near"
-    with pytest.raises(R.Divergence) as d:
-        R.Recording(t["messages"]).lookup("f", json.loads(near))
-    assert 0.9 < d.value.record["nearest_score"] < 1
-    live = R.LiveTools(lambda tool, a: 1 / a["x"])
-    assert json.loads(live.lookup("d", {"x": 2})) == 0.5 and "error" in json.loads(live.lookup("d", {"x": 0})) and live.errors == 1
-    teacher = R.ReplayTeacher([t["messages"]])
-    assert teacher.next_turn(R.opening(t["messages"]), [])["tool_calls"] and teacher.next_turn([{"role": "user", "content": "?"}], [])["content"] == "Done."
-    assert R.generated_message("hi", lambda x: [])["content"] == "hi" and R.generated_message("x", lambda x: [("f", "{}")])["tool_calls"][0]["function"]["name"] == "f"
+    asked = spark.createDataFrame([(0, "t", "f", near), (1, "t", "f", '{ "z":1}'), (2, "t", "g", near), (3, "t", "f", "{no"), (4, "t", "f", '{"q":0}')], "i int, task string, tool string, args string")
+    for fuzzy in (True, False):
+        got = {r.i: r for r in R.serve(asked, known, fuzzy=fuzzy).collect()}
+        assert [got[i].served for i in range(5)] == ["fuzzy" if fuzzy else "diverged", "replayed", "diverged", "malformed", "diverged"]
+        assert got[0].answer == ("near" if fuzzy else R.NOT_RECORDED) and got[1].answer == "first" and got[3].answer == R.NOT_JSON
+        assert 0.9 < got[0].score < 1 and json.loads(got[0].nearest) == args and got[2].score is None
 
 
 def test_divergence_at_a_turn_without_content(spark):
@@ -161,16 +192,48 @@ def test_compare_refuses_in_order(spark):
     assert "too few" in U.compare(runs, rows.where("task_id < 5"), "a", "d")["refusal"]
 
 
-def test_samples_and_templates():
-    words = lambda text: [(i, m.start(), m.end()) for i, m in enumerate(__import__("re").finditer(r"\S+", text))]
-    m = [{"role": "system", "content": "be kind"}, {"role": "user", "content": "hi"}, {"role": "assistant", "content": "one two"}, {"role": "tool", "content": "r"}, {"role": "assistant", "content": "three"}]
-    assert M.sample(m, [], words)["n_target_tokens"] == 3 and M.sample(m, [], words, "last_turn")["n_target_tokens"] == 1
-    assert [(i, s, len(w)) for i, s, w in M.windows(m, 1)] == [(1, 0, 3), (3, 1, 4)]
-    assert M.labels_of([(5, 0, 0), (6, 0, 2), (7, 3, 4)], [(0, 3)]) == [M.MASKED, 6, M.MASKED]
-    assert M.argument_spans('f({"a":1})', '{"a": 1}') == [(2, 9)] and M.argument_spans("do x with 12", '{"q": "x", "n": 12}') == [(3, 4), (10, 12)] and M.argument_spans("t", "{no") == []
-    assert M.template_problems(lambda x, t: M.render(x, t)[0], m, [{"name": "f"}]) == []
+def test_samples_and_windows(spark):
+    said = [("system", "be kind"), ("user", "hi"), ("assistant", "one two"), ("tool", "r"), ("tool", "q"), ("assistant", "three"), ("user", "x"), ("assistant", "")]
+    rows = [("a", i, r, t) for i, (r, t) in enumerate(said)] + [("b", 0, "user", "alone"), ("c", 0, "assistant", None), ("c", 1, "assistant", "y y"), ("d", 0, "system", "s")]
+    df = spark.createDataFrame(rows, "trace_id string, turn int, role string, text string")
+    whole = {r.trace_id: r for r in M.build_samples(df, M.word_ids, 1000).collect()}
+    assert set(whole) == {"a", "c"} and (whole["a"].n_tokens, whole["a"].n_target_tokens, whole["c"].n_target_tokens) == (9 + 2 * 8, 3, 2)
+    assert [x for x, y in zip(whole["a"].labels, whole["a"].input_ids, strict=True) if x not in (M.MASKED, y)] == []
+    last = {r.trace_id: r.n_target_tokens for r in M.build_samples(df, M.word_ids, 1000, target="last_turn").collect()}
+    assert last == {"c": 2}
+    cut = M.build_samples(df, M.word_ids, 20, width=2).collect()
+    assert sorted((r.trace_id, r.turn_index, r.window_start, r.n_tokens) for r in cut if r.kind == "turn_window") == [("a", 1, 0, 4 + 3 + 4), ("a", 4, 1, 4 + 4 + 3 + 3 + 3), ("a", 6, 4, 4 + 3 + 3 + 2)]
+    order = M.in_order(M.tokenized(df, M.word_ids), "trace_id", "turn")
+    # a window never begins at a tool's result: it begins further back
+    assert [(r.turn_index, r.window_start) for r in M.windows(order, "trace_id", 1).where("trace_id = 'a'").collect()] == [(1, 0), (4, 1), (6, 5)]
+    assert M.build_samples(df.limit(0), M.word_ids, 10).count() == 0
+
+
+def test_argument_spans_and_masks(spark):
+    cases = [
+        ('f({"a":1})', '{"a":1}', [(2, 9)]), ('f({"a":1})', '{"a": 1}', [(2, 9)]), ('f({"a": 1, "b": "x:y,z"})', '{"a":1,"b":"x:y,z"}', [(2, 24)]),
+        ("do x with 12", '{"q": "x", "n": 12}', [(3, 4), (10, 12)]), ("t", "{no", []), ("t", None, []), ("12 x", '{"q": "x", "n": 12}', [(3, 4)]), ("", "", []), ("a a", '{"p":"a","q":"a"}', [(0, 1), (2, 3)]),
+    ]
+    df = spark.createDataFrame([(i, t, a) for i, (t, a, _) in enumerate(cases)], "i int, t string, a string")
+    got = {r.i: [(x.s, x.e) for x in r.spans] for r in df.select("i", M.argument_spans(F.col("t"), F.col("a")).alias("spans")).collect()}
+    assert [got[i] for i in range(len(cases))] == [c[2] for c in cases]
+    tokens = F.array(*(F.struct(F.lit(s).alias("s"), F.lit(e).alias("e")) for s, e in ((0, 2), (2, 2), (2, 5), (5, 9), (9, 12))))
+    spans = F.array(*(F.struct(F.lit(s).alias("s"), F.lit(e).alias("e")) for s, e in ((1, 3), (10, 11))))
+    mask = spark.range(1).select(M.argument_mask(tokens, spans).alias("m")).first().m
+    assert mask == [True, False, True, False, True]
+    why = spark.range(1).select(M.mask_coverage(F.array(F.lit(False)), F.lit(2)).alias("a"), M.mask_coverage(F.array(F.lit(True)), F.lit(0)).alias("b"), M.mask_coverage(F.array(F.lit(True)), F.lit(1)).alias("c")).first()
+    assert why.a == "calls without an argument token" and why.b == "argument tokens without a call" and why.c is None
+
+
+def test_templates_and_identities(spark):
+    m = [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "one two"}]
+    render = lambda x, t: "".join(json.dumps(y) for y in t) + "".join(f"<|{y['role']}|> {y['content']} <|end|>" for y in x)
+    assert M.template_problems(render, m, [{"name": "f"}]) == []
     assert len(M.template_problems(lambda x, t: str(len(x)), m, [{"name": "f"}])) == 3
-    assert M.eval_row_identity({"id": "i", "metadata": {"scenario": "s", "instance": 2}}) == ("s#2", None)
+    row = spark.createDataFrame([("i", None, "g", {"scenario": "s", "instance": "2"}), ("i", None, None, None), ("i", "t", None, {"scenario": "s"})], "id string, task_id string, grader string, metadata map<string,string>")
+    assert [tuple(r.x) for r in row.select(M.eval_row_identity(F.struct("*")).alias("x")).collect()] == [("s#2", "g"), ("i", None), ("t", None)]
+    called = spark.createDataFrame([([("assistant", None, [("1", "function", ("f", '{"a":1}'))], None)],)], "messages " + MESSAGES.split("messages ")[1])
+    assert called.select(F.to_json(M.with_object_arguments(F.col("messages"))).alias("j")).first().j == '[{"role":"assistant","tool_calls":[{"id":"1","type":"function","function":{"name":"f","arguments":{"a":1}}}]}]'
 
 
 def test_blocks_lines_and_errors(spark, tmp_path):
@@ -202,7 +265,7 @@ def test_hooks_loop_and_small_blocks(spark):
     h = A.Hooks()
     h.set_redactor(lambda s: s.upper(), python=True)
     assert spark.createDataFrame([("ab",), (None,)], "t string").select(h.redactor(F.col("t")).alias("t")).collect()[0].t == "AB"
-    assert h.grader("traceloom.operators.replay.label_grader") is R.label_grader
+    assert h.grader("traceloom.operators.replay.label_grade") is R.label_grade
     with pytest.raises(LookupError):
         h.environment("x")
     log = []

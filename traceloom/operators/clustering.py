@@ -64,46 +64,83 @@ def nearest_centroid(df: DataFrame, vector: str, centroids: list[list[float]]) -
     return df.withColumn("_b", F.array_min(F.array(*pairs))).withColumns({"cluster": F.col("_b.cluster"), "distance": F.col("_b.distance")}).drop("_b")
 
 
-def nearest_centroid_join(df: DataFrame, vector: str, centroids: DataFrame) -> DataFrame:
-    """As above with a centroid table (cluster, centroid) of a fixed, small size, broadcast."""
-    best = F.min_by(F.struct("distance", "cluster"), F.struct("distance", "cluster"))
-    keys = [c for c in df.columns if c != vector]
-    near = df.join(F.broadcast(centroids), how="cross").withColumn("distance", squared_distance(F.col(vector), F.col("centroid")))
-    return near.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.cluster", "_b.distance")
-
-
 def lloyd_step(assigned: DataFrame, vector: str, cluster: str) -> DataFrame:
     """New centroids, ``cluster, dim, value``: means per dimension, with partial sums before the shuffle."""
     return assigned.select(cluster, F.posexplode(vector).alias("dim", "x")).groupBy(cluster, "dim").agg(F.avg(F.col("x").cast("double")).alias("value"))
 
 
-def kmeans(x: np.ndarray, k: int, seed: int = 0, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
-    """k-means++ and Lloyd rounds on an array that fits one machine; an empty cluster keeps its centroid."""
-    rng = np.random.default_rng(seed)
-    n, k = len(x), min(k, len(x))
-    centers = [x[rng.integers(n)]]
-    while len(centers) < k:
-        d = np.min([((x - c) ** 2).sum(axis=1) for c in centers], axis=0)
-        centers.append(x[rng.choice(n, p=d / d.sum()) if d.sum() else rng.integers(n)])
-    c, label = np.array(centers), None
-    for _ in range(rounds):
-        new = ((x[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
-        if label is not None and (new == label).all():
+def seeds(df: DataFrame, key: str, vector: str, k: int, seed: int = 0) -> np.ndarray:
+    """k-means++ seeds of a whole table, one aggregate each: the next seed is drawn with a probability in proportion to its squared distance from
+    those so far, as the smallest exponential of that rate; the exponential comes from a hash of (seed, round, key), so the draw doesn't
+    depend on partitions. Fewer different vectors than ``k`` give fewer seeds."""
+    chosen: list[np.ndarray] = []
+    for turn in range(k):
+        u = (F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(seed), F.lit(turn), F.col(key).cast("string")), 256), 1, 12), 16, 10).cast("double") + 1) / (2.0**48 + 1)
+        rate = distance_to(np.array(chosen))(F.col(vector)) if chosen else F.lit(1.0)
+        draw = df.where(F.col(vector).isNotNull()).select(vector, key, rate.alias("_r"), u.alias("_u")).where("_r > 0")
+        best = draw.agg(F.min_by(vector, F.struct(-F.log("_u") / F.col("_r"), F.col(key))).alias("v")).first()
+        if best is None or best.v is None:
             break
-        label = new
-        for i in range(k):
-            if (label == i).any():
-                c[i] = x[label == i].mean(axis=0)
-    return label, c
+        chosen.append(np.asarray(best.v, float))
+    return np.array(chosen)
+
+
+def distance_to(centroids: np.ndarray):
+    """Arrow UDF vector -> squared distance from the nearest centroid."""
+
+    @F.pandas_udf("double")
+    def far(x: pd.Series) -> pd.Series:
+        rows = np.array([np.asarray(v, float) for v in x]).reshape(len(x), -1)
+        return pd.Series(np.min([((rows - c) ** 2).sum(axis=1) for c in centroids], axis=0) if len(rows) else np.zeros(0))
+
+    return far
+
+
+def cluster_of(centroids: np.ndarray):
+    """Arrow UDF vector -> index of the nearest centroid, the lowest of equally near ones."""
 
+    @F.pandas_udf("int")
+    def near(x: pd.Series) -> pd.Series:
+        rows = np.array([np.asarray(v, float) for v in x]).reshape(len(x), -1)
+        return pd.Series(np.argmin([((rows - c) ** 2).sum(axis=1) for c in centroids], axis=0) if len(rows) else np.zeros(0, int))
+
+    return near
+
+
+def kmeans(df: DataFrame, vector: str, start: np.ndarray, most_rounds: int = 50) -> tuple[np.ndarray, DataFrame]:
+    """Lloyd's rounds from ``start`` until no centroid moves, at most ``most_rounds``; the centroids and ``df`` with ``cluster`` (null for a null vector).
+
+    A round reads the vectors once: each task sums its own rows by cluster, a few rows a task are shuffled, and the driver holds the centroids,
+    as many numbers as the model has. A cluster without rows keeps its centroid. Sums are rounded to 9 places, so that their order doesn't tell."""
+    centroids = np.array(start, float)
+    rows = df.where(F.col(vector).isNotNull()).select(F.col(vector).cast("array<double>").alias("v"))
+    for _ in range(most_rounds):
+        now = centroids
+
+        def sums(frames):
+            total, n = np.zeros_like(now), np.zeros(len(now), int)
+            for pdf in frames:
+                x = np.array([np.asarray(v, float) for v in pdf["v"]]).reshape(len(pdf), -1)
+                if len(x):
+                    label = np.argmin([((x - c) ** 2).sum(axis=1) for c in now], axis=0)
+                    np.add.at(total, label, x)
+                    n += np.bincount(label, minlength=len(now))
+            yield pd.DataFrame({"cluster": np.flatnonzero(n), "n": n[n > 0], "s": list(total[n > 0])})
+
+        parts = rows.mapInPandas(sums, "cluster int, n long, s array<double>").select("cluster", "n", F.posexplode("s").alias("dim", "x"))
+        means = parts.groupBy("cluster", "dim").agg((F.round(F.sum("x"), 9) / F.sum("n")).alias("value"))
+        new = centroids.copy()
+        for r in means.collect():  # clusters times dimensions, the size of the model
+            new[r.cluster, r.dim] = r.value
+        if np.array_equal(new, centroids):
+            break
+        centroids = new
+    return centroids, df.withColumn("cluster", F.when(F.col(vector).isNotNull(), cluster_of(centroids)(vector)) if len(centroids) else F.lit(None).cast("int"))
 
-def kmeans_at_scale(df: DataFrame, vector: str, k: int, seed: int = 0) -> DataFrame:
-    """Adds ``cluster`` by the distributed k-means of the ML library."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
 
-    wide = df.withColumn("_x", array_to_vector(F.col(vector).cast("array<double>")))
-    return KMeans(featuresCol="_x", predictionCol="cluster", k=k, seed=seed, maxIter=20).fit(wide).transform(wide).drop("_x")
+def kmeans_fit(df: DataFrame, key: str, vector: str, k: int, seed: int = 0, most_rounds: int = 50) -> tuple[np.ndarray, DataFrame]:
+    """:func:`kmeans` from :func:`seeds`."""
+    return kmeans(df, vector, seeds(df, key, vector, k, seed), most_rounds)
 
 
 def write_centroids(centroids: DataFrame, path: str) -> None:

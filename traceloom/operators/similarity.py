@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from traceloom.functions.text import let, words
+from traceloom.session import workers_find_package
 
 
 def shared_dir(spark) -> str:
@@ -70,37 +73,125 @@ def in_bloom(h, bloom):
     return has(0) & has(1)
 
 
-def jaccard_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float, n: int = 5, sample: int = 16, frequent: int = 4) -> DataFrame:
-    """``a, b, jaccard`` for pairs of different ids (a < b) whose shingle sets are at least ``threshold`` alike.
-
-    Equal sets are one while pairs are searched. Prefix filter: a pair must share one of the first n - ceil(threshold n) + 1
-    shingles of any global order, so only these are joined, with sizes that fit; candidates are then compared on whole sets.
-    The order puts shingles last that ``frequent`` of a ``sample``-th of the sets hold, so lists stay short: which these are changes
-    the work, never the result. Texts without shingles pair with nothing. Copies come out as pairs, as every other pair does."""
+def shingled(df: DataFrame, id_col: str, text_col: str, n: int = 5) -> DataFrame:
+    """``id, key, s``, written: each text's sorted shingle hashes, and a digest of them; texts without shingles are left out."""
     tokens = F.filter(F.split(F.col(text_col), r"\s+"), lambda x: x != "")
-    # the filter comes after the write: pushed into the scan it would compute the shingles twice
     rows = df.select(F.col(id_col).alias("id"), F.array_sort(hashed_runs(tokens, n)).alias("s"))
-    rows = written(rows.withColumn("key", F.sha2(F.to_json("s"), 256))).where(F.size("s") > 0)
-    members = rows.select("id", "key")
-    sets = rows.groupBy("key").agg(F.min_by("s", "id").alias("s"))
-    some = sets.where(F.pmod(F.xxhash64("key"), F.lit(sample)) == 0).select(F.explode("s").alias("h")).groupBy("h").count().where(F.col("count") >= frequent).select("h")
-    sets = sets.join(F.broadcast(bloom_row(some, "h")), how="cross")  # one row
-    order = F.concat(F.filter("s", lambda h: ~in_bloom(h, F.col("bloom"))), F.filter("s", lambda h: in_bloom(h, F.col("bloom"))))
-    sets = written(sets.select("key", "s", F.slice(order, 1, (F.size("s") - F.ceil(F.size("s") * threshold) + 1).cast("int")).alias("p")))
-    posts = sets.select("key", F.size("s").alias("n"), F.explode("p").alias("g"))
-    b = posts.select(F.col("key").alias("kb"), F.col("n").alias("nb"), "g")
-    fits = (F.col("ka") < F.col("kb")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-    found = posts.select(F.col("key").alias("ka"), F.col("n").alias("na"), "g").join(b, "g").where(fits).select("ka", "kb").distinct()
+    # the filter comes after the write: pushed into the scan it would compute the shingles twice
+    return written(rows.withColumn("key", F.sha2(F.to_json("s"), 256))).where(F.size("s") > 0)
+
+
+def heads(rows: DataFrame) -> DataFrame:
+    """``key, head, s``, written: one row a shingle set, with the smallest id that has it."""
+    return written(rows.groupBy("key").agg(F.min("id").alias("head"), F.first("s").alias("s")))
+
+
+def verified(found: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``ka, kb, jaccard`` of candidates that are alike: sets move once for each candidate side."""
     left, right = sets.select(F.col("key").alias("ka"), F.col("s").alias("sa")), sets.select(F.col("key").alias("kb"), F.col("s").alias("sb"))
     inter = F.size(F.array_intersect("sa", "sb"))
     value = inter / (F.size("sa") + F.size("sb") - inter)
-    alike = found.join(left, "ka").join(right, "kb").select("ka", "kb", value.alias("jaccard")).where(F.col("jaccard") >= threshold)
-    ma, mb = members.select(F.col("id").alias("x"), F.col("key").alias("ka")), members.select(F.col("id").alias("y"), F.col("key").alias("kb"))
+    return found.join(left, "ka").join(right, "kb").select("ka", "kb", value.alias("jaccard")).where(F.col("jaccard") >= threshold)
+
+
+def prefix_candidates(sets: DataFrame, threshold: float, sample: int = 16, frequent: int = 4) -> DataFrame:
+    """``ka, kb`` of all sets that may be alike. A pair must share one of the first n - ceil(threshold n) + 1 shingles of any global order; a
+    shared shingle at places i and j (from 0) leaves room for at most min(i, j) + min(na - i, nb - j) common ones. The order puts shingles last
+    that ``frequent`` of a ``sample``-th of the sets hold, so lists stay short: which these are changes the work, never the result."""
+    some = sets.where(F.pmod(F.xxhash64("key"), F.lit(sample)) == 0).select(F.explode("s").alias("h")).groupBy("h").count().where(F.col("count") >= frequent).select("h")
+    marked = sets.join(F.broadcast(bloom_row(some, "h")), how="cross")  # one row
+    order = F.concat(F.filter("s", lambda h: ~in_bloom(h, F.col("bloom"))), F.filter("s", lambda h: in_bloom(h, F.col("bloom"))))
+    n = F.size("s")
+    posts = written(marked.select("key", n.alias("n"), F.posexplode(F.slice(order, 1, (n - F.ceil(n * threshold) + 1).cast("int"))).alias("i", "g")))
+    b = posts.select(F.col("key").alias("kb"), F.col("n").alias("nb"), F.col("i").alias("j"), "g")
+    least = F.ceil(F.lit(threshold) / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-9)
+    fits = (F.col("ka") < F.col("kb")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb")) & (F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j")) + F.least("i", "j") >= least)
+    return posts.select(F.col("key").alias("ka"), F.col("n").alias("na"), "i", "g").join(b, "g").where(fits).select("ka", "kb").distinct()
+
+
+def expanded(alike: DataFrame, rows: DataFrame) -> DataFrame:
+    """``a, b, jaccard`` between ids (a < b) from pairs of keys, and between ids of equal sets."""
+    ma, mb = rows.select(F.col("id").alias("x"), F.col("key").alias("ka")), rows.select(F.col("id").alias("y"), F.col("key").alias("kb"))
     between = alike.join(ma, "ka").join(mb, "kb").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "jaccard")
     copies = ma.join(mb, F.col("ka") == F.col("kb")).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b"), F.lit(1.0).alias("jaccard"))
     return between.where("a < b").union(copies)
 
 
+def jaccard_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float, n: int = 5, sample: int = 16, frequent: int = 4) -> DataFrame:
+    """``a, b, jaccard`` for pairs of different ids (a < b) whose shingle sets are at least ``threshold`` alike.
+
+    Equal sets are one while pairs are searched (:func:`prefix_candidates`, exact). Texts without shingles pair with nothing. Copies come
+    out as pairs, as every other pair does."""
+    rows = shingled(df, id_col, text_col, n)
+    sets = heads(rows)
+    return expanded(verified(prefix_candidates(sets, threshold, sample, frequent), sets, threshold), rows)
+
+
+def banding(threshold: float, permutations: int = 128, recall: float = 0.99999) -> tuple[int, int]:
+    """Bands and rows a band: the longest rows by which a pair at the threshold still meets in some band with the given probability."""
+    fits = [r for r in range(1, permutations + 1) if 1 - (1 - threshold**r) ** (permutations // r) >= recall]
+    if not fits:
+        raise ValueError(f"{permutations} permutations can't give recall {recall} at {threshold}")
+    return permutations // fits[-1], fits[-1]
+
+
+def minhash(permutations: int = 128, seed: int = 1):
+    """Arrow UDF array of 64-bit hashes -> sketch: for each of ``permutations`` hash functions the least value over the array, as int. The
+    functions are multiply-add-shift with odd multipliers drawn from ``seed``. An empty array has an empty sketch."""
+    rng = np.random.default_rng(seed)
+    mul, add = rng.integers(0, 2**63, permutations, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, permutations, dtype=np.uint64)
+
+    @F.pandas_udf("array<int>")
+    def sketch(sets: pd.Series) -> pd.Series:
+        def one(hashes):
+            x = np.asarray(hashes, np.int64).view(np.uint64)
+            least = np.full(permutations, 2**31 - 1, np.int64)
+            for part in range(0, len(x), 4096):  # long texts in pieces
+                least = np.minimum(least, ((x[part : part + 4096, None] * mul + add) >> np.uint64(33)).astype(np.int64).min(axis=0))
+            return least.astype(np.int32) if len(x) else np.zeros(0, np.int32)
+
+        return sets.map(one)
+
+    return sketch
+
+
+def sketched(sets: DataFrame, permutations: int = 128, seed: int = 1) -> DataFrame:
+    """Adds ``sketch`` to ``heads``, written."""
+    workers_find_package(sets.sparkSession)
+    return written(sets.withColumn("sketch", minhash(permutations, seed)("s")))
+
+
+def estimated(a, b):
+    """The estimate of the Jaccard similarity of two sketches: the share of equal places, off by sqrt(j (1 - j) / permutations) on average."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x) / F.size(a)
+
+
+def banded_candidates(sets: DataFrame, threshold: float, recall: float = 0.99999) -> DataFrame:
+    """``ka, kb, estimate`` of sketches that are equal in one band at least and whose estimate is within four deviations of the threshold.
+
+    A band's values join as one 64-bit hash. What is shuffled is one row a band, whatever a text's length."""
+    permutations = sets.select(F.max(F.size("sketch"))).first()[0] or 128
+    bands, rows = banding(threshold, permutations, recall)
+    band = F.array(*(F.xxhash64(F.lit(i), F.slice("sketch", i * rows + 1, rows)) for i in range(bands)))
+    posts = written(sets.select("key", F.size("s").alias("n"), F.explode(band).alias("g")))
+    b = posts.select(F.col("key").alias("kb"), F.col("n").alias("nb"), "g")
+    fits = (F.col("ka") < F.col("kb")) & (F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
+    met = posts.select(F.col("key").alias("ka"), F.col("n").alias("na"), "g").join(b, "g").where(fits).select("ka", "kb").distinct()
+    left, right = sets.select(F.col("key").alias("ka"), F.col("sketch").alias("x")), sets.select(F.col("key").alias("kb"), F.col("sketch").alias("y"))
+    least = threshold - 4 * (threshold * (1 - threshold) / permutations) ** 0.5
+    return met.join(left, "ka").join(right, "kb").select("ka", "kb", estimated(F.col("x"), F.col("y")).alias("estimate")).where(F.col("estimate") >= least)
+
+
+def minhash_pairs(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85, n: int = 5, permutations: int = 128, exact: bool = True) -> DataFrame:
+    """As :func:`jaccard_pairs`, found by sketches: ``a, b, jaccard``. With ``exact`` candidates are compared on whole sets, so only pairs that meet in
+    no band are lost (:func:`banding` says how likely that is); without it the estimate stands for the similarity and no set moves."""
+    rows = shingled(df, id_col, text_col, n)
+    sets = sketched(heads(rows), permutations)
+    found = banded_candidates(sets, threshold)
+    alike = verified(found.select("ka", "kb"), sets, threshold) if exact else found.where(F.col("estimate") >= threshold).select("ka", "kb", F.col("estimate").alias("jaccard"))
+    return expanded(alike, rows)
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """``id, root`` of every id of ``pairs(a, b)``: the smallest id of its component. Labels pass along pairs and jump to their
     label's label, so a chain's length halves in each round."""
@@ -120,8 +211,6 @@ def components(pairs: DataFrame) -> DataFrame:
 
 def greedy(pairs):
     """Kept ids of one component: in order of id, each that no kept smaller one pairs with."""
-    import pandas as pd
-
     plain = lambda x: tuple(x.values()) if isinstance(x, dict) else x  # noqa: E731  an id may be a struct
     smaller: dict = {}
     ids: dict = {}
@@ -175,15 +264,21 @@ def duplicate_groups(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return owner.groupBy("id").agg(F.array_sort(F.collect_list("b")).alias("dropped"))
 
 
-def near_dedupe(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85) -> DataFrame:
-    """``id, kept`` for every row; a blank text is never a duplicate. Equal texts collapse first, so a group of copies
-    contributes one row to the pairs and its other members are dropped with it or behind it."""
-    rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("h"))
-    heads = written(rows.where(F.trim("text") != "").groupBy("h").agg(F.min("id").alias("head")))
-    firsts = rows.join(heads, [rows.h == heads.h, rows.id == heads["head"]], "left_semi")
-    decided = keep_first(heads.select(F.col("head").alias("id")), written(jaccard_pairs(firsts, "id", "text", threshold).select("a", "b")))
-    of = heads.join(decided, heads["head"] == decided.id).select("h", "head", "kept")
-    return rows.join(of, "h", "left").select("id", F.when(F.col("head").isNull(), True).otherwise(F.col("kept") & (rows.id == F.col("head"))).alias("kept"))
+def near_dedupe(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.85, sketches: bool = False) -> DataFrame:
+    """``id, kept`` for every row, greedily in order of id; a blank text is never a duplicate. Equal shingle sets are one: the smallest id speaks for
+    them and the others are dropped with it or behind it, so a group of copies costs one row. ``sketches`` finds the pairs by MinHash bands."""
+    rows = shingled(df, id_col, text_col)
+    sets = heads(rows)
+    if sketches:
+        sets = sketched(sets)
+    found = banded_candidates(sets, threshold).select("ka", "kb") if sketches else prefix_candidates(sets, threshold)
+    alike = verified(found, sets, threshold)
+    name = lambda k, x: sets.select(F.col("key").alias(k), F.col("head").alias(x))
+    pairs = alike.join(name("ka", "x"), "ka").join(name("kb", "y"), "kb").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    decided = keep_first(sets.select(F.col("head").alias("id")), written(pairs)).where("kept").select("id", F.lit(True).alias("first"))
+    shown = rows.select("id", F.lit(True).alias("some"))
+    out = df.select(F.col(id_col).alias("id")).join(shown.groupBy("id").agg(F.max("some").alias("some")), "id", "left").join(decided, "id", "left")
+    return out.select("id", (F.col("some").isNull() | F.col("first").isNotNull()).alias("kept"))
 
 
 def decontaminate(df: DataFrame, tasks: DataFrame, id_col: str, text_col: str, task_id: str, task_text: str, n: int = 8, overlap: float = 0.5) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from traceloom.operators import clustering as K
@@ -188,6 +189,38 @@ def lloyd_step(spark, d):
     return K.lloyd_step(K.nearest_centroid(e, "embedding", _centroids(spark, d)), "embedding", "cluster").select("cluster", "dim", F.round("value", 5).alias("value"))
 
 
+def _rounds(n: int) -> str:
+    """SQL of n rounds of Lloyd from the first four vectors; an empty cluster keeps its centroid."""
+    out = ["v as materialized (select vec_id, embedding::double[] as x from embeddings where embedding is not null)", "r0 as materialized (select (row_number() over (order by vec_id) - 1)::int as cluster, x as c from (select * from v order by vec_id limit 4))"]
+    for i in range(n):
+        out.append(f"d{i} as (select vec_id, x, cluster, list_sum(list_transform(range(1, len(c) + 1), lambda k: pow(x[k] - c[k], 2))) as q from v, r{i}), a{i} as materialized (select vec_id, any_value(x) as x, arg_min(cluster, struct_pack(a := q, b := cluster)) as cluster from d{i} group by 1)")
+        out.append(f"m{i} as (select cluster, dim, avg(y) as y from (select cluster, unnest(range(1, len(x) + 1)) as dim, unnest(x) as y from a{i}) group by 1, 2), n{i} as (select cluster, list(y order by dim) as c from m{i} group by 1)")
+        out.append(f"r{i + 1} as materialized (select r{i}.cluster, coalesce(n{i}.c, r{i}.c) as c from r{i} left join n{i} on n{i}.cluster = r{i}.cluster)")
+    return "with " + ",\n ".join(out)
+
+
+@query("kmeans_ten_rounds", _rounds(10) + ", e as (select vec_id, arg_min(cluster, struct_pack(a := q, b := cluster)) as cluster from (select vec_id, cluster, list_sum(list_transform(range(1, len(c) + 1), lambda k: pow(x[k] - c[k], 2))) as q from v, r10) group by 1) select e.cluster, count(*) as n, md5(string_agg(vec_id::varchar, ',' order by vec_id)) as members from e group by 1")
+def kmeans_ten_rounds(spark, d):
+    """Clusters after ten rounds over the whole table from its first four vectors, each with a digest of its members."""
+    e = read_table(spark, d, "embeddings", "vec_id", "embedding").where("embedding is not null")
+    _, labelled = K.kmeans(e, "embedding", np.array(_centroids(spark, d)), most_rounds=10)
+    ids = F.array_join(F.transform(F.array_sort(F.collect_list("vec_id")), lambda x: x.cast("string")), ",")
+    return labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.md5(ids).alias("members"))
+
+
+@query("kmeans_first_seed", """with u as (select vec_id, (('0x' || substr(sha256('0:0:' || vec_id), 1, 12))::bigint::double + 1) / (pow(2, 48) + 1) as u from embeddings where embedding is not null), a as (select arg_min(vec_id, -ln(u)) as s from u),
+ x as (select e.vec_id, list_sum(list_transform(range(1, len(e.embedding) + 1), lambda i: pow(e.embedding[i]::double - c.embedding[i]::double, 2))) as q from embeddings e, embeddings c where c.vec_id = (select s from a) and e.embedding is not null),
+ w as (select x.vec_id, q, (('0x' || substr(sha256('0:1:' || vec_id), 1, 12))::bigint::double + 1) / (pow(2, 48) + 1) as u from x where q > 0)
+select 0 as round, s as vec_id from a union all select 1, arg_min(vec_id, -ln(u) / q) from w""")
+def kmeans_first_seed(spark, d):
+    """The first two seeds: one by hash alone, one drawn in proportion to the squared distance from it."""
+    e = read_table(spark, d, "embeddings", "vec_id", "embedding")
+    chosen = K.seeds(e, "vec_id", "embedding", 2)
+    at = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(chosen)], "round int, x array<double>")
+    met = e.select("vec_id", F.col("embedding").cast("array<double>").alias("x")).join(F.broadcast(at), "x")  # two rows
+    return met.groupBy("round").agg(F.min("vec_id").alias("vec_id"))
+
+
 @query("cosine_topk", """with q as (select embedding as q from embeddings order by vec_id limit 1), s as (select vec_id, list_sum(list_transform(range(1, len(q.q) + 1), lambda i: e.embedding[i]::double * q.q[i]::double)) as p,
   sqrt(list_sum(list_transform(e.embedding, lambda x: x::double * x::double))) * sqrt(list_sum(list_transform(q.q, lambda x: x::double * x::double))) as n from embeddings e, q)
 select vec_id, round(p / (n + 1e-9), 5) as score from s order by p / (n + 1e-9) desc, vec_id limit 5""")

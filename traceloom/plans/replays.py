@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import re
-import zlib
-
-import pandas as pd
 from pyspark.sql import functions as F
 
 from traceloom.operators import replay as E
@@ -17,14 +12,6 @@ from traceloom.plans.evaluation import r6
 from traceloom.sources.tables import read_table
 
 
-def as_json(traces):
-    return traces.select("trace", F.to_json(F.struct(F.col("trace").cast("string").alias("id"), F.col("trace").cast("string").alias("task_id"), "messages")).alias("json"))
-
-
-def neighbour(trace: dict):
-    return E.RecordedClient(trace["policy"])
-
-
 _RUN = f"""{V.CALLS}, w as (select a.trace, b.turn, b.tool, b.args from (select distinct trace from v_call) a join v_call b on b.trace = a.trace + 1 and b.turn <= 12),
  m as (select w.*, exists (select 1 from v_call r where r.trace = w.trace and r.tool = w.tool and r.args = w.args) as known from w),
  n as (select trace, count(*) as calls from v_call group by 1), x as (select a.trace, min(m.turn) filter (where not known) as miss, any_value(n.calls) as calls from (select distinct trace from v_call) a join n on n.trace = a.trace + 1 join m on m.trace = a.trace group by 1)"""
@@ -34,16 +21,30 @@ _RUN = f"""{V.CALLS}, w as (select a.trace, b.turn, b.tool, b.args from (select
 def replay_run(spark, d):
     """Each user's recording, run by the policy of the next user."""
     t = V.call_traces(spark, d)
-    policy = t.select((F.col("trace") - 1).alias("trace"), F.col("messages").alias("policy"))
-    both = t.join(policy, "trace").select(F.to_json(F.struct(F.col("trace").cast("string").alias("id"), F.col("trace").cast("string").alias("task_id"), "messages", "policy")).alias("json"))
-    return E.run_eval(both, neighbour, trace_col="json", grader=E.no_divergence_grader).select("task_id", "n_turns", "n_tool_calls", "diverged", "stop_reason")
+    policy = E.recorded_turns(t).withColumn("task", F.col("task") - 1)
+    out = E.play(policy.join(t.select(F.col("trace").alias("task")), "task", "semi"), E.recorded_calls(t))
+    return out.select(F.col("task").cast("string").alias("task_id"), "n_turns", "n_tool_calls", "diverged", "stop_reason")
 
 
 @query("replay_own", f"with {V.CALLS}, n as (select trace, count(*) as c from v_call group by 1) select trace::varchar as task_id, r.range::integer as repeat_idx, c < 12 as success, least(c, 12)::integer as replayed, 0::integer as fuzzy from n, range(2) r")
 def replay_own(spark, d):
     """Every recording run by itself, twice: what is recorded comes back."""
-    out = E.run_eval(as_json(V.call_traces(spark, d)), lambda t: E.RecordedClient(t["messages"]), trace_col="json", repeats=2)
-    return out.select("task_id", "repeat_idx", "success", "replayed", "fuzzy")
+    t = V.call_traces(spark, d)
+    out = E.play(E.recorded_turns(t, repeats=2), E.recorded_calls(t))
+    return out.select(F.col("task").cast("string").alias("task_id"), F.col("repeat").alias("repeat_idx"), E.clean_grade().alias("success"), "replayed", "fuzzy")
+
+
+@query("replay_served", f"""with {V.CALLS}, i as (select trace, tool, args, min(id) as first from v_call group by all), w as (select v.trace + 1 as trace, v.turn, v.tool, v.args from v_call v where exists (select 1 from v_call x where x.trace = v.trace + 1)),
+ e as (select w.*, i.first from w left join i on i.trace = w.trace and i.tool = w.tool and i.args = w.args)
+select trace, turn, tool, case when first is null then 'diverged' else 'replayed' end as served, first::varchar as answer, case when first is null and exists (select 1 from v_call r where r.trace = e.trace and r.tool = e.tool and r.args = e.args) then 1.0 end as score from e""")
+def replay_served(spark, d):
+    """Every call of the user before, asked of each user's recording: exact answers and divergences with the nearest record in one plan. Arguments
+    have one key, so a call that isn't recorded shares no token with those that are."""
+    c = V.calls(spark, d)
+    asked = c.select((F.col("trace") + 1).alias("task"), "turn", "tool", "args").join(c.select(F.col("trace").alias("task")).distinct(), "task", "semi")
+    known = c.select(F.col("trace").alias("task"), F.col("id").alias("ord"), "tool", "args", F.col("id").cast("string").alias("result"))
+    out = E.serve(asked, known)
+    return out.select(F.col("task").alias("trace"), "turn", "tool", "served", F.when(F.col("served") == "replayed", F.col("answer")).alias("answer"), "score")
 
 
 @query("calls_made", f"with {V.CALLS} select trace, count(*)::integer as n, md5(string_agg(tool, '>' order by turn)) as h from v_call group by 1")
@@ -64,14 +65,9 @@ def rollout_traces(spark, d):
     return E.rollout_traces(t).groupBy("id", "content_hash").agg(F.count(F.lit(1)).alias("n"))
 
 
-def words(text: str):
-    """Tokens between blanks; the id is a checksum."""
-    return [(zlib.crc32(m[0].encode()) % 30000, m.start(), m.end()) for m in re.finditer(r"\S+", text)]
-
-
 def conversations(spark, d):
-    t = V.turns(spark, d).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("messages"))
-    return t.select("conv_id", F.to_json(F.struct(F.col("conv_id").cast("string").alias("id"), "messages")).alias("trace"))
+    """Messages of conversations."""
+    return V.turns(spark, d).select(F.col("conv_id").cast("string").alias("trace_id"), "turn", "role", "text")
 
 
 _WORDS = r"len(regexp_extract_all({0}, '[^\s]+'))"
@@ -79,7 +75,7 @@ _WORDS = r"len(regexp_extract_all({0}, '[^\s]+'))"
 
 @query("loss_masks", rf"""with w as (select conv_id, role, {_WORDS.format('text')} as n from conversations) select conv_id::varchar as trace_id, 'trajectory' as kind, (sum(n) + 2 * count(*))::integer as n_tokens, coalesce(sum(n) filter (where role = 'assistant'), 0)::integer as n_target_tokens from w group by 1 having coalesce(sum(n) filter (where role = 'assistant'), 0) > 0""")
 def loss_masks(spark, d):
-    return M.build_samples(conversations(spark, d), words, 1 << 30).select("trace_id", "kind", "n_tokens", "n_target_tokens")
+    return M.build_samples(conversations(spark, d), M.word_ids, 1 << 30).select("trace_id", "kind", "n_tokens", "n_target_tokens")
 
 
 @query("window_samples", rf"""with s as (select conv_id, turn, role, {_WORDS.format('text')} as n from conversations), b as (select *, row_number() over (partition by conv_id order by turn) - 1 as i from s where role <> 'system'),
@@ -87,21 +83,14 @@ def loss_masks(spark, d):
 select conv_id::varchar as trace_id, i::integer as turn_index, st::integer as window_start, n::integer as n_tokens from x where n <= 200""")
 def window_samples(spark, d):
     """Windows of two messages before each answer, of at most 200 tokens."""
-
-    def cut(frames):
-        for pdf in frames:
-            rows = []
-            for text in pdf["trace"]:
-                x = json.loads(text)
-                rows += [(x["id"], i, s, n) for i, s, m in M.windows(x["messages"], 2) if (n := len(words(M.render(m)[0]))) <= 200]
-            yield pd.DataFrame(rows, columns=["trace_id", "turn_index", "window_start", "n_tokens"])
-
-    return conversations(spark, d).select("trace").mapInPandas(cut, "trace_id string, turn_index int, window_start int, n_tokens int")
+    parts = M.windows(M.in_order(M.tokenized(conversations(spark, d), M.word_ids), "trace_id", "turn"), "trace_id", 2)
+    n = F.aggregate("said", F.lit(0), lambda a, m: a + F.size(m["ids"]))
+    return parts.select("trace_id", "turn_index", "window_start", n.alias("n_tokens")).where("n_tokens <= 200")
 
 
 @query("target_tokens", rf"select conv_id::varchar as trace_id, coalesce(sum({_WORDS.format('text')}) filter (where role = 'assistant'), 0)::integer as n from conversations group by 1 having n > 0")
 def target_tokens(spark, d):
-    s = M.build_samples(conversations(spark, d), words, 1 << 30)
+    s = M.build_samples(conversations(spark, d), M.word_ids, 1 << 30)
     return s.select("trace_id", F.size(M.targets(F.col("labels"), F.col("input_ids"))).alias("n"))
 
 
