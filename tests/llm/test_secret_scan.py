@@ -114,3 +114,12 @@ def test_redaction_keeps_rows_and_columns(spark):
 
 def test_empty_table(spark):
     assert S.find_secrets(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_placeholder_is_judged_by_its_whole_value():
+    inner = "aB3" * 26
+    for value, secret in ((f"<{inner}39more", True), (f"<{inner}>", False), ("${" + inner + "}", False), ("${" + inner + "}x9", True), ("%(" + inner + ")s", False), ("x" * 90, False), ("your-" + inner, False)):
+        text = f'db_pwd = "{value}"'
+        found = [s for w, s, e in S.literals(text) if (s, e) in S.scored(text, S.literals(text))]
+        assert bool(found) == secret, value
+    assert S.scored(t := 'db.passphrase = "correct horse battery staple"', S.literals(t)) == []  # stated in the docstring

@@ -4,6 +4,8 @@ The lexer reads ``name <op> expression`` pairs as they occur in source code, she
 An expression is a chain of string literals, bare words and names joined by ``+`` or ``.``; names that an earlier
 assignment of the same text bound to a literal are replaced by that literal's place (constant propagation, in text order,
 last binding wins). A literal is scored by how sensitive the target name is, times how much the value looks like a secret.
+A value with a blank inside isn't reported, since messages and labels bear the same names (``password = "enter your password"``); so a passphrase
+of several words is found only where a fixed pattern finds it.
 Work and memory are linear in a text's length: places are kept instead of values, and a bare word in which assignments nest
 is read once.
 
@@ -39,7 +41,9 @@ SENSITIVE = {
     "credentials": 0.9, "auth": 0.7, "bearer": 0.9, "private": 0.6, "key": 0.6, "access": 0.4, "api": 0.4, "client": 0.2, "signing": 0.6,
     "encryption": 0.6, "salt": 0.6, "dsn": 0.6, "conn": 0.3, "session": 0.5, "cookie": 0.5, "pin": 0.4, "license": 0.3,
 }
-PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|none|null|true|false|changeme|example|<.*>|\$\{.*\}|%\(.*\)s|\.+|-+)$|(?i:^your[-_])")
+PLACEHOLDERS = re.compile(r"(?i)(?:x+|\*+|none|null|true|false|changeme|example|\.+|-+)\Z|your[-_]")
+# how values that stand for others begin and end
+STANDINS = [("<", ">"), ("${", "}"), ("%(", ")s")]
 # a name starts where no longer one could have: a long run of letters is tried once
 TARGET = r"""(?<![A-Za-z0-9_$.>:-])([A-Za-z_$][A-Za-z0-9_$]*+(?:(?:\.|->|::|-)[A-Za-z_$][A-Za-z0-9_$]*+|\[["'][A-Za-z0-9_.-]++["']\])*+)["'`]?"""
 #: An assignment ends at its operator; what follows is read as an expression.
@@ -77,6 +81,11 @@ def likeness(counts: Counter, size: int) -> float:
     return min(1.0, entropy / 3.5) * (0.5 + 0.5 * min(1.0, (len(kinds) - 1) / 2)) if kinds else 0.0
 
 
+def placeholder(text: str, s: int, e: int) -> bool:
+    """Whether a value only stands for another. The whole value counts, without a copy of it."""
+    return PLACEHOLDERS.match(text, s, e) is not None or any(text.startswith(a, s, e) and text.endswith(b, s, e) for a, b in STANDINS)
+
+
 def scored(text: str, places: list[tuple[float, int, int]]) -> list[tuple[int, int]]:
     """The places whose weight times likeness reaches THRESHOLD. Places that end together, as values within one bare word,
     are counted from the shortest on, so each character is counted once."""
@@ -90,10 +99,9 @@ def scored(text: str, places: list[tuple[float, int, int]]) -> list[tuple[int, i
         for s in sorted(starts, reverse=True):
             counts.update(text[s:done])
             done = s
-            value = text[s : s + 80] if e - s > 80 else text[s:e]
             if counts[" "] and " " in text[s:e].strip():
                 continue
-            if starts[s] * likeness(counts, e - s) >= THRESHOLD and not PLACEHOLDERS.match(value):
+            if starts[s] * likeness(counts, e - s) >= THRESHOLD and not placeholder(text, s, e):
                 out.append((s, e))
     return out
 
