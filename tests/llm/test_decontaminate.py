@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -85,8 +86,9 @@ def test_recall_of_the_look_up(length, rate):
             x[i : i + 1] = [[], new, [x[i], *new]][kind]
         noise = lambda: (rng.integers(1, 300, 40).astype(np.uint64) * D.ODD).tolist()
         h = np.array([*noise(), *x, *noise()], np.uint64)
-        key = block.proposed(h, np.array([0, len(h)]))
-        size = len(D.padded(h, np.array([0, len(h)]))[0]) + 1
+        text, begin = D.padded(h, np.array([0, len(h)]))
+        key = np.concatenate(list(block.proposed(text, begin)))
+        size = len(text) + 1
         starts = key[key // size == k] % size
         found += bool((np.abs(starts - 40) <= int(0.2 * length)).any())
     print(length, rate, found / 200)
@@ -124,3 +126,39 @@ def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
     assert D.find_leaks(none, bench).count() == 0 and D.drop_leaks(spark.createDataFrame([(1, "a")], "doc_id long, text string"), bench).count() == 1
+
+
+def test_items_that_begin_alike_stay_within_memory(monkeypatch):
+    """2,000 items with the same 14 words first, and a text that repeats these words: all items are proposed at each repetition, a part at a time."""
+    monkeypatch.setattr(D, "MOST_PROPOSED", 50_000)
+    monkeypatch.setattr(D, "PIECE", 100_000)
+    rng = np.random.default_rng(0)
+    word = lambda n: (rng.integers(1, 2**62, n).astype(np.uint64) * np.uint64(2)) + np.uint64(1)
+    head = word(14)
+    items = [np.concatenate([head, word(26)]) for _ in range(2_000)]
+    block = D.Block(list(range(2_000)), items, D.MAX_EDIT, D.RECALL)
+    text = np.concatenate([np.tile(head, 15), items[7], np.tile(head, 15), items[1_234][:30], word(2), items[1_234][32:]])
+    first = np.array([0, len(text)])
+    sizes = [len(p) for p in block.proposed(*D.padded(text, first))]
+    assert len(sizes) > 1 and max(sizes) < D.MOST_PROPOSED + 2_100
+    tracemalloc.start()
+    found = block.find(text, first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(found[:, 1].tolist()) == [7, 1_234] and sorted(found[:, 4].tolist()) == [0, 2]
+    assert peak < 100_000_000
+
+
+@pytest.mark.parametrize("most", [1, 50, 10**6])
+def test_parts_of_proposals_change_nothing(monkeypatch, most):
+    monkeypatch.setattr(D, "MOST_PROPOSED", most)
+    rng = np.random.default_rng(5)
+    items = [(rng.integers(1, 40, int(n)).astype(np.uint64) * D.ODD) for n in rng.integers(5, 60, 40)]
+    block = D.Block(list(range(40)), items, D.MAX_EDIT, D.RECALL)
+    text = np.concatenate([x for k in rng.permutation(40)[:15] for x in (items[k], rng.integers(1, 40, 9).astype(np.uint64) * D.ODD)])
+    assert len(block.find(text, np.array([0, len(text)]))) >= 15
+    key = lambda x: x.tolist()
+    monkeypatch.setattr(D, "MOST_PROPOSED", 10**7)
+    whole = key(block.find(text, np.array([0, len(text)])))
+    monkeypatch.setattr(D, "MOST_PROPOSED", most)
+    assert key(block.find(text, np.array([0, len(text)]))) == whole

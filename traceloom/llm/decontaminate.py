@@ -28,6 +28,7 @@ judged by its own text; equal items are all reported. Texts are scanned whole.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,8 @@ GAP = SHAPES[0][2]
 MOST_STARTS = 64
 #: Elements that verification unpacks at once.
 PIECE = 1_000_000
+#: Windows that are proposed before they are looked at: about 100 bytes each while they are.
+MOST_PROPOSED = 500_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -179,31 +182,43 @@ class Block:
         bit[sign[kept] >> shift] = True
         return sign[kept], item[kept].astype(np.int32), place[kept].astype(np.int32), shift, bit
 
-    def proposed(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Ascending item * (len(padded) + 1) + start of the windows that a signature proposes; starts count in :func:`padded`."""
-        found = []
-        text, begin = padded(h, first)
+    def proposed(self, text: np.ndarray, begin: np.ndarray) -> Iterator[np.ndarray]:
+        """Ascending item * (len(text) + 1) + start of the windows that a signature proposes, of a :func:`padded` text. A part holds about MOST_PROPOSED of
+        them, or all of one place: items that begin alike each propose every place where a text has that beginning."""
+        found, size = [], 0
         for table, held in enumerate(self.tables):
             signs = signatures(text, table, list(held))
             for k, (sign, item, place, shift, bit) in held.items():
                 at = np.flatnonzero(bit[signs[k] >> shift])
                 mine = signs[k][at]
                 low, high = np.searchsorted(sign, mine, "left"), np.searchsorted(sign, mine, "right")
-                run, i = ragged(high - low)
-                i += low[run]
                 own = begin[np.searchsorted(begin, at, "right") - 1]  # a text may begin within an item
-                found.append(np.unique(item[i].astype(np.int64) * (len(text) + 1) + np.maximum(at[run] - place[i], own[run])))
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
-    def find(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Rows of (row, item, start word, end word, edits): the best stretch for each row and item."""
-        text, begin = padded(h, first)
-        keys = self.proposed(h, first)
+                total = np.cumsum(high - low)
+                cut = 0
+                while cut < len(at):
+                    end = max(cut + 1, int(np.searchsorted(total, (total[cut - 1] if cut else 0) + MOST_PROPOSED - size, "right")))
+                    run, i = ragged((high - low)[cut:end])
+                    i += low[cut:end][run]
+                    found.append(np.unique(item[i].astype(np.int64) * (len(text) + 1) + np.maximum(at[cut:end][run] - place[i], own[cut:end][run])))
+                    size += len(found[-1])
+                    cut = end
+                    if size >= MOST_PROPOSED:
+                        yield np.unique(np.concatenate(found))
+                        found, size = [], 0
+        if found:
+            yield np.unique(np.concatenate(found))
+
+    def windows(self, keys: np.ndarray, text: np.ndarray, begin: np.ndarray, first: np.ndarray) -> tuple:
+        """Item, start, text, and first and last place of each proposed window, with room for the allowed edits."""
         item, start = keys // (len(text) + 1), keys % (len(text) + 1)
         row = np.searchsorted(begin, start, "right") - 1
-        length, limit = self.length[item], self.limit[item]
-        lo = np.maximum(begin[row], start - limit)
-        hi = np.minimum(begin[row] + np.diff(first)[row], start + length + limit)
+        lo = np.maximum(begin[row], start - self.limit[item])
+        hi = np.minimum(begin[row] + np.diff(first)[row], start + self.length[item] + self.limit[item])
+        return item, start, row, lo, hi
+
+    def shares_words(self, keys: np.ndarray, text: np.ndarray, begin: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Whether each proposed window has as many words of its item as the allowed edits leave at least."""
+        item, start, row, lo, hi = self.windows(keys, text, begin, first)
         enough = np.zeros(len(keys), bool)
         size = np.maximum(hi - lo, 0)
         total = np.cumsum(size)
@@ -213,11 +228,19 @@ class Block:
             run, place = ragged(size[cut:end])
             word = text[lo[cut:end][run] + place]
             hit = self.has[arrays.mix(word ^ arrays.mix(item[cut:end].astype(np.uint64))[run]) >> self.shift]
-            enough[cut:end] = np.bincount(run, hit, end - cut) >= (length - limit)[cut:end]
+            enough[cut:end] = np.bincount(run, hit, end - cut) >= (self.length - self.limit)[item[cut:end]]
             cut = end
+        return enough
+
+    def find(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Rows of (row, item, start word, end word, edits): the best stretch for each row and item."""
+        text, begin = padded(h, first)
+        plausible = [keys[self.shares_words(keys, text, begin, first)] for keys in self.proposed(text, begin)]
+        keys = np.unique(np.concatenate(plausible)) if plausible else np.zeros(0, np.int64)
+        item, start, row, lo, hi = self.windows(keys, text, begin, first)
         out = []
-        for k in np.unique(item[enough]).tolist():
-            mine = np.flatnonzero(enough & (item == k))
+        for k in np.unique(item).tolist():
+            mine = np.flatnonzero(item == k)
             width = int(self.length[k] + 2 * self.limit[k])
             each = max(1, PIECE // (width + 1))
             for s in range(0, len(mine), each):
