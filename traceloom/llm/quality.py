@@ -150,54 +150,40 @@ def grouped(rows: DataFrame, least: int) -> DataFrame:
     return out
 
 
-def _sums():
-    return [F.count(F.lit(1)).alias("n"), *(F.sum(f).alias(f"s{i}") for i, f in enumerate(FEATURES)), *(F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])).alias(f"q{i}_{j}") for i, j in CELLS)]
+def _number(x: float) -> str:
+    return f"double('{x!r}')"
+
+
+def _sums() -> list:
+    """Aggregates as SQL text: hundreds of terms are one call to the JVM each, not one an operation."""
+    return [F.expr(x) for x in ["count(1) as n", *(f"sum({f}) as s{i}" for i, f in enumerate(FEATURES)), *(f"sum({FEATURES[i]} * {FEATURES[j]}) as q{i}_{j}" for i, j in CELLS)]]
 
 
 def _from_sums(table: DataFrame, keys: list[str], factor: float) -> DataFrame:
     """Mean and covariance, times ``factor`` and with the floor, from sums."""
-    mean = {f"m{i}": F.round(F.col(f"s{i}") / F.col("n"), 12) for i in range(P)}
-    at = table.select(*keys, "n", *(c.alias(k) for k, c in mean.items()), *(f"q{i}_{j}" for i, j in CELLS))
-    cov = lambda i, j: F.round(factor * (F.col(f"q{i}_{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")), 12) + (FLOOR**2 if i == j else 0.0)
-    return at.select(*keys, "n", *mean, *(cov(i, j).alias(f"c{i}_{j}") for i, j in CELLS))
+    at = table.selectExpr(*keys, "n", *(f"round(s{i} / n, 12) as m{i}" for i in range(P)), *(f"q{i}_{j}" for i, j in CELLS))
+    cov = lambda i, j: f"round({_number(factor)} * (q{i}_{j} / n - m{i} * m{j}), 12) + {_number(FLOOR**2 if i == j else 0.0)} as c{i}_{j}"
+    return at.selectExpr(*keys, "n", *(f"m{i}" for i in range(P)), *(cov(i, j) for i, j in CELLS))
 
 
 def _whitened(table: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, n, m*, w*_*, logdet`` from mean and covariance: w is the inverse of the covariance's Cholesky factor."""
-    c = F.col
     for j in range(P):  # the factor, a column at a time
-        square = c(f"c{j}_{j}")
-        for k in range(j):
-            square = square - c(f"l{j}_{k}") * c(f"l{j}_{k}")
-        table = table.withColumn(f"l{j}_{j}", F.sqrt(F.greatest(square, F.lit(FLOOR**2 / 2))))
-        below = {}
-        for i in range(j + 1, P):
-            rest = c(f"c{i}_{j}")
-            for k in range(j):
-                rest = rest - c(f"l{i}_{k}") * c(f"l{j}_{k}")
-            below[f"l{i}_{j}"] = rest / c(f"l{j}_{j}")
-        table = table.withColumns(below) if below else table
+        minus = lambda i: "".join(f" - l{i}_{k} * l{j}_{k}" for k in range(j))  # noqa: B023, E731
+        table = table.selectExpr("*", f"sqrt(greatest(c{j}_{j}{minus(j)}, {_number(FLOOR**2 / 2)})) as l{j}_{j}")
+        if j + 1 < P:
+            table = table.selectExpr("*", *(f"(c{i}_{j}{minus(i)}) / l{j}_{j} as l{i}_{j}" for i in range(j + 1, P)))
     for i in range(P):  # its inverse, a row at a time
-        row = {f"w{i}_{i}": 1 / c(f"l{i}_{i}")}
-        for j in range(i):
-            total = F.lit(0.0)
-            for k in range(j, i):
-                total = total + c(f"l{i}_{k}") * c(f"w{k}_{j}")
-            row[f"w{i}_{j}"] = -total / c(f"l{i}_{i}")
-        table = table.withColumns(row)
-    logdet = sum((2 * F.log(f"l{i}_{i}") for i in range(P)), F.lit(0.0))
-    return table.select(*keys, "n", *(f"m{i}" for i in range(P)), *(f"w{i}_{j}" for i, j in CELLS), logdet.alias("logdet"))
+        total = lambda j: " + ".join(f"l{i}_{k} * w{k}_{j}" for k in range(j, i))  # noqa: B023, E731
+        table = table.selectExpr("*", f"1 / l{i}_{i} as w{i}_{i}", *(f"-({total(j)}) / l{i}_{i} as w{i}_{j}" for j in range(i)))
+    logdet = " + ".join(f"2 * ln(l{i}_{i})" for i in range(P))
+    return table.selectExpr(*keys, "n", *(f"m{i}" for i in range(P)), *(f"w{i}_{j}" for i, j in CELLS), f"{logdet} as logdet")
 
 
 def distance():
     """Squared Mahalanobis distance of FEATURES under the columns m and w."""
-    total = F.lit(0.0)
-    for i in range(P):
-        z = F.lit(0.0)
-        for j in range(i + 1):
-            z = z + F.col(f"w{i}_{j}") * (F.col(FEATURES[j]) - F.col(f"m{j}"))
-        total = total + z * z
-    return total
+    z = lambda i: " + ".join(f"w{i}_{j} * ({FEATURES[j]} - m{j})" for j in range(i + 1))
+    return F.expr(" + ".join(f"pow({z(i)}, 2)" for i in range(P)))
 
 
 def starts(rows: DataFrame) -> DataFrame:
@@ -213,20 +199,19 @@ def starts(rows: DataFrame) -> DataFrame:
     mid = median(binned, "b")
     off = binned.join(mid, ["grp", "i"]).select("grp", "i", "n", F.abs(F.col("b") - F.col("mid")).alias("off"))
     spread = median(off, "off").withColumnRenamed("mid", "mad")
-    pick = lambda c, i: F.max(F.when(F.col("i") == i, F.col(c)))
-    wide = mid.join(spread, ["grp", "i"]).groupBy("grp").agg(*((pick("mid", i) / STEPS).alias(f"m{i}") for i in range(P)), *(F.sqrt(F.pow(1.4826 * pick("mad", i) / STEPS, 2) + FLOOR**2).alias(f"d{i}") for i in range(P)))
+    pick = lambda c, i: f"max(case when i = {i} then {c} end) / {STEPS}"
+    wide = mid.join(spread, ["grp", "i"]).groupBy("grp").agg(*(F.expr(f"{pick('mid', i)} as m{i}") for i in range(P)), *(F.expr(f"sqrt(pow(1.4826 * {pick('mad', i)}, 2) + {_number(FLOOR**2)}) as d{i}") for i in range(P)))
     wide = materialize(wide, "medians")
-    y = {f"y{i}": F.tanh((F.col(f) - F.col(f"m{i}")) / F.col(f"d{i}")) for i, f in enumerate(FEATURES)}
-    told = _beside(rows.select("grp", "salt", *FEATURES), wide, ["grp"]).select("grp", *(c.alias(k) for k, c in y.items()))
-    sums = told.groupBy("grp").agg(F.count(F.lit(1)).alias("k"), *(F.sum(f"y{i}").alias(f"s{i}") for i in range(P)), *(F.sum(F.col(f"y{i}") * F.col(f"y{j}")).alias(f"q{i}_{j}") for i, j in CELLS))
-    moment = lambda i, j: F.col("k") * F.col(f"q{i}_{j}") - F.col(f"s{i}") * F.col(f"s{j}")
+    told = _beside(rows.select("grp", "salt", *FEATURES), wide, ["grp"]).selectExpr("grp", *(f"tanh(({f} - m{i}) / d{i}) as y{i}" for i, f in enumerate(FEATURES)))
+    sums = told.groupBy("grp").agg(*(F.expr(x) for x in ["count(1) as k", *(f"sum(y{i}) as s{i}" for i in range(P)), *(f"sum(y{i} * y{j}) as q{i}_{j}" for i, j in CELLS)]))
+    moment = lambda i, j: f"(k * q{i}_{j} - s{i} * s{j})"
     # a statistic that doesn't vary correlates with none
-    related = lambda i, j: F.coalesce(F.try_divide(moment(i, j), F.sqrt(F.greatest(moment(i, i) * moment(j, j), F.lit(0.0)))), F.lit(0.0))
-    corr = sums.select("grp", *(F.round(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), related(i, j))), 9).alias(f"r{i}_{j}") for i, j in CELLS if i != j))
+    related = lambda i, j: f"coalesce(try_divide({moment(i, j)}, sqrt(greatest({moment(i, i)} * {moment(j, j)}, {_number(0.0)}))), {_number(0.0)})"
+    corr = sums.selectExpr("grp", *(f"round(greatest(-1, least(1, {related(i, j)})), 9) as r{i}_{j}" for i, j in CELLS if i != j))
     both = wide.join(corr, "grp").withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     # shrunk towards the diagonal, so that the matrix is positive definite
-    cov = lambda i, j: F.pow(f"d{i}", F.lit(2)) if i == j else F.when(F.col("start") == 1, 0.9 * F.col(f"r{i}_{j}") * F.col(f"d{i}") * F.col(f"d{j}")).otherwise(0.0)
-    table = both.select("grp", "start", F.lit(0).cast("long").alias("n"), *(f"m{i}" for i in range(P)), *(cov(i, j).alias(f"c{i}_{j}") for i, j in CELLS))
+    cov = lambda i, j: f"pow(d{i}, 2) as c{i}_{j}" if i == j else f"case when start = 1 then {_number(0.9)} * r{i}_{j} * d{i} * d{j} else {_number(0.0)} end as c{i}_{j}"
+    table = both.selectExpr("grp", "start", "cast(0 as bigint) as n", *(f"m{i}" for i in range(P)), *(cov(i, j) for i, j in CELLS))
     out = materialize(_whitened(table, ["grp", "start"]), "estimates")
     discard(binned, wide)
     return out
