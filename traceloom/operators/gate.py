@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from traceloom.operators.ordered import running
+from traceloom.operators.similarity import written
 
 
 def bin_of(p, bins: int = 10) -> Column:
@@ -73,24 +74,125 @@ def entropy(logprobs) -> Column:
     return F.aggregate(e, F.lit(0.0), lambda a, x: a - (x / z) * F.log(x / z + 1e-12))
 
 
-def fit_calibrator(df: DataFrame, features: list[str], label: str = "y"):
-    """Gradient-boosted trees with missing indicators, then an isotonic curve on their scores. Returns (trees, curve, columns);
-    the classes and a column's being empty are checked first, and give a reason instead."""
+# Turns that a gate needs, rows of the rarer class in a fold, and from how many on a step curve is fitted.
+LEAST_TURNS, LEAST_PER_FOLD, LEAST_FOR_STEPS = 100, 10, 50
+
+
+def fit_refusals(df: DataFrame, by: list[str], features: list[str], label: str, least_turns: int = LEAST_TURNS, least_per_fold: int = LEAST_PER_FOLD) -> DataFrame:
+    """``n, minority, folds, method, reason`` for each group of turns: why no gate can be fitted (null if one can), else into how many folds and with which
+    curve. Reasons in order: too_few_turns, no_features, single_class, and fit_error where the rarer class can't fill two folds."""
+    has = lambda f: F.count(F.when(F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")), 1))
+    seen = sum((has(f) for f in features), F.lit(0))
+    ones = F.count(F.when(F.col(label) == 1, 1))
+    g = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), seen.alias("_seen"), ones.alias("_ones"))
+    rare = F.least(F.col("_ones"), F.col("n") - F.col("_ones"))
+    reason = F.when(F.col("n") < least_turns, "too_few_turns").when(F.col("_seen") == 0, "no_features").when(rare == 0, "single_class").when(rare < 2 * least_per_fold, "fit_error")
+    folds = F.greatest(F.lit(2), F.least(F.lit(5), F.floor(rare / least_per_fold))).cast("int")
+    fits = lambda c: F.when(F.col("reason").isNull(), c)
+    out = g.withColumns({"minority": rare, "reason": reason})
+    return out.select(*by, "n", "minority", fits(folds).alias("folds"), fits(F.when(rare >= LEAST_FOR_STEPS, "isotonic").otherwise("sigmoid")).alias("method"), "reason")
+
+
+def fold_of(task: Column, folds: int, seed: int = 0) -> Column:
+    """The fold of a task's turns, by hash."""
+    return F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(seed), task.cast("string")), 256), 1, 8), 16, 10).cast("long") % folds
+
+
+def fit_trees(df: DataFrame, features: list[str], label: str, seed: int = 0):
+    """Boosted trees over values and missing indicators of :func:`impute`."""
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
+
+    cols = [c for f in features for c in (f"{f}_v", f"{f}_m")]
+    vec = VectorAssembler(inputCols=cols, outputCol="_x")
+    trees = GBTClassifier(featuresCol="_x", labelCol=label, maxDepth=3, maxIter=20, stepSize=0.1, seed=seed).fit(vec.transform(df))
+    return lambda x: trees.transform(vec.transform(x)).withColumn("_s", _second(F.col("probability"))).drop("_x", "rawPrediction", "probability", "prediction")
+
+
+def out_of_fold(df: DataFrame, features: list[str], label: str, task: str, folds: int, seed: int = 0) -> DataFrame:
+    """``_s``: each row's score by trees that saw no turn of its task. A fold whose other folds hold one class gives no score."""
+    split = df.withColumn("_fold", fold_of(F.col(task), folds, seed))
+    parts = []
+    for k in range(folds):
+        rest = split.where(F.col("_fold") != k)
+        lo, hi = rest.agg(F.min(label), F.max(label)).first()
+        if lo is not None and lo != hi:
+            parts.append(fit_trees(rest, features, label, seed)(split.where(F.col("_fold") == k)))
+    if not parts:
+        return split.withColumn("_s", F.lit(None).cast("double")).limit(0).drop("_fold")
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out.drop("_fold")
+
+
+def fit_isotonic(df: DataFrame, score: str, label: str) -> DataFrame:
+    """``at, value``: the steps of the isotonic curve, from counts a distinct score."""
     from pyspark.ml.regression import IsotonicRegression
 
-    seen = df.agg(*(F.count(F.when(F.col(f).isNotNull() & ~F.isnan(f), 1)).alias(f) for f in features), F.min(label).alias("_lo"), F.max(label).alias("_hi")).first()
+    g = df.groupBy(F.col(score).cast("double").alias("_s")).agg(F.avg(F.col(label).cast("double")).alias("_m"), F.count(F.lit(1)).cast("double").alias("_n"))
+    model = IsotonicRegression(featuresCol="_s", labelCol="_m", weightCol="_n").fit(g)
+    return df.sparkSession.createDataFrame([(float(x), float(v)) for x, v in zip(model.boundaries, model.predictions, strict=True)], "at double, value double")
+
+
+def with_isotonic(df: DataFrame, score: str, curve: DataFrame) -> DataFrame:
+    """Adds ``calibrated``: the curve at a score, in a straight line between steps and level beyond its ends."""
+    steps = F.array_sort(F.collect_list(F.struct("at", "value")))
+    x = df.join(F.broadcast(curve.agg(steps.alias("_c"))), how="cross")  # one row
+    s = F.col(score).cast("double")
+    below, above = F.filter("_c", lambda c: c["at"] <= s), F.filter("_c", lambda c: c["at"] >= s)
+    lo, hi = F.get(below, F.size(below) - 1), F.get(above, F.lit(0))
+    line = lo["value"] + (hi["value"] - lo["value"]) * F.coalesce(F.try_divide(s - lo["at"], hi["at"] - lo["at"]), F.lit(0.0))
+    return x.withColumn("calibrated", F.coalesce(line, lo["value"], hi["value"])).drop("_c")
+
+
+def fit_sigmoid(df: DataFrame, score: str, label: str, rounds: int = 25) -> tuple[float, float]:
+    """Slope and offset of 1 / (1 + exp(-(a s + b))) with smoothed targets, by Newton's method: a round is one aggregate of five sums, and ends
+    the search when both change by less than 1e-10."""
+    import math
+
+    s, y = F.col(score).cast("double"), F.col(label).cast("double")
+    n1, n0 = df.agg(F.sum(y), F.sum(1 - y)).first()
+    x = df.select(s.alias("s"), F.when(y == 1, (n1 + 1) / (n1 + 2)).otherwise(1 / (n0 + 2)).alias("t"))
+    a, b = 0.0, math.log((n1 + 1) / (n0 + 1))
+    for _ in range(rounds):
+        m = 1 / (1 + F.exp(-(F.lit(a) * F.col("s") + F.lit(b))))
+        v = m * (1 - m)
+        ga, gb, aa, ab, bb = x.agg(F.sum((F.col("t") - m) * F.col("s")), F.sum(F.col("t") - m), F.sum(v * F.col("s") * F.col("s")) + 1e-12, F.sum(v * F.col("s")), F.sum(v) + 1e-12).first()
+        det = aa * bb - ab * ab
+        da, db = (bb * ga - ab * gb) / det, (aa * gb - ab * ga) / det
+        a, b = a + da, b + db
+        if max(abs(da), abs(db)) < 1e-10:
+            break
+    return a, b
+
+
+def fit_calibrator(df: DataFrame, features: list[str], label: str = "y", task: str = "task", seed: int = 0, least_turns: int = LEAST_TURNS, least_per_fold: int = LEAST_PER_FOLD) -> dict:
+    """A calibrated gate: ``reason`` if there is none, else ``score`` (a function that adds ``p`` to turns), ``method``, ``features``, and ``holdout``
+    (n, positive_rate, auroc, brier, ece of the out-of-fold probabilities).
+
+    The curve is fitted on scores of trees that saw no turn of the same task: a step curve where the rarer class is large enough, else a
+    sigmoid. The trees that are kept learn from all turns."""
+    seen = df.agg(*(F.count(F.when(F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")), 1)).alias(f) for f in features)).first()
     used = [f for f in features if seen[f]]
-    if seen["_lo"] is None or seen["_lo"] == seen["_hi"] or not used:
-        return None, None, "single class" if used else "no feature has a value"
+    plan = fit_refusals(df.withColumn("_all", F.lit(0)), ["_all"], features, label, least_turns, least_per_fold).first()
+    if plan is None or plan.reason:
+        return {"reason": plan.reason if plan else "too_few_turns", "features": used, "method": None, "holdout": None, "score": None}
     wide = impute(df, used)
-    cols = [c for f in used for c in (f"{f}_v", f"{f}_m")]
-    vec = VectorAssembler(inputCols=cols, outputCol="_x").transform(wide)
-    trees = GBTClassifier(featuresCol="_x", labelCol=label, maxDepth=3, maxIter=20, stepSize=0.1, seed=0).fit(vec)
-    scored = trees.transform(vec).withColumn("_s", _second(F.col("probability")))
-    curve = IsotonicRegression(featuresCol="_s", labelCol=label).fit(scored.select(label, "_s"))
-    return trees, curve, cols
+    held = written(out_of_fold(wide, used, label, task, plan.folds, seed))
+    if not held.limit(1).count():
+        return {"reason": "fit_error", "features": used, "method": None, "holdout": None, "score": None}
+    if plan.method == "isotonic":
+        curve = fit_isotonic(held, "_s", label)
+        calibrate = lambda x: with_isotonic(x, "_s", curve).withColumnRenamed("calibrated", "p")
+    else:
+        a, b = fit_sigmoid(held, "_s", label)
+        calibrate = lambda x: x.withColumn("p", 1 / (1 + F.exp(-(F.lit(a) * F.col("_s") + F.lit(b)))))
+    told = written(calibrate(held).select("p", F.col(label).alias("y")))
+    report = auroc_brier(told).first().asDict() | {"ece": ece(told).first().ece, "n": told.count()}
+    trees = fit_trees(wide, used, label, seed)
+    drop = [c for f in used for c in (f"{f}_v", f"{f}_m")] + ["_s"]
+    return {"reason": None, "features": used, "method": plan.method, "holdout": report, "score": lambda x: calibrate(trees(impute(x, used))).drop(*drop)}
 
 
 def impute(df: DataFrame, features: list[str]) -> DataFrame:

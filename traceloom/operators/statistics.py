@@ -55,8 +55,23 @@ def mcnemar(pairs: DataFrame) -> DataFrame:
     return c.withColumn("p", F.when(n == 0, 1.0).otherwise(F.least(F.lit(1.0), 2 * terms)))
 
 
+#: Pairs up to which the signed-rank p-value without ties is exact.
+MOST_EXACT = 50
+
+
+def signed_rank_p(n: Column, w: Column) -> Column:
+    """The exact two-sided p-value of the smaller rank sum ``w`` of ``n`` different absolute differences: of the 2^n sets of ranks those with a sum up
+    to w are counted, one rank at a time, over an array of sums."""
+    zeros = lambda k: F.array_repeat(F.lit(0.0), k)
+    add = lambda c, i: F.zip_with(F.concat(c, zeros(i)), F.concat(zeros(i), c), lambda x, y: x + y)
+    counts = F.aggregate(F.sequence(F.lit(1), n.cast("int")), F.array(F.lit(1.0)), add)
+    below = F.aggregate(F.slice(counts, F.lit(1), F.floor(w).cast("int") + 1), F.lit(0.0), lambda s, x: s + x)
+    return F.when(n < 1, 1.0).otherwise(F.least(F.lit(1.0), 2 * below / F.pow(F.lit(2.0), n)))
+
+
 def wilcoxon(pairs: DataFrame) -> DataFrame:
-    """Signed-rank sums with mid-ranks, zeros dropped: n, w_plus, w_minus, and p by the normal approximation with ties."""
+    """Signed-rank sums with mid-ranks, zeros dropped: n, w_plus, w_minus, and p: exact for up to MOST_EXACT pairs without ties, else by the normal
+    approximation with ties."""
     d = pairs.select((F.col("b") - F.col("a")).alias("d")).where("d <> 0").select(F.round(F.abs("d"), 9).alias("m"), (F.col("d") > 0).alias("up"))
     groups = d.groupBy("m").agg(F.count(F.lit(1)).alias("c"), F.count(F.when(F.col("up"), 1)).alias("u"))
     ranked = running(groups, [], ["m"], F.col("c"), "before").withColumn("r", F.col("before") + (F.col("c") + 1) / 2.0)
@@ -70,7 +85,9 @@ def wilcoxon(pairs: DataFrame) -> DataFrame:
     # complementary error function by a rational approximation (Abramowitz and Stegun 7.1.26)
     t = 1 / (1 + 0.3275911 * z / math.sqrt(2))
     erfc = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-z * z / 2)
-    return s.select("n", "w_plus", "w_minus", F.when(n == 0, 1.0).otherwise(F.least(F.lit(1.0), erfc)).alias("p"))
+    few = (n <= MOST_EXACT) & (F.col("ties") == 0)
+    exact = signed_rank_p(F.when(few, n).otherwise(0), F.least("w_plus", "w_minus"))
+    return s.select("n", "w_plus", "w_minus", F.when(n == 0, 1.0).when(few, exact).otherwise(F.least(F.lit(1.0), erfc)).alias("p"))
 
 
 def holm(df: DataFrame, p: str, by: list[str]) -> DataFrame:

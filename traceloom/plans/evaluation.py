@@ -141,6 +141,16 @@ def wilcoxon_w(spark, d):
     return S.wilcoxon(pairs(spark, d)).select("n", "w_plus", "w_minus")
 
 
+@query("signed_rank_p", """with recursive c(n, s, k) as (select 0, 0, 1.0::double union all select n, s, sum(k) from (select n + 1 as n, s, k from c where n < 25 union all select n + 1, s + n + 1, k from c where n < 25) group by n, s),
+ u as (select n, s, sum(k) over (partition by n order by s) / pow(2, n) as below from c), x as (select p_partkey, (p_size % 25 + 1)::int as n, p_partkey % ((p_size % 25 + 1) * (p_size % 25 + 2) // 4 + 1) as w from part)
+select p_partkey, round(least(1, 2 * below), 8) as p from x join u on u.n = x.n and u.s = x.w""")
+def signed_rank_p(spark, d):
+    """Exact p-values of up to 25 pairs, one a part."""
+    n = F.col("p_size") % 25 + 1
+    x = read_table(spark, d, "part", "p_partkey", "p_size").select("p_partkey", n.cast("int").alias("n"), (F.col("p_partkey") % (F.floor(n * (n + 1) / 4) + 1)).alias("w"))
+    return x.select("p_partkey", F.round(S.signed_rank_p(F.col("n"), F.col("w")), 8).alias("p"))
+
+
 @query("holm", f"""with {P}, q as (select task_id % 5 as g, cast(task_id as varchar) as name, abs(b - a) / 4 as p from v_pair),
  s as (select *, least(1, (count(*) over (partition by g) - row_number() over (partition by g order by p, name) + 1) * p) as s from q)
 select g, name, round(max(s) over (partition by g order by p, name rows unbounded preceding), 6) as adjusted from s""")

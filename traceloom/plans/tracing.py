@@ -9,6 +9,7 @@ from traceloom.functions import text as X
 from traceloom.operators import curate as U
 from traceloom.operators import curation as C
 from traceloom.operators import gate as G
+from traceloom.operators import samples as M
 from traceloom.operators import lifecycle as L
 from traceloom.operators import registry as K
 from traceloom.operators import turns as T
@@ -277,13 +278,64 @@ def tag_matches(spark, d):
     return read_table(spark, d, "part", "p_brand").select("p_brand", C.tag_matches(F.col("p_brand"), "Brand#?2").alias("fits"))
 
 
-@query("argument_masks", "select event_id, 2 as masked from events")
+@query("argument_masks", """select event_id, case event_id % 4 when 0 then props when 1 then replace(props, ' ', '') when 2 then props else json_extract_string(props, '$.k') end as masked, case event_id % 4 when 0 then 2 when 2 then 2 else 1 end::int as n from events""")
 def argument_masks(spark, d):
-    tokens, spans = F.array(*map(F.lit, ["call(", "a=1", ",b", ")"])), F.array(F.struct(F.lit(5).alias("a"), F.lit(10).alias("b")))
-    return read_table(spark, d, "events", "event_id").select("event_id", F.size(F.filter(T.token_mask(tokens, spans), lambda x: x)).alias("masked"))
+    """Tokens of generated calls that hold arguments: written as they are, compact where they were spaced, spaced where they were compact, or only
+    the value in a sentence."""
+    way, compact = F.col("event_id") % 4, F.replace(F.col("props"), F.lit(" "), F.lit(""))
+    shown = F.when(way.isin(0, 2), F.col("props")).when(way == 1, compact).otherwise(F.get_json_object("props", "$.k"))
+    e = read_table(spark, d, "events", "event_id", "event_type", "props").select("event_id", F.concat(F.lit("call "), "event_type", F.lit(" with "), shown, F.lit(" end")).alias("text"), F.when(way == 2, compact).otherwise(F.col("props")).alias("args"))
+    place = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,w:string>>").alias("out"))
+    one = lambda a, w: F.struct((a["at"] + F.length(w) + 1).alias("at"), F.concat(a["out"], F.array(F.struct(a["at"].alias("s"), (a["at"] + F.length(w)).alias("e"), w.alias("w")))).alias("out"))
+    e = e.withColumn("tokens", F.aggregate(F.split("text", " "), place, one, lambda a: a["out"])).withColumn("spans", M.argument_spans(F.col("text"), F.col("args")))
+    mask = e.withColumn("mask", M.argument_mask(F.col("tokens"), F.col("spans")))
+    held = F.transform(F.filter(F.arrays_zip("tokens", "mask"), lambda x: x["mask"]), lambda x: x["tokens"]["w"])
+    return mask.select("event_id", F.array_join(held, " ").alias("masked"), F.size(held).alias("n"))
 
 
-@query("gate_fit_reasons", "select 'single class' as reason")
+_GATE = f"{V.SCORES}, g as (select doc_id, p, task, y, task % 5 as grp, case when task % 5 = 1 then null else p end as f, case when task % 5 = 2 then 1 else y end as z from v_score)"
+
+
+def gate_rows(spark, d):
+    """Scored turns in five groups: one has no feature, one has a single class, one is left with few turns."""
+    x = V.scores(spark, d).withColumn("grp", F.col("task") % 5)
+    return x.select("doc_id", "task", "grp", "p", "y", F.when(F.col("grp") != 1, F.col("p")).alias("f"), F.when(F.col("grp") == 2, 1).otherwise(F.col("y")).alias("z"))
+
+
+@query("gate_fit_reasons", f"""with {_GATE}, h as (select * from g where grp <> 3 or doc_id % 7 = 0) select grp, count(*) as n, case when count(*) < 4 then 'too_few_turns' when count(f) = 0 then 'no_features' when min(z) = max(z) then 'single_class'
+ when least(count(*) filter (where z = 1), count(*) filter (where z = 0)) < 4 then 'fit_error' end as reason from h group by 1""")
 def gate_fit_reasons(spark, d):
-    rows = V.scores(spark, d).select("p", F.lit(1).alias("y"))
-    return spark.createDataFrame([(G.fit_calibrator(rows, ["p"])[2],)], "reason string")
+    """Why a gate can't be fitted, for each group of turns."""
+    return G.fit_refusals(gate_rows(spark, d).where("grp <> 3 or doc_id % 7 = 0"), ["grp"], ["f"], "z", least_turns=4, least_per_fold=2).select("grp", "n", "reason")
+
+
+@query("gate_folds", f"with {V.SCORES} select doc_id, cast('0x' || substr(sha256('0:' || task), 1, 8) as bigint) % 5 as fold from v_score")
+def gate_folds(spark, d):
+    """Every task's turns lie in one fold."""
+    return V.scores(spark, d).select("doc_id", G.fold_of(F.col("task"), 5).alias("fold"))
+
+
+@query("gate_isotonic", f"""with {V.SCORES}, s as (select p, count(*) as n, sum(y) as u, row_number() over (order by p) as i from v_score group by p),
+ r as (select a.i as lo, b.i as hi, (select sum(u) / sum(n) from s where s.i between a.i and b.i) as m from s a join s b on a.i <= b.i),
+ k as (select s.p, s.i, r.lo, min(r.m) as m from s join r on r.lo <= s.i and r.hi >= s.i group by all) select p, round(max(m), 6) as calibrated from k group by p""")
+def gate_isotonic(spark, d):
+    """The isotonic curve at every distinct score."""
+    x = V.scores(spark, d).select("p", "y")
+    curve = G.fit_isotonic(x, "p", "y")
+    return G.with_isotonic(x.select("p").distinct(), "p", curve).select("p", F.round("calibrated", 6).alias("calibrated"))
+
+
+def _newton(n: int) -> str:
+    """SQL of n Newton steps of the sigmoid fit with smoothed targets."""
+    out = [V.SCORES, "c as (select sum(y) as n1, sum(1 - y) as n0 from v_score)", "t as materialized (select p as s, case when y = 1 then (n1 + 1) / (n1 + 2) else 1 / (n0 + 2) end as t from v_score, c)", "w0 as materialized (select 0.0::double as a, ln((n1 + 1) / (n0 + 1))::double as b from c)"]
+    for i in range(n):
+        out.append(f"q{i} as (select s, t, 1 / (1 + exp(-(a * s + b))) as m from t, w{i}), h{i} as (select sum((t - m) * s) as ga, sum(t - m) as gb, sum(m * (1 - m) * s * s) + 1e-12 as aa, sum(m * (1 - m) * s) as ab, sum(m * (1 - m)) + 1e-12 as bb from q{i})")
+        out.append(f"w{i + 1} as materialized (select a + (bb * ga - ab * gb) / (aa * bb - ab * ab) as a, b + (aa * gb - ab * ga) / (aa * bb - ab * ab) as b from w{i}, h{i})")
+    return "with " + ",\n ".join(out)
+
+
+@query("gate_sigmoid", _newton(8) + " select round(a, 5) as a, round(b, 5) as b from w8")
+def gate_sigmoid(spark, d):
+    """Slope and offset of the sigmoid over all turns, by Newton steps over sums."""
+    a, b = G.fit_sigmoid(V.scores(spark, d).select("p", "y"), "p", "y", rounds=8)
+    return spark.createDataFrame([(round(a, 5), round(b, 5))], "a double, b double")
