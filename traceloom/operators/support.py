@@ -71,6 +71,52 @@ def issue_refunds(orders: DataFrame, refunds: DataFrame, asked: DataFrame) -> tu
     return refunds.unionByName(new), answers
 
 
+STATE = "struct<orders:array<struct<id:bigint,status:string,total:double>>,refunds:array<struct<order_id:bigint,amount:double,reason:string>>,tickets:array<struct<customer_id:bigint,category:string>>,address:string,log:array<struct<tool:string,refusal:string>>>"
+CALL = "struct<tool:string,order_id:bigint,customer_id:bigint,amount:double,reason:string,category:string,address:string>"
+
+
+def apply_call(state: Column, call: Column, customer: Column) -> Column:
+    """The state after one call of one customer's task, and what the call was told: a refused call changes nothing but the log."""
+    order = F.get(F.filter(state["orders"], lambda o: o["id"] == call["order_id"]), F.lit(0))
+    again = F.exists(state["refunds"], lambda r: r["order_id"] == call["order_id"])
+    refund = (
+        F.when(order["id"].isNull(), "no such order").when(~F.coalesce(call["reason"].isin(*REASONS), F.lit(False)), "unknown reason").when(~order["status"].isin(*REFUNDABLE), "not refundable")
+        .when(again, "already refunded").when(F.coalesce(call["amount"] <= 0, F.lit(True)), "not positive").when(F.round(call["amount"], 2) > F.round(order["total"], 2), "above the total")
+    )
+    own = F.coalesce(call["customer_id"] == customer, F.lit(False))
+    ticket = F.when(~own, "no such customer").when(~F.coalesce(call["category"].isin(*CATEGORIES), F.lit(False)), "unknown category")
+    on_way = F.array_min(F.transform(F.filter(state["orders"], lambda o: o["status"] == "shipped"), lambda o: o["id"]))
+    move = F.when(~own, "no such customer").when(on_way.isNotNull(), F.concat(F.lit("already shipped: "), on_way.cast("string")))
+    look = F.when(call["tool"].isin("get_order") & order["id"].isNull(), "no such order").when(call["tool"].isin("get_customer", "list_orders") & ~own, "no such customer")
+    known = call["tool"].isin("issue_refund", "create_ticket", "update_address", "get_order", "get_customer", "list_orders")
+    refusal = F.when(~F.coalesce(known, F.lit(False)), "no such tool").when(call["tool"] == "issue_refund", refund).when(call["tool"] == "create_ticket", ticket).when(call["tool"] == "update_address", move).otherwise(look)
+    done = lambda tool: (call["tool"] == tool) & refusal.isNull()
+    paid = F.array(F.struct(call["order_id"].alias("order_id"), F.round(call["amount"], 2).alias("amount"), call["reason"].alias("reason")))
+    opened = F.array(F.struct(call["customer_id"].alias("customer_id"), call["category"].alias("category")))
+    return F.struct(
+        state["orders"].alias("orders"), F.when(done("issue_refund"), F.concat(state["refunds"], paid)).otherwise(state["refunds"]).alias("refunds"),
+        F.when(done("create_ticket"), F.concat(state["tickets"], opened)).otherwise(state["tickets"]).alias("tickets"), F.when(done("update_address"), F.trim(call["address"])).otherwise(state["address"]).alias("address"),
+        F.concat(state["log"], F.array(F.struct(call["tool"].alias("tool"), refusal.alias("refusal")))).alias("log"),
+    ).cast(STATE)
+
+
+def graded_replays(tasks: DataFrame) -> DataFrame:
+    """End states of trajectories, one fold of their calls a row: ``tasks(task_id, customer_id, address, orders, calls)`` with orders and calls as in STATE
+    and CALL, calls in order. Adds ``refunds, tickets, address, log, n_calls_applied, n_calls_refused, state_hash``; a null ``calls`` counts as none.
+
+    A task's store is its customer's, so a trajectory needs no other row: nothing is shuffled."""
+    none = lambda t: F.array().cast(t)
+    start = F.struct(
+        F.coalesce("orders", none("array<struct<id:bigint,status:string,total:double>>")).alias("orders"), none("array<struct<order_id:bigint,amount:double,reason:string>>").alias("refunds"),
+        none("array<struct<customer_id:bigint,category:string>>").alias("tickets"), F.col("address"), none("array<struct<tool:string,refusal:string>>").alias("log"),
+    ).cast(STATE)
+    calls = F.coalesce("calls", none(f"array<{CALL}>")).cast(f"array<{CALL}>")
+    end = tasks.withColumn("_end", F.aggregate(calls, start, lambda s, c: apply_call(s, c, F.col("customer_id"))))
+    state = F.struct(F.col("_end.address").alias("address"), F.array_sort("_end.refunds").alias("refunds"), F.array_sort("_end.tickets").alias("tickets"))
+    refused = F.size(F.filter("_end.log", lambda x: x["refusal"].isNotNull()))
+    return end.select("task_id", "customer_id", F.col("_end.refunds").alias("refunds"), F.col("_end.tickets").alias("tickets"), F.col("_end.address").alias("address"), F.col("_end.log").alias("log"), F.size("_end.log").alias("n_calls_applied"), refused.alias("n_calls_refused"), F.sha2(F.to_json(state), 256).alias("state_hash"))
+
+
 def update_addresses(customers: DataFrame, orders: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(customers, answers): addresses change, the last request counts; refused while an order of the customer is on its way."""
     on_way = orders.where("status = 'shipped'").groupBy("customer_id").agg(F.min("id").alias("order_id"))

@@ -93,16 +93,23 @@ def live_delta_ci(spark, d):
     return U.live_interval(S.live_clusters(V.requests(spark, d))).select(*r6("delta", "low", "high"))
 
 
-@query("full_compare", f"""with {P}, c as (select count(*) as n, count(*) filter (where a <= 0.5 and b > 0.5) as only_b, count(*) filter (where a > 0.5 and b <= 0.5) as only_a, round(avg(b) - avg(a), 6) as delta, round(avg(b), 6) as rate_a, round(avg(a), 6) as rate_b from v_pair)
-select n as n_shared_tasks, rate_a, rate_b, delta, only_a, only_b from c""")
+@query("full_compare", f"""with {P}, s as (select b - a as d, row_number() over (order by task_id) - 1 as slot from v_pair), n as (select count(*) as n from v_pair),
+ x as (select i.range as it, cast('0x' || substr(sha256('0:' || i.range || ':' || k.range), 1, 8) as bigint) % n as slot from n, range(20) i, (select unnest(range((select n from n))) as range) k), m as (select it, avg(d) as m from x join s on s.slot = x.slot group by it),
+ e as (select quantile_cont(m, 0.025) as low, quantile_cont(m, 0.975) as high from m),
+ c as (select count(*) as n, count(*) filter (where a <= 0.5 and b > 0.5) as only_b, count(*) filter (where a > 0.5 and b <= 0.5) as only_a, avg(b) - avg(a) as delta, avg(b) as rate_a, avg(a) as rate_b from v_pair),
+ t as (select task_id, least(count(*) filter (where run = 'A'), count(*) filter (where run = 'B')) as r from v_result group by 1), g as (select min(r) as r from t where r > 0),
+ w as (select *, case when n < 20 then 'too few tasks' when (select r from g) < 3 then 'too few repeats' end as refusal, only_a + only_b as k from c, e)
+select n as n_shared_tasks, refusal, round(rate_a, 6) as rate_a, round(rate_b, 6) as rate_b, case when refusal is null then round(delta, 6) end as delta, case when refusal is null then round(low, 6) end as low, case when refusal is null then round(high, 6) end as high,
+ case when refusal is null then only_b end as only_a, case when refusal is null then only_a end as only_b,
+ case when refusal is null then round(case when k = 0 then 1.0 else least(1, 2 * list_sum(list_transform(range(0, least(only_a, only_b) + 1), lambda i: exp(lgamma(k + 1.0) - lgamma(i + 1.0) - lgamma(k - i + 1.0) - k * ln(2.0))))) end, 6) end as p from w""")
 def full_compare(spark, d):
-    """Run B against run A, so that the shared tasks' differences are those of the paired table."""
+    """Run B against run A, so that the shared tasks' differences are those of the paired table. A refusal is a result: its row says why."""
     runs = spark.createDataFrame([("A", "s", None), ("B", "s", "replay")], "id string, eval_set_id string, mode string")
     got = U.compare(runs, V.results(spark, d), "B", "A", iterations=20)
-    if "refusal" in got:
-        raise RuntimeError(got["refusal"])
-    row = (got["n_shared_tasks"], round(got["observed"]["rate_a"], 6), round(got["observed"]["rate_b"], 6), round(got["success"]["delta"], 6), got["mcnemar"]["only_a"], got["mcnemar"]["only_b"])
-    return spark.createDataFrame([row], "n_shared_tasks long, rate_a double, rate_b double, delta double, only_a long, only_b long")
+    six = lambda x: None if x is None else round(x, 6)
+    said, odd = got.get("success", {}), got.get("mcnemar", {})
+    row = (got["n_shared_tasks"], got.get("refusal"), six(got["observed"]["rate_a"]), six(got["observed"]["rate_b"]), six(said.get("delta")), six(said.get("low")), six(said.get("high")), odd.get("only_a"), odd.get("only_b"), six(odd.get("p")))
+    return spark.createDataFrame([row], "n_shared_tasks long, refusal string, rate_a double, rate_b double, delta double, low double, high double, only_a long, only_b long, p double")
 
 
 @query("merge_drift", f"""with {R}, t as (select task_id, avg((turns > 3)::int) * 100 as a, avg((turns > 4)::int) * 100 as b from v_result where run = 'A' group by 1) select 0::bigint as misaligned, round(avg(b - a), 6) as delta from t""")

@@ -105,6 +105,36 @@ def state_predicates(spark, d):
     return end_states(spark, d).select("task_id", *(c.alias(n) for n, c in checks.items()))
 
 
+_TRAJECTORY = """o as (select o_custkey as k, o_orderkey as id, case o_orderstatus when 'F' then 'delivered' when 'O' then 'placed' else 'shipped' end as status, o_totalprice as total from orders),
+ r as (select k, id, status, total, unnest([1, 2]) as try from o), q as (select *, case when try = 1 then floor(total * (0.5 + (id % 4) / 4.0)) else total end as amount, case when id % 5 = 0 and try = 1 then 'mood' else 'late' end as reason from r),
+ f as (select *, reason = 'late' and status in ('shipped', 'delivered') and round(amount, 2) <= round(total, 2) as fine from q),
+ g as (select *, case when fine and row_number() over (partition by id, fine order by try) = 1 then round(amount, 2) end as paid from f),
+ a as (select k, count(*) as n, count(paid) as granted, coalesce(round(sum(paid), 2), 0) as back, count(distinct id) filter (where status = 'shipped') as on_way from g group by k),
+ c as (select c_custkey as k, c_name, c_mktsegment = 'BUILDING' as known from customer)"""
+
+
+@query("replay_grading", f"""with {_TRAJECTORY} select k as task_id, (n + 3)::int as n_calls_applied, (n - granted + 1 + (on_way > 0)::int + (not known)::int)::int as n_calls_refused, granted::int as refunds, back, known::int as tickets,
+ case when on_way > 0 then c_name else 'new street' end as address from a join c using (k)""")
+def replay_grading(spark, d):
+    """End states and refusals of a trajectory a customer: two refund tries for each order, an unknown tool, a ticket, and a new address."""
+    o = read_table(spark, d, "orders", "o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
+    status = F.when(F.col("o_orderstatus") == "F", "delivered").when(F.col("o_orderstatus") == "O", "placed").otherwise("shipped")
+    own = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct(F.col("o_orderkey").alias("id"), status.alias("status"), F.col("o_totalprice").cast("double").alias("total")))).alias("orders"))
+    no = lambda t: F.lit(None).cast(t)
+    call = lambda tool, order=None, amount=None, reason=None, who=None, category=None, address=None: F.struct(
+        F.lit(tool).alias("tool"), (no("bigint") if order is None else order).alias("order_id"), (no("bigint") if who is None else who).alias("customer_id"), (no("double") if amount is None else amount).alias("amount"),
+        (no("string") if reason is None else reason).alias("reason"), (no("string") if category is None else category).alias("category"), (no("string") if address is None else address).alias("address"),
+    )
+    first = F.transform("orders", lambda x: call("issue_refund", x["id"], F.floor(x["total"] * (0.5 + (x["id"] % 4) / 4.0)).cast("double"), F.when(x["id"] % 5 == 0, "mood").otherwise("late")))
+    second = F.transform("orders", lambda x: call("issue_refund", x["id"], x["total"], F.lit("late")))
+    k = F.col("c_custkey").cast("bigint")
+    rest = F.array(call("close_account"), call("create_ticket", who=k, category=F.when(F.col("c_mktsegment") == "BUILDING", "billing").otherwise("weather")), call("update_address", who=k, address=F.lit(" new street ")))
+    tasks = own.join(read_table(spark, d, "customer", "c_custkey", "c_name", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+    ends = C.graded_replays(tasks.select(F.col("c_custkey").alias("task_id"), k.alias("customer_id"), F.col("c_name").alias("address"), "orders", F.concat(first, second, rest).alias("calls")))
+    back = F.round(F.aggregate("refunds", F.lit(0.0), lambda s, x: s + x["amount"]), 2)
+    return ends.select("task_id", "n_calls_applied", "n_calls_refused", F.size("refunds").alias("refunds"), back.alias("back"), F.size("tickets").alias("tickets"), "address")
+
+
 @query("address_predicates", """select c_custkey as task_id, case when c_nationkey = 3 then 'wrong address' when c_mktsegment = 'BUILDING' then 'a ticket' end as updated, case when c_nationkey = 3 then 'address changed' when c_mktsegment <> 'BUILDING' then 'no ticket' end as kept,
  case when c_nationkey = 3 then 'wrong address' when c_mktsegment = 'BUILDING' then 'a ticket' else 'no ticket' end as both_ from customer""")
 def address_predicates(spark, d):
