@@ -59,3 +59,15 @@ def test_artifact(spark, tmp_path):
     assert A.write_dataset(df.repartition(7), p, "d", 1) == m and A.verify(spark, p) == (True, "ok")
     with pytest.raises(A.DifferentArtifact):
         A.write_dataset(df.limit(10), p, "d", 1)
+
+
+def test_empty_systems_broken_arguments_and_odd_results():
+    assert J.blocks_to_messages([], [{"role": "user", "content": "x"}]) == J.blocks_to_messages([{"type": "image"}], [{"role": "user", "content": "x"}]) == [{"role": "user", "content": "x"}]
+    broken = [{"role": "system", "content": ""}, {"role": "system", "content": None}, {"role": "assistant", "content": None, "tool_calls": [{"id": "i", "type": "function", "function": {"name": "f", "arguments": "{no"}}]}]
+    system, blocks = J.messages_to_blocks(broken)
+    assert system is None and blocks[0]["content"][0]["input"] == "{no"
+    assert J.blocks_to_messages(system, blocks)[0]["tool_calls"][0]["function"]["arguments"] == "{no"
+    shown = [(None, ""), ("t", "t"), ([], ""), (["a", {"type": "text"}, {"type": "text", "text": "b"}, {"type": "image", "é": 1}, 7, None], 'ab{"type": "image", "é": 1}7null'), ({"type": "text", "text": "b"}, '{"text": "b", "type": "text"}'), (5, "5")]
+    for content, text in shown:
+        turn = [{"role": "user", "content": [{"type": "tool_result", "tool_use_id": "u", "content": content}]}]
+        assert J.blocks_to_messages(None, turn) == [{"role": "tool", "tool_call_id": "u", "content": text}]
