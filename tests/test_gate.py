@@ -63,3 +63,15 @@ def test_signed_rank_p_equals_enumeration(spark):
         assert all(abs(got[w] - min(1, 2 * sum(s <= w for s in sums) / 2**n)) < 1e-12 for w in got)
     one = spark.createDataFrame([(0, 0)], "n int, w int").select(S.signed_rank_p(F.col("n"), F.col("w")).alias("p")).first().p
     assert one == 1.0
+
+
+def test_cascades_escalate_without_a_usable_calibration(spark):
+    from traceloom.operators import selectors as L
+
+    rows = [("1", "a", 1, False, 0.1, ["f"]), ("2", "a", 2, True, 0.5, ["f"]), ("3", "b", 1, False, 0.1, ["f"]), ("4", "c", 1, True, None, ["f"]), ("5", "d", 1, True, 0.1, ["g", "f"])]
+    stored = spark.createDataFrame(rows, "id string, adapter_id string, created_at int, usable boolean, threshold double, feature_order array<string>")
+    turns = spark.createDataFrame([(0, "a", 0.6), (1, "a", 0.4), (2, "a", None), (3, "b", 0.9), (4, "c", 0.99), (5, "d", 0.9), (6, "e", 0.9), (7, None, 0.9)], "i int, adapter_id string, score double")
+    got = {r.i: r.why for r in L.cascade_decisions(turns, stored, ["f"]).collect()}
+    assert got == {0: None, 1: "below the threshold", 2: "no score", 3: "unusable", 4: "below the threshold", 5: "other features", 6: "no calibration", 7: "no calibration"}
+    none = spark.createDataFrame([], "kind string, version int, created_at string, content_hash string")
+    assert L.sft_hash(none).first().content_hash == L.MISSING

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from traceloom.operators.registry import Ambiguous, NoMatch
 
+# Fixed value: what a lock says of something that there isn't.
+MISSING = "<missing>"
+
 
 def tag_like(tag: Column, pattern: str) -> Column:
     """Whether a tag fits a pattern with * and ?; without either it must be equal."""
@@ -152,3 +155,37 @@ def corpus_hash(rows: DataFrame, volatile: list[str]) -> DataFrame:
     h = rows.select(F.sha2(F.to_json(F.struct(*kept)), 256).alias("h"))
     part = h.groupBy(F.substring("h", 1, 3).alias("p")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), "\n"), 256).alias("h"))
     return part.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "h"))), lambda x: x["h"]), "\n"), 256).alias("corpus_hash"))
+
+
+def rounds_for_tag(rounds: DataFrame, tag: str) -> DataFrame:
+    """The on-policy rounds of a tag pattern, in order of their number."""
+    return rounds.where(tag_like(F.col("tag"), tag)).orderBy("round_idx")
+
+
+def sft_hash(datasets: DataFrame, missing: str = MISSING) -> DataFrame:
+    """``content_hash`` of the newest dataset for supervised training, by version and then creation; ``missing`` where there is none, or it has no hash."""
+    place = F.struct(F.coalesce("version", F.lit(0)), F.coalesce(F.col("created_at").cast("string"), F.lit("")))
+    newest = F.max_by(F.struct("content_hash"), F.when(F.col("kind") == "sft", place))
+    return datasets.agg(F.coalesce(newest["content_hash"], F.lit(missing)).alias("content_hash"))
+
+
+def calibrations_for(calibrations: DataFrame) -> DataFrame:
+    """The newest calibration of every adapter, all columns; of equally new ones that with the largest id."""
+    rest = [c for c in calibrations.columns if c != "adapter_id"]
+    newest = calibrations.groupBy("adapter_id").agg(F.max_by(F.struct(*rest), F.struct("created_at", "id")).alias("_c"))
+    return newest.select("adapter_id", "_c.*")
+
+
+def cascade_decisions(turns: DataFrame, calibrations: DataFrame, features: list[str]) -> DataFrame:
+    """Adds ``escalate, why`` to turns (columns adapter_id, score) under the newest calibration of their adapter.
+
+    A missing or unusable calibration escalates everything, and so does one that was fitted on other features than ``features`` or in another order:
+    a gate with a meaningless threshold is worse than none. Otherwise a turn escalates below the threshold (1 where none is stored), and without a
+    score."""
+    fit = calibrations_for(calibrations).select("adapter_id", F.col("usable").alias("_u"), F.coalesce("threshold", F.lit(1.0)).alias("_t"), F.col("feature_order").alias("_f"), F.lit(True).alias("_have"))
+    x = turns.join(fit, "adapter_id", "left")
+    why = (
+        F.when(F.col("_have").isNull(), "no calibration").when(~F.coalesce("_u", F.lit(False)), "unusable").when(~F.col("_f").eqNullSafe(F.array(*map(F.lit, features))), "other features")
+        .when(F.col("score").isNull(), "no score").when(F.col("score") < F.col("_t"), "below the threshold")
+    )
+    return x.withColumns({"escalate": why.isNotNull(), "why": why}).drop("_u", "_t", "_f", "_have")

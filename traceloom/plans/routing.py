@@ -152,3 +152,45 @@ def disjoint_splits(spark, d):
 @query("stable_trace_order", "select o_orderkey as id, o_orderdate as created_at from orders order by o_orderdate, o_orderkey limit 50")
 def stable_trace_order(spark, d):
     return L.trace_order(read_table(spark, d, "orders", F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("created_at")), 50)
+
+
+@query("rounds_for_tag", "select o_orderkey as round_idx, o_orderstatus as tag from orders where o_orderstatus in ('F', 'P') order by o_orderkey")
+def rounds_for_tag(spark, d):
+    """Orders as rounds, their status as tag; two patterns, of which one is a prefix."""
+    o = read_table(spark, d, "orders", F.col("o_orderkey").alias("round_idx"), F.col("o_orderstatus").alias("tag"))
+    return L.rounds_for_tag(o, "F*").unionByName(L.rounds_for_tag(o, "P"))
+
+
+@query("sft_dataset_hash", """select coalesce(arg_max(p_name, struct_pack(a := p_size, b := p_partkey::varchar)) filter (where p_brand = 'Brand#11'), 'missing') as content_hash from part
+ union all select 'missing' from (select count(*) from part)""")
+def sft_dataset_hash(spark, d):
+    """Parts as datasets: the newest of one brand, and of a brand that there isn't."""
+    p = read_table(spark, d, "part", "p_brand", "p_size", "p_partkey", "p_name")
+    of = lambda brand: p.select(F.when(F.col("p_brand") == brand, "sft").otherwise("pairs").alias("kind"), F.col("p_size").alias("version"), F.col("p_partkey").alias("created_at"), F.col("p_name").alias("content_hash"))
+    return L.sft_hash(of("Brand#11"), "missing").unionByName(L.sft_hash(of("none"), "missing"))
+
+
+_CAL = """v_cal as (select p_partkey::varchar as id, p_size % 10 as adapter_id, p_retailprice as created_at, p_partkey % 3 > 0 as usable, case when p_partkey % 4 > 0 then p_size / 100.0 + 0.2 end as threshold, case when p_partkey % 5 > 0 then 'entropy,turn' else 'turn' end as f from part),
+ v_new as (select adapter_id, arg_max(id, struct_pack(a := created_at, b := id)) as id, arg_max(usable, struct_pack(a := created_at, b := id)) as usable, arg_max(struct_pack(t := threshold), struct_pack(a := created_at, b := id)).t as threshold, arg_max(f, struct_pack(a := created_at, b := id)) as f from v_cal group by 1)"""
+
+
+def calibrations(spark, d):
+    """Parts as stored calibrations of ten adapters."""
+    p = read_table(spark, d, "part", "p_partkey", "p_size", "p_retailprice")
+    k = F.col("p_partkey")
+    order = F.when(k % 5 > 0, F.array(F.lit("entropy"), F.lit("turn"))).otherwise(F.array(F.lit("turn")))
+    return p.select(k.cast("string").alias("id"), (F.col("p_size") % 10).alias("adapter_id"), F.col("p_retailprice").alias("created_at"), (k % 3 > 0).alias("usable"), F.when(k % 4 > 0, F.col("p_size") / 100.0 + 0.2).alias("threshold"), order.alias("feature_order"))
+
+
+@query("calibration_for_adapter", f"with {_CAL} select adapter_id, id, usable, round(threshold, 6) as threshold, f as features from v_new")
+def calibration_for_adapter(spark, d):
+    return L.calibrations_for(calibrations(spark, d)).select("adapter_id", "id", "usable", F.round("threshold", 6).alias("threshold"), F.array_join("feature_order", ",").alias("features"))
+
+
+@query("cascade_from_calibration", f"""with {_CAL}, {V.SCORES}, t as (select doc_id, doc_id % 12 as adapter_id, case when doc_id % 7 > 0 then p end as score from v_score)
+select doc_id, n.id is null or not usable or f <> 'entropy,turn' or score is null or score < coalesce(threshold, 1.0) as escalate, case when n.id is null then 'no calibration' when not usable then 'unusable' when f <> 'entropy,turn' then 'other features' when score is null then 'no score' when score < coalesce(threshold, 1.0) then 'below the threshold' end as why
+from t left join v_new n on n.adapter_id = t.adapter_id""")
+def cascade_from_calibration(spark, d):
+    """Turns of twelve adapters, of which ten have a calibration, under the newest one of each."""
+    t = V.scores(spark, d).select("doc_id", (F.col("doc_id") % 12).alias("adapter_id"), F.when(F.col("doc_id") % 7 > 0, F.col("p")).alias("score"))
+    return L.cascade_decisions(t, calibrations(spark, d), ["entropy", "turn"]).select("doc_id", "escalate", "why")
