@@ -1,7 +1,6 @@
 import itertools
 import math
 
-import numpy as np
 import pytest
 
 from traceloom.llm import toxicity as T

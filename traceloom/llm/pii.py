@@ -7,7 +7,7 @@ Candidates. Generators with high recall propose overlapping spans: digit groups
 ``phone``, and spelled-out addresses (``name at host dot com``, brackets or not). Their lengths have no bound. Features are
 the candidate's format, its check digit and its context.
 
-Trees learn from the documents of a bounded sample. Positives are the fixed patterns' own valid spans with their format taken
+Trees learn from the documents of a bounded sample (``most_docs``), of whose candidates at most eight times as many, by hash, are read for fitting. Positives are the fixed patterns' own valid spans with their format taken
 away and their context kept: a phone number without its plus sign, a card number with a wrong check digit or points for
 separators, an address number without its points, an e-mail address spelled out; and candidates that a fixed span overlaps.
 Negatives are the other candidates as they occur. Some of those are personal data that no pattern knows, so the measured

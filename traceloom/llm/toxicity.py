@@ -11,7 +11,9 @@ Viterbi decoding picks the path with the best sum of a character trigram languag
 probabilities. The language model counts the words of *all* documents; it needs no labels.
 
 The score is a logistic regression on restored words and word stems that occur more in toxic than in other texts. It learns
-from at most ``most_rows`` labelled rows (those with the smallest hash of the id), which is the documented bound.
+from at most ``most_rows`` labelled rows (those with the smallest hash of the id), which is the documented bound. The model keeps the
+``most_features`` words and stems that tell the classes apart best. Words are runs of three or more Latin letters: a text in another script has none
+and scores as one without features.
 
 Rows: null and empty texts score as a text without features. Repeated ids in the labels count with their largest label,
 repeated ids of documents once in learning.
