@@ -192,6 +192,13 @@ def test_compare_refuses_in_order(spark):
     assert "too few" in U.compare(runs, rows.where("task_id < 5"), "a", "d")["refusal"]
 
 
+def test_compare_counts_each_runs_own_successes(spark):
+    runs = spark.createDataFrame([("a", "e", None), ("b", "e", None)], "id string, eval_set_id string, mode string")
+    rows = spark.createDataFrame([(r, t, r == "a" or t >= 7, 5.0, 2, 0) for r in "ab" for t in range(25) for _ in range(3)], "run string, task_id int, success boolean, tokens double, turns int, cluster int")
+    got, back = U.compare(runs, rows, "a", "b", iterations=20)["mcnemar"], U.compare(runs, rows, "b", "a", iterations=20)["mcnemar"]
+    assert (got["only_a"], got["only_b"], back["only_a"], back["only_b"]) == (7, 0, 0, 7)
+
+
 def test_samples_and_windows(spark):
     said = [("system", "be kind"), ("user", "hi"), ("assistant", "one two"), ("tool", "r"), ("tool", "q"), ("assistant", "three"), ("user", "x"), ("assistant", "")]
     rows = [("a", i, r, t) for i, (r, t) in enumerate(said)] + [("b", 0, "user", "alone"), ("c", 0, "assistant", None), ("c", 1, "assistant", "y y"), ("d", 0, "system", "s")]
