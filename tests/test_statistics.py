@@ -48,3 +48,10 @@ def test_filters(spark):
     calls = spark.createDataFrame([(1, "c1", 2), (1, "c2", 4), (1, "c3", 9)], "trace long, call_id string, turn long")
     answers = spark.createDataFrame([(1, "c1", 3), (1, "c9", 5), (1, "c3", 8)], "trace long, call_id string, turn long")
     assert {(r.call_id, r.problem) for r in C.unpaired_calls(calls, answers).collect()} == {("c2", "call without result"), ("c9", "result without call"), ("c3", "result without call")}
+
+
+def test_shares_of_counts_are_decimal(spark):
+    from traceloom.plans.evaluation import share_of
+
+    n = spark.createDataFrame([(90_000,), (10,), (1,), (20,)], "n long").select("n", share_of(F.col("n"), "0.7").alias("a"), share_of(F.col("n"), "0.15").alias("b"))
+    assert {tuple(r) for r in n.collect()} == {(90_000, 63_000, 13_500), (10, 7, 1), (1, 0, 0), (20, 14, 3)}
