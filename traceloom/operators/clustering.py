@@ -125,7 +125,8 @@ def kmeans(df: DataFrame, vector: str, start: np.ndarray, most_rounds: int = 50)
                     label = np.argmin([((x - c) ** 2).sum(axis=1) for c in now], axis=0)
                     np.add.at(total, label, x)
                     n += np.bincount(label, minlength=len(now))
-            yield pd.DataFrame({"cluster": np.flatnonzero(n), "n": n[n > 0], "s": list(total[n > 0])})
+            if n.any():  # a task without rows has no list whose type Arrow could see
+                yield pd.DataFrame({"cluster": np.flatnonzero(n), "n": n[n > 0], "s": list(total[n > 0])})
 
         parts = rows.mapInPandas(sums, "cluster int, n long, s array<double>").select("cluster", "n", F.posexplode("s").alias("dim", "x"))
         means = parts.groupBy("cluster", "dim").agg((F.round(F.sum("x"), 9) / F.sum("n")).alias("value"))
