@@ -41,16 +41,28 @@ def replay(wanted: DataFrame, index: DataFrame, keys: list[str], answer: str) ->
 
 
 def nearest_call(wanted: DataFrame, recorded: DataFrame, tool: str, tokens: str, order: str, threshold: float = 0.92, others: bool = False) -> DataFrame:
-    """For each wanted call (id) the recorded call of the same tool with the most similar argument tokens: equality of token
-    sets is one join; otherwise pairs share a token, so the join is on (tool, token) and similarity follows from counts. With
-    ``others`` a call isn't compared with the recorded one of its own number."""
-    w = wanted.select("id", tool, F.size(tokens).alias("nw"), F.explode(tokens).alias("t"))
-    r = recorded.select(F.col(order).alias("ord"), tool, F.size(tokens).alias("nr"), F.explode(tokens).alias("t"))
-    met = w.join(r, [tool, "t"]).where("id <> ord") if others else w.join(r, [tool, "t"])
-    both = met.groupBy("id", "ord").agg(F.count(F.lit(1)).alias("i"), F.first("nw").alias("nw"), F.first("nr").alias("nr"))
-    scored = both.select("id", "ord", (F.col("i") / (F.col("nw") + F.col("nr") - F.col("i"))).alias("score"))
-    best = scored.groupBy("id").agg(F.min_by(F.struct("score", "ord"), F.struct(-F.col("score"), F.col("ord"))).alias("b"))
-    return best.select("id", "b.score", "b.ord", (F.col("b.score") >= threshold).alias("served"))
+    """For each wanted call (id, unique) the recorded call (``order``, unique) of the same tool with the most similar argument tokens, the
+    smallest of equally similar ones. With ``others`` a call isn't compared with the recorded one of its own number.
+
+    Calls of one tool with equal tokens are one while pairs are searched: sets that share a token meet on (tool, token) and similarity
+    follows from counts. A set keeps its first two recorded calls, and its two best ones, since at most one is a call's own."""
+    key = F.array_sort(tokens).alias("_s")
+    w, r = wanted.select("id", tool, key), recorded.select(F.col(order).alias("ord"), tool, key)
+    most = 2 if others else 1
+    first = Window.partitionBy(tool, "_s").orderBy("ord")
+    rs = r.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= most).groupBy(tool, "_s").agg(F.array_sort(F.collect_list("ord")).alias("ords"))
+    ws = w.groupBy(tool, "_s").agg(F.min("id").alias("_w"))
+    x = ws.select(tool, "_w", F.size("_s").alias("nw"), F.explode("_s").alias("t"))
+    y = rs.select(tool, "ords", F.size("_s").alias("nr"), F.explode("_s").alias("t"))
+    both = x.join(y, [tool, "t"]).groupBy("_w", "ords").agg(F.count(F.lit(1)).alias("i"), F.first("nw").alias("nw"), F.first("nr").alias("nr"))
+    scored = both.select("_w", (F.col("i") / (F.col("nw") + F.col("nr") - F.col("i"))).alias("score"), F.explode("ords").alias("ord"))
+    nearest = Window.partitionBy("_w").orderBy(F.desc("score"), "ord")
+    best = scored.withColumn("_k", F.row_number().over(nearest)).where(F.col("_k") <= most).groupBy("_w").agg(F.array_sort(F.collect_list(F.struct("_k", "score", "ord"))).alias("b"))
+    met = w.join(ws, [tool, "_s"]).join(best, "_w")
+    if others:
+        met = met.withColumn("b", F.filter("b", lambda c: c["ord"] != F.col("id")))
+    got = met.select("id", F.get("b", F.lit(0)).alias("b")).where("b is not null")
+    return got.select("id", "b.score", "b.ord", (F.col("b.score") >= threshold).alias("served"))
 
 
 def first_divergence(a: DataFrame, b: DataFrame, key: str, also: list[str] | None = None) -> DataFrame:
