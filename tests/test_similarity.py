@@ -40,3 +40,28 @@ def test_decontaminate(spark):
     tasks = spark.createDataFrame([(7, task), (8, ""), (9, "short ONE")], "task long, body string")
     got = {r.id: (r.task, r.share) for r in S.decontaminate(spark.createDataFrame(rows, "id long, text string"), tasks, "id", "text", "task", "body").collect()}
     assert got == {1: (7, 1.0), 2: (7, 0.6), 6: (9, 1.0)}
+
+
+def test_pairs_of_copies_repeated_ids_and_long_texts(spark):
+    """Ids that repeat with the same or another text, copies, and sets so large that 16 bits a shingle collide."""
+    import random
+
+    rng = random.Random(7)
+    long = [f"v{rng.randrange(10**9)}" for _ in range(9_000)]
+    near = [w if i % 900 else "other" for i, w in enumerate(long)]
+    short = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, short), (3, short), (3, "quite another text of more than five words"), (4, short), (5, short + " end"), (6, "quite another text of more than five words"), (7, ""), (8, "x"), (9, None), (10, " ".join(rng.sample(long, 9_000)))]
+    df = spark.createDataFrame(rows, "id long, text string")
+    want = {(1, 2), (3, 4), (3, 5), (3, 6), (4, 5)}
+    for found in (S.jaccard_pairs(df, "id", "text", 0.85), S.minhash_pairs(df, "id", "text")):
+        got = {(r.a, r.b): r.jaccard for r in found.collect()}
+        assert set(got) == want and got[3, 4] == 1.0 and got[4, 5] == 22 / 23 and 0.98 < got[1, 2] < 1
+    assert {r.id for r in S.near_dedupe(df, "id", "text").where("not kept").collect()} <= {2, 3, 4, 5, 6}
+
+
+def test_no_set_is_written_before_candidates_are_known(spark):
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(200))) for i in range(50)]
+    corpus = S.Corpus(spark.createDataFrame(rows, "id long, text string"), "id", "text")
+    assert corpus.rows.columns == ["id", "key", "n"] and corpus.heads.columns == ["key", "head", "n"]
+    wanted = corpus.heads.where("head in (3, 4)").select("key")
+    assert 2 <= corpus.sets_of(wanted).count() < 10
