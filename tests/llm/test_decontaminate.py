@@ -162,3 +162,12 @@ def test_parts_of_proposals_change_nothing(monkeypatch, most):
     whole = key(block.find(text, np.array([0, len(text)])))
     monkeypatch.setattr(D, "MOST_PROPOSED", most)
     assert key(block.find(text, np.array([0, len(text)]))) == whole
+
+
+def test_every_place_of_a_long_item_is_signed():
+    """No signature of an item is left out, however many it has and however many items share them."""
+    item = D.arrays.mix(np.arange(1, 401, dtype=np.uint64))
+    block = D.Block([1, 2], [item, item], 0.2, 0.99)
+    for held in block.tables:
+        for _, items, place, _, _ in held.values():
+            assert all(set(place[items == k].tolist()) >= set(range(380)) for k in (0, 1))

@@ -18,8 +18,8 @@ allow no edit, and the walk's first output, their first word, is their signature
 follows from ``recall``: a walk of s steps reads about w = s / 2 + 1 words, all unedited with probability (1 - max_edit) ** w, and
 starts half of w apart are taken as independent.
 
-Items are signed in tasks and held in blocks of about ``block_items`` (a bounded broadcast each, up to MOST_STARTS signatures an
-item and table, those of the fewest items first); texts are scanned once a block, without a shuffle.
+Items are signed in tasks and held in blocks of about ``block_items``, fewer where items are long (a bounded broadcast each, with the
+signatures of all places of its items); texts are scanned once a block, without a shuffle.
 
 Rows: null and empty texts match nothing; items without a word match nothing. Repeated ids keep their rows and each row is
 judged by its own text; equal items are all reported. Texts are scanned whole.
@@ -53,7 +53,8 @@ END = np.uint64(0)
 SHAPES = ((30, 8, 18), (14, 6, 12), (10, 4, 10), (5, 3, 5), (1, 1, 1))
 EXACT = len(SHAPES) - 1
 GAP = SHAPES[0][2]
-MOST_STARTS = 64
+#: Words an item on average, from which on a block has fewer items.
+BLOCK_WORDS = 64
 #: Elements that verification unpacks at once.
 PIECE = 1_000_000
 #: Windows that are proposed before they are looked at: about 100 bytes each while they are.
@@ -170,13 +171,8 @@ class Block:
 
     @staticmethod
     def sorted(sign: np.ndarray, item: np.ndarray, place: np.ndarray) -> tuple:
-        """By signature, of each item the MOST_STARTS whose signatures the fewest items have; and a bit table."""
-        _, inverse, count = np.unique(sign, return_inverse=True, return_counts=True)
-        order = np.lexsort((place, count[inverse], item))
-        _, first = np.unique(item[order], return_index=True)
-        rank = np.arange(len(order)) - np.repeat(first, np.diff(np.concatenate([first, [len(order)]])))
-        kept = order[rank < MOST_STARTS]
-        kept = kept[np.argsort(sign[kept], kind="stable")]
+        """By signature, every place that has it; and a bit table."""
+        kept = np.lexsort((place, item, sign))
         shift = np.uint64(64 - max(16, min(26, math.ceil(math.log2(16 * max(1, len(kept)))))))
         bit = np.zeros(1 << (64 - int(shift)), bool)
         bit[sign[kept] >> shift] = True
@@ -282,7 +278,8 @@ def blocks_of(benchmark: DataFrame, max_edit: float, recall: float, block_items:
 
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     items = materialize(items.mapInArrow(hashed, "item_id long, words binary").where(F.length("words") > 0), "items")
-    blocks = math.ceil(items.count() / block_items)
+    total = items.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("words")), F.lit(0)).alias("size")).first()
+    blocks = math.ceil(max(total.n, total.size / 8 / BLOCK_WORDS) / block_items)
     for k in range(blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == k).toArrow().to_pylist()  # about block_items
         mine.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["words"]))
