@@ -65,3 +65,47 @@ def test_no_set_is_written_before_candidates_are_known(spark):
     assert corpus.rows.columns == ["id", "key", "n"] and corpus.heads.columns == ["key", "head", "n"]
     wanted = corpus.heads.where("head in (3, 4)").select("key")
     assert 2 <= corpus.sets_of(wanted).count() < 10
+
+
+def test_bits_bound_the_difference_and_no_alike_pair_is_lost(spark):
+    """Odd bits never claim more differences than there are, also where one set has twice the places of the other; texts of null pair with nothing."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(11)
+    sets = []
+    for size in (0, 1, 60, 64, 65, 70, 128, 130, 500):
+        a = [rng.randrange(-(2**63), 2**63) for _ in range(size)]
+        for gone in (0, 1, size // 10):
+            b = a[gone:] + [rng.randrange(-(2**63), 2**63) for _ in range(gone % 3)]
+            sets.append((len(sets), a, b, len(set(a) ^ set(b))))
+    bits = S.parity_bits()
+    df = spark.createDataFrame(sets, "i int, a array<bigint>, b array<bigint>, d int").select("i", "d", bits("a").alias("x"), bits("b").alias("y"))
+    got = df.select("i", "d", S.apart(F.col("x"), F.col("y")).alias("p")).collect()
+    assert all(r.p <= r.d and (r.p - r.d) % 2 == 0 for r in got) and sum(r.p for r in got) > 0.7 * sum(r.d for r in got)
+
+    base = [f"w{i}" for i in range(80)]
+    rows = [(100, None), (101, None), (102, "")]
+    for i in range(70):
+        w = base[: rng.randrange(55, 81)]
+        for _ in range(rng.randrange(3)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(5)}"
+        rows.append((i, " ".join(w)))
+    want, known = {}, sorted((i, shingles(t or "")) for i, t in rows)
+    for k, (i, s) in enumerate(known):
+        want |= {(i, j): len(s & t) / len(s | t) for j, t in known[k + 1 :] if s and t and len(s & t) / len(s | t) >= 0.75}
+    assert len(want) > 50
+    found = S.jaccard_pairs(spark.createDataFrame(rows, "id long, text string"), "id", "text", 0.75, sample=2, frequent=2)
+    assert {(r.a, r.b): r.jaccard for r in found.collect()} == want
+
+
+def test_pairs_that_are_not_alike_move_no_sets(spark):
+    """Near misses share a prefix shingle, so they are candidates; their bits rule them out before any set is made."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(w if i % 12 or i // 12 % 7 != k % 7 else f"{w}x{k}" for i, w in enumerate(words))) for k in range(12)]
+    corpus = S.Corpus(spark.createDataFrame(rows, "id long, text string"), "id", "text", mark=S.prefixes(0.95))
+    asked = []
+    make, corpus.sets_of = corpus.sets_of, lambda keys: asked.append(keys.count()) or make(keys)
+    assert S.prefix_candidates(corpus, 0.95).count() > 0
+    assert S.verified(S.prefix_candidates(corpus, 0.95), corpus, 0.95).count() == 0 and asked == [0]
