@@ -109,3 +109,12 @@ def test_pairs_that_are_not_alike_move_no_sets(spark):
     make, corpus.sets_of = corpus.sets_of, lambda keys: asked.append(keys.count()) or make(keys)
     assert S.prefix_candidates(corpus, 0.95).count() > 0
     assert S.verified(S.prefix_candidates(corpus, 0.95), corpus, 0.95).count() == 0 and asked == [0]
+
+
+def test_pairs_by_bands_write_no_sketch(spark):
+    rows = [(i, " ".join(f"w{k}x{i // 2 if k else i}" for k in range(60))) for i in range(8)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    corpus = S.Corpus(df, "id", "text", mark=S.band_marks(0.85))
+    bands = S.banding(0.85)[0]
+    assert {len(r.mark) for r in corpus.first_marks().collect()} == {bands} and bands < 32
+    assert {(r.a, r.b) for r in S.minhash_pairs(df, "id", "text").collect()} == {(0, 1), (2, 3), (4, 5), (6, 7)}
