@@ -111,6 +111,23 @@ def test_pairs_that_are_not_alike_move_no_sets(spark):
     assert S.verified(S.prefix_candidates(corpus, 0.95), corpus, 0.95).count() == 0 and asked == [0]
 
 
+def test_estimates_stay_below_what_sizes_and_bits_allow(spark):
+    """Two sets that share every least value, so all places of their sketches, but only three quarters of their elements."""
+    import random
+
+    rng = random.Random(5)
+    everything = [rng.randrange(-(2**63), 2**63) for _ in range(600)]
+    frame = lambda sets: spark.createDataFrame(sets, "i long, s array<bigint>").select("i", "s", S.minhash()("s").alias("sketch"))
+    places = {r.i: r.sketch for r in frame([(k, [h]) for k, h in enumerate(everything)]).collect()}
+    least = {min(places, key=lambda k: places[k][p]) for p in range(128)}
+    rest = [h for k, h in enumerate(everything) if k not in least]
+    a, b = set(everything) - set(rest[:75]), set(everything) - set(rest[75:150])
+    sets = frame([(1, sorted(a)), (2, sorted(b))]).selectExpr("named_struct('a', i, 'b', i) as key", "size(s) as n", "s", "sketch")
+    (r,) = S.banded_candidates(sets.withColumn("bits", S.parity_bits()("s")), 0.85).collect()
+    true = len(a & b) / len(a | b)
+    assert (r.ka, r.kb, true) == (1, 2, 0.75) and true <= r.estimate < true + 0.177
+
+
 def test_pairs_by_bands_write_no_sketch(spark):
     rows = [(i, " ".join(f"w{k}x{i // 2 if k else i}" for k in range(60))) for i in range(8)]
     df = spark.createDataFrame(rows, "id long, text string")
