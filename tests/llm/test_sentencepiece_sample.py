@@ -70,6 +70,32 @@ def test_probabilities_and_exhaustive_samples(vocabulary, text):
     assert keys == sorted(keys, reverse=True)
 
 
+def lattice(units, v):
+    return S.Lattice(np.frombuffer(b"".join(units), np.uint8), np.concatenate([[0], np.cumsum([len(u) for u in units])]), v)
+
+
+def test_places_are_hashed_only_while_a_piece_may_go_on(vocabulary, monkeypatch):
+    rng = np.random.default_rng(3)
+    units = [b" " + bytes(rng.choice(np.frombuffer(b"aeinorstqxzj", np.uint8), 30)) for _ in range(200)]
+    hashed = []
+    mix = S.arrays.mix
+    monkeypatch.setattr(S.arrays, "mix", lambda h: (hashed.append(len(h)), mix(h))[1])
+    lattice(units, vocabulary)
+    assert sum(hashed) < 4.5 * 200 * 31  # 13.9 if every length that has room is looked up
+
+
+def test_backward_sums_of_units_shorter_and_longer_than_the_linear_part(vocabulary):
+    units = [u.encode() for u in (" a", " there", " " + "ab" * 19, " " + "there" * 8, " " + "x" * 300, " " + "漢é" * 30, " 🙂" * 1 + "z" * 38)]
+    got = lattice(units, vocabulary)
+    beta = np.full(len(got.is_end), -np.inf)
+    beta[got.is_end] = 0
+    for arc in range(len(got.start) - 1, -1, -1):  # places in descending order
+        beta[got.start[arc]] = np.logaddexp(beta[got.start[arc]], vocabulary.weight[got.piece[arc]] + beta[got.end[arc]])
+    assert np.isfinite(beta[got.begin]).all() and {len(u) > S.NEAR for u in units} == {True, False}
+    want = np.exp(vocabulary.weight[got.piece] + beta[got.end] - beta[got.start])
+    assert np.allclose(got.p, want, rtol=1e-9, atol=0)
+
+
 def test_inclusion_frequencies(vocabulary):
     want = segmentations(b" there", vocabulary)
     total = np.logaddexp.reduce(list(want.values()))

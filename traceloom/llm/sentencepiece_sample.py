@@ -37,6 +37,8 @@ from traceloom.sources.tables import read_table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 32
 PASS = 500_000
+PIECE, BEGINS = 1, 2
+NEAR = 40  # bytes before a unit's end within which backward sums are numbers, not logarithms: a piece's weight is over 1e-7
 IDENTITY = np.arange(256, dtype=np.uint8)
 
 
@@ -49,6 +51,7 @@ class Vocabulary:
         weight = np.full(size, -math.log(size + 1.0))
         weight[ids] = -np.log(rank + 1.0)
         self.weight = weight - math.log(np.exp(weight).sum())
+        self.mass = np.exp(self.weight)
         self.byte_id = np.array([byte_ids[b] for b in range(256)])
         for b, i in byte_ids.items():
             self.bytes[i] = bytes([b])
@@ -60,13 +63,18 @@ class Vocabulary:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.tables = {}
-        for n, found in sorted(by.items()):
+        most = max(by, default=0)
+        begun = {n: sorted({p[:n] for p in pieces if len(p) > n}) for n in range(1, most)}
+        for n in range(1, most + 1):
+            found = by.get(n, [])
             data = np.frombuffer(b"".join(p for p, _ in found), np.uint8)
             h = hashes(data, np.arange(len(found)) * n, n)
             order = np.argsort(h)
             h = h[order]
-            bit = np.zeros(1 << 20, bool)
-            bit[h >> np.uint64(44)] = True
+            bit = np.zeros(1 << 20, np.uint8)  # 1: may be a piece, 2: may begin a longer one
+            bit[h >> np.uint64(44)] = PIECE
+            if begun.get(n):
+                bit[hashes(np.frombuffer(b"".join(begun[n]), np.uint8), np.arange(len(begun[n])) * n, n) >> np.uint64(44)] |= BEGINS
             near = np.searchsorted(h >> np.uint64(48), np.arange(1 << 16)).astype(np.int32)
             self.tables[n] = (np.append(h, np.uint64(2**64 - 1)), np.append([i for _, i in found], -1)[np.append(order, len(h))], bit, near)
 
@@ -105,25 +113,29 @@ class Lattice:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, vocabulary: Vocabulary):
         units = len(offsets) - 1
-        unit = np.repeat(np.arange(units), np.diff(offsets))
-        stop = offsets[1:][unit]
-        at = np.arange(len(data))
-        value = prefix_sums(data)
-        lead = (data & 0xC0) != 0x80
-        width = np.where(data < 0x80, 1, np.where(data < 0xE0, 2, np.where(data < 0xF0, 3, 4)))
+        unit = np.arange(units)
+        self.begin, ends, places = offsets[:-1] + unit, offsets[1:] + unit, len(data) + units
+        self.is_end = np.zeros(places, bool)
+        self.is_end[ends] = True
+        at = np.flatnonzero(~self.is_end)
+        padded = np.zeros(places, np.uint8)  # indexed by place
+        padded[at] = data
+        left = np.repeat(ends, np.diff(offsets)) - at
+        value = prefix_sums(padded)
+        lead = (padded & 0xC0) != 0x80
+        lead[ends] = False
+        width = np.where(padded < 0x80, 1, np.where(padded < 0xE0, 2, np.where(padded < 0xF0, 3, 4)))
         covered = ~lead
         start, length, piece = [], [], []
-        inverse = arrays.powers(max(1, len(data)), -1)
-        open_, room, back = at, stop - at, inverse[: len(data)]
-        for n, (table, ids, bit, near) in vocabulary.tables.items():  # ascending: fewer places have room each time
-            fits = room >= n
-            open_, room, back = open_[fits], room[fits], back[fits]
-            if not len(open_):
-                break
+        open_, room, back = at, left, arrays.powers(max(1, places), -1)[at]
+        for n, (table, ids, bit, near) in vocabulary.tables.items():  # ascending: fewer places have room and begin a piece each time
             h = arrays.mix((value[open_ + n] - value[open_]) * back)
-            maybe = np.flatnonzero(bit[h >> np.uint64(44)])
+            may = bit[(h >> np.uint64(44)).view(np.int64)]
+            maybe = np.flatnonzero(may & PIECE)
             s, h = open_[maybe], h[maybe]
-            k = near[(h >> np.uint64(48)).astype(np.int64)]
+            go = np.flatnonzero((may >= BEGINS) & (room > n))
+            open_, room, back = open_[go], room[go], back[go]
+            k = near[(h >> np.uint64(48)).view(np.int64)]
             low = np.flatnonzero(table[k] < h)
             while len(low):
                 k[low] += 1
@@ -131,55 +143,68 @@ class Lattice:
             ok = table[k] == h
             s, k = s[ok], k[ok]
             start.append(s)
-            length.append(np.full(len(s), n))
+            length.append(n)
             piece.append(ids[k])
-            covered[s[width[s] == n]] = True
+            if n <= 4:
+                covered[s[width[s] == n]] = True
+            if not len(open_):
+                break
         # the bytes of characters that no piece covers alone
-        first = np.flatnonzero(lead & ~covered)
+        first = np.flatnonzero(~covered)
         span = width[first]
         s = np.repeat(first, span) + np.arange(span.sum()) - np.repeat(np.cumsum(span) - span, span)
         start.append(s)
-        length.append(np.ones(len(s), np.int64))
-        piece.append(vocabulary.byte_id[data[s]])
+        length.append(1)
+        piece.append(vocabulary.byte_id[padded[s]])
         # by place, long pieces first: they are likelier as a rule, so that a draw looks at few arcs
-        start, length, piece = np.concatenate(start[::-1]), np.concatenate(length[::-1]), np.concatenate(piece[::-1])
-        order = np.argsort(start, kind="stable")
-        start, length, self.piece = start[order], length[order], piece[order]
-        self.start = start + unit[start]
-        self.end = self.start + length
-        places = len(data) + units
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(self.start, minlength=places))])
-        ends = offsets[1:] + np.arange(units)
-        self.is_end = np.zeros(places, bool)
-        self.is_end[ends] = True
-        self.begin = offsets[:-1] + np.arange(units)
-        # backward sums, from the ends on, all units at once
-        weight = vocabulary.weight[self.piece]
-        beta = np.full(places, -np.inf)
-        beta[ends] = 0
-        left = stop[start] - start
-        order = np.argsort(left.astype(np.uint16) if len(data) < 65536 or left.max(initial=0) < 65536 else left, kind="stable")
-        edges = np.flatnonzero(np.diff(left[order])) + 1
-        for group in np.split(order, edges) if len(order) else ():
-            s = self.start[group]
-            edge = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-            beta[s[edge]] = np.logaddexp.reduceat(weight[group] + beta[self.end[group]], edge)
-        with np.errstate(invalid="ignore"):
-            self.log = np.where(np.isfinite(beta[self.start]), weight + beta[self.end] - beta[self.start], -np.inf)
-        self.p = np.exp(self.log)
-        total = np.cumsum(self.p)
-        base = np.concatenate([[0.0], total])[self.first[self.start]]
-        # ascending keys: place plus the share up to and with the arc
-        self.key = self.start + np.minimum(total - base, 1.0)
+        count = np.bincount(np.concatenate(start), minlength=places)
+        self.first = np.concatenate([[0], np.cumsum(count)])
+        spot = self.first[:-1].copy()
+        self.end, self.piece = np.empty(self.first[-1], np.int64), np.empty(self.first[-1], np.int64)
+        for s, n, found in zip(start[::-1], length[::-1], piece[::-1], strict=True):  # a place has one arc of a length
+            to = spot[s]
+            self.piece[to], self.end[to] = found, s + n
+            spot[s] = to + 1
+        self.start = np.repeat(np.arange(places), count)
+        # backward sums, from the ends on, all units at once: numbers near a unit's end, logarithms before that
+        mass = vocabulary.mass[self.piece]
+        sums = np.zeros(places)
+        sums[ends] = 1
+        logs = None
+        most = left.max(initial=0)
+        order = np.argsort(left.astype(np.uint8 if most < 256 else np.uint16 if most < 65536 else np.int64), kind="stable")
+        order = order[count[at[order]] > 0]
+        place, left = at[order], left[order]
+        level = np.concatenate([[0], np.flatnonzero(left[1:] != left[:-1]) + 1, [len(left)]]) if len(left) else np.zeros(1, np.int64)
+        many = count[place]
+        stop = np.concatenate([[0], np.cumsum(many)])
+        arc = np.repeat(self.first[place] - stop[:-1], many) + np.arange(stop[-1])
+        end, by = self.end[arc], mass[arc]
+        for a, b in zip(level[:-1].tolist(), level[1:].tolist(), strict=True):
+            span, edge = slice(stop[a], stop[b]), stop[a:b] - stop[a]
+            if left[a] <= NEAR:
+                sums[place[a:b]] = np.add.reduceat(by[span] * sums[end[span]], edge)
+            else:
+                if logs is None:
+                    with np.errstate(divide="ignore"):
+                        logs = np.log(sums)
+                logs[place[a:b]] = np.logaddexp.reduceat(vocabulary.weight[self.piece[arc[span]]] + logs[end[span]], edge)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            self.p = mass * sums[self.end] / np.repeat(sums, count)
+            if logs is not None:
+                far = arc[stop[np.searchsorted(left, NEAR, "right")] :]
+                self.p[far] = np.exp(vocabulary.weight[self.piece[far]] + logs[self.end[far]] - logs[self.start[far]])
+        self.p[np.isnan(self.p)] = 0  # from where no path leads to the end
 
     def draw(self, place: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The arc that leaves each place with its probability."""
         arc, last = self.first[place], self.first[place + 1] - 1
-        aim = place + u
-        go = np.flatnonzero((self.key[arc] <= aim) & (arc < last))
+        over = u - self.p[arc]
+        go = np.flatnonzero((over >= 0) & (arc < last))
         while len(go):
             arc[go] += 1
-            go = go[(self.key[arc[go]] <= aim[go]) & (arc[go] < last[go])]
+            over[go] -= self.p[arc[go]]
+            go = go[(over[go] >= 0) & (arc[go] < last[go])]
         bad = self.p[arc] == 0  # rounding at a share's edge
         for k in np.flatnonzero(bad):
             span = slice(self.first[place[k]], self.first[place[k] + 1])
@@ -262,49 +287,54 @@ def sample_pass(data: np.ndarray, offsets: np.ndarray, row_key: np.ndarray, voca
         fronts[r].append((walk.keys[s:e].copy(), 0, 0, {}))
         found[r].append(key[r])
     for round_ in range(1, k):
-        places, keys_, shifts, limit, owner, units, prefix = [], [], [], [], [], [], []
+        owner, best, limit = [], [], []
         for r in range(rows):
-            best, top = None, -np.inf
+            at, top = None, -np.inf
             for f, (keys, *_) in enumerate(fronts[r]):
                 if len(keys):
-                    i = int(np.argmax(keys))
+                    i = int(keys.argmax())
                     if keys[i] > top:
-                        best, top = (f, i), keys[i]
-            if best is None or top == -np.inf:
-                continue
-            f, i = best
-            keys, p, depth, out = fronts[r][f]
-            arcs, unit = paths[r][p]
-            at = depth + i
-            gone = out.setdefault(i, {int(arcs[at])})
-            here = int(lattice.start[arcs[at]])
-            span = np.arange(lattice.first[here], lattice.first[here + 1])
-            share = np.where(np.isin(span, list(gone)), 0.0, lattice.p[span])
-            spot = np.array([here + int(shift[unit[at]])])
-            u = uniform(salted(row_key[r : r + 1], 2 * round_ + (1 << 21)), spot)[0]
-            total = np.cumsum(share)
-            j = int(min(np.searchsorted(total, u * total[-1], "right"), len(span) - 1))
+                        at, top = (f, i), keys[i]
+            if at is not None:
+                owner.append(r)
+                best.append(at)
+                limit.append(top)
+        if not owner:
+            break
+        opened = [fronts[r][f] for r, (f, _) in zip(owner, best, strict=True)]
+        heads = [paths[r][p] for r, (_, p, _, _) in zip(owner, opened, strict=True)]
+        depths = [depth + i for (_, i), (_, _, depth, _) in zip(best, opened, strict=True)]
+        arc = np.array([arcs[at] for (arcs, _), at in zip(heads, depths, strict=True)])
+        unit = np.array([of[at] for (_, of), at in zip(heads, depths, strict=True)])
+        here = lattice.start[arc]
+        low, high = lattice.first[here], lattice.first[here + 1]
+        own, spot, limit = row_key[owner], here + shift[unit], np.array(limit)
+        draws = uniform(salted(own, 2 * round_ + (1 << 21)), spot)
+        new, left = [], []
+        for (_, i), (*_, out), was, a, b, u in zip(best, opened, arc.tolist(), low.tolist(), high.tolist(), draws.tolist(), strict=True):
+            gone = out.setdefault(i, {was})
+            share = lattice.p[a:b].copy()
+            share[[x - a for x in gone]] = 0
+            total = share.cumsum()
+            j = min(int(total.searchsorted(u * total[-1], "right")), b - a - 1)
             if share[j] == 0:
-                j = int(np.argmax(share))
-            gone.add(int(span[j]))
+                j = int(share.argmax())
+            gone.add(a + j)
             rest = total[-1] - share[j]
-            left = np.array([rest if rest > 1e-14 and len(span) > len(gone) else 0.0])
-            keys[i] = truncated(np.array([top]), uniform(salted(row_key[r : r + 1], 2 * round_ + 1 + (1 << 21)), spot), left)[0]
-            new = int(span[j])
-            u0 = int(unit[at])
-            places.append(np.concatenate([[lattice.end[new]], place[u0 + 1 : unit_first[r + 1]]]))
-            shifts.append(shift[u0 : unit_first[r + 1]])
+            new.append(a + j)
+            left.append(rest if rest > 1e-14 and b - a > len(gone) else 0.0)
+        below = truncated(limit, uniform(salted(own, 2 * round_ + 1 + (1 << 21)), spot), np.array(left))
+        places, units, prefix = [], [], []
+        for r, (_, i), (keys, *_), (arcs, of), at, x, u0, key_, top in zip(owner, best, opened, heads, depths, new, unit.tolist(), below, limit, strict=True):
+            keys[i] = key_
+            places.append(np.concatenate([lattice.end[x : x + 1], place[u0 + 1 : unit_first[r + 1]]]))
             units.append(np.arange(u0, unit_first[r + 1]))
-            keys_.append(np.full(len(places[-1]), row_key[r], np.uint64))
-            limit.append(np.full(len(places[-1]), top))
-            prefix.append((np.append(arcs[:at], new), np.append(unit[:at], u0)))
-            owner.append(r)
+            prefix.append((np.append(arcs[:at], x), np.append(of[:at], u0)))
             found[r].append(top)
-        if not owner:
-            break
-        walk = Walk(lattice, np.concatenate(places), np.concatenate(keys_), np.concatenate(shifts), np.concatenate(limit), round_)
-        track = 0
+        counts = [len(x) for x in places]
         unit = np.concatenate(units)
+        walk = Walk(lattice, np.concatenate(places), np.repeat(own, counts), shift[unit], np.repeat(limit, counts), round_)
+        track = 0
         for r, (arcs, of), here in zip(owner, prefix, places, strict=True):
             s, e = walk.first[track], walk.first[track + len(here)]
             paths[r].append((np.concatenate([arcs, walk.arcs[s:e]]), np.concatenate([of, unit[walk.track[s:e]]])))
@@ -313,7 +343,7 @@ def sample_pass(data: np.ndarray, offsets: np.ndarray, row_key: np.ndarray, voca
     out = []
     for r in range(rows):
         nxt = max((float(f[0].max()) for f in fronts[r] if len(f[0])), default=-np.inf)
-        out.append(([(lattice.piece[a], float(lattice.log[a].sum()), key_) for (a, _), key_ in zip(paths[r], found[r], strict=True)], nxt))
+        out.append(([(lattice.piece[a], float(np.log(lattice.p[a]).sum()), key_) for (a, _), key_ in zip(paths[r], found[r], strict=True)], nxt))
     return out
 
 
