@@ -153,3 +153,20 @@ def test_pairs_by_bands_write_no_sketch(spark):
     bands = S.banding(0.85)[0]
     assert {len(r.mark) for r in corpus.first_marks().collect()} == {bands} and bands < 32
     assert {(r.a, r.b) for r in S.minhash_pairs(df, "id", "text").collect()} == {(0, 1), (2, 3), (4, 5), (6, 7)}
+
+
+def test_no_filter_waits_for_python_with_the_rows(spark, monkeypatch):
+    """Rows queue on local disk while Python works on them; a filter of up to 8 MB in each of them would be there as often as there are texts."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(20)]
+    df, plans, write = spark.createDataFrame(rows, "id long, text string"), [], S.written
+    monkeypatch.setattr(S, "written", lambda t: (plans.append(t._jdf.queryExecution().sparkPlan()), write(t))[1])
+    for mark in (None, S.prefixes(0.85), S.band_marks(0.85), S.sketch_marks()):
+        S.Corpus(df, "id", "text", mark=mark)
+
+    def below(node):
+        yield node
+        for i in range(node.children().size()):
+            yield from below(node.children().apply(i))
+
+    queued = [str(n.children().apply(0).output()) for p in plans for n in below(p) if n.nodeName() == "ArrowEvalPython"]
+    assert len(queued) >= 4 and not [columns for columns in queued if "bloom" in columns]
